@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from coffer.schema import CASH_IN_TYPES, CASH_OUT_TYPES, MONEY, SPEND_TYPES
 
-ZERO = F.lit(0).cast(MONEY)
+
+
+def zero() -> Column:
+    return F.lit(0).cast(MONEY)
 
 
 def is_spend() -> Column:
@@ -17,10 +20,10 @@ def is_spend() -> Column:
 def cash_effect() -> Column:
     """Change of the cash balance; a purchase on credit moves no cash."""
     kind, amount = F.col("transaction_type"), F.col("amount")
-    return F.when(kind.isin(*CASH_IN_TYPES), amount).when(kind.isin(*CASH_OUT_TYPES), -amount).otherwise(ZERO)
+    return F.when(kind.isin(*CASH_IN_TYPES), amount).when(kind.isin(*CASH_OUT_TYPES), -amount).otherwise(zero())
 
 
 def sum_where(condition: Column, amount: Column | None = None) -> Column:
     """Sum of the amounts that meet ``condition``; 0 for a group without any."""
     amount = F.col("amount") if amount is None else amount
-    return F.sum(F.when(condition, amount).otherwise(ZERO))
+    return F.sum(F.when(condition, amount).otherwise(zero()))

@@ -7,9 +7,15 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from coffer.schema import TRUE_WORDS
+
 # Every character that Unicode counts as white space, plus the four ASCII
 # separators: spreadsheet cells often carry a no-break space.
-_SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0 " + "".join(map(chr, range(0x2000, 0x200B))) + "    　"
+_SPACES = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def trim(c: Column) -> Column:
@@ -30,8 +36,6 @@ def null_to_blank(c: Column) -> Column:
 
 
 def is_true(c: Column) -> Column:
-    from coffer.schema import TRUE_WORDS
-
     return F.coalesce(fold(c.cast("string")).isin(*TRUE_WORDS), F.lit(False))
 
 
