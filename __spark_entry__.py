@@ -15,7 +15,6 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import oracle_queries  # noqa: E402
 from coffer.plans import marts, reports, views  # noqa: E402
-from coffer.schema import Ledger  # noqa: E402
 from coffer.sources import driver_tables as tables  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,8 +42,7 @@ def _on_ledger(plan: Callable[..., DataFrame], *args) -> Query:
     """Query that runs ``plan`` on the ledger derived from the tables of ``sf_dir``."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        ledger: Ledger = tables.ledger(spark, sf_dir)
-        return _portable(plan(ledger, *args))
+        return _portable(plan(tables.OrderLedger(spark, sf_dir), *args))
 
     return query
 

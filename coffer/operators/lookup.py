@@ -36,6 +36,9 @@ def lookup_join(
     part: a key that holds a third of the facts (NULL keys included) then still
     fills only a 1/``SALTS`` share of that third in any one task.
 
+    The lookup side is evaluated for the count and again for the join, so one that is
+    computed from facts should be written first (``session.materialise``).
+
     The salt is a hash of ``salt_by`` (by default all fact columns), so a task that
     runs again after a lost executor puts each row where it was before.
     """

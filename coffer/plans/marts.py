@@ -40,9 +40,11 @@ def _subcategory_names(ledger: Ledger) -> DataFrame:
     return ledger.subcategories.select("subcategory_id", "subcategory_name")
 
 
-def _named(rows: DataFrame, ledger: Ledger) -> DataFrame:
-    with_category = lookup_join(rows, _category_names(ledger), ["category_id"])
-    return lookup_join(with_category, _subcategory_names(ledger), ["subcategory_id"])
+def _named(groups: DataFrame, ledger: Ledger) -> DataFrame:
+    """Add names to summed groups: few rows, so Spark may choose any join."""
+    return groups.join(_category_names(ledger), "category_id", "left").join(
+        _subcategory_names(ledger), "subcategory_id", "left"
+    )
 
 
 def stg_expenses(ledger: Ledger) -> DataFrame:

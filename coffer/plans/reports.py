@@ -112,7 +112,7 @@ def _category_months(ledger: Ledger, start: date, end: date) -> DataFrame:
     facts = in_months(marts.spend_facts(ledger), start, end)
     by_key = facts.groupBy("yr", "mo", "category_id").agg(F.sum("amount").alias("spent"))
     names = ledger.categories.select("category_id", "category_name")
-    named = marts.lookup_join(by_key, names, ["category_id"]).filter(F.col("category_name").isNotNull())
+    named = by_key.join(names, "category_id").filter(F.col("category_name").isNotNull())
     return named.groupBy("yr", "mo", "category_name").agg(
         F.sum("spent").cast("decimal(25,0)").alias("total_spend")
     )

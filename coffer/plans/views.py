@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from coffer.functions.money import cash_effect, is_spend, sum_where, zero
-from coffer.operators.lookup import lookup_join
 from coffer.schema import Ledger
 
 
@@ -59,7 +58,7 @@ def monthly_expense_summary(ledger: Ledger) -> DataFrame:
     )
     categories = ledger.categories.select("category_id", "category_name", "category_type")
     subcategories = ledger.subcategories.select("subcategory_id", "subcategory_name")
-    named = lookup_join(lookup_join(by_key, categories, ["category_id"]), subcategories, ["subcategory_id"])
+    named = by_key.join(categories, "category_id", "left").join(subcategories, "subcategory_id", "left")
     return named.groupBy("yr", "mo", "category_name", "category_type", "subcategory_name", "spending_type").agg(
         F.sum("n").alias("tx_count"), F.sum("spent").cast("decimal(25,0)").alias("total_amount")
     )
@@ -77,7 +76,7 @@ def budget_vs_actual(ledger: Ledger) -> DataFrame:
     )
     categories = ledger.categories.select("category_id", "category_name")
     items = ledger.monthly_plan_items.select("plan_id", "category_id", "budgeted")
-    planned = lookup_join(lookup_join(items, plans, ["plan_id"], "inner"), categories, ["category_id"], "inner")
+    planned = items.join(plans, "plan_id").join(categories, "category_id")
     spent = F.coalesce("actual_spent", zero())
     return (
         planned.join(actual, ["plan_id", "category_id"], "left")

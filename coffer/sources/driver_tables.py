@@ -7,69 +7,52 @@ tables.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from functools import cached_property
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coffer.operators.lookup import lookup_join
-from coffer.schema import MONEY, Ledger
+from coffer.session import materialise
 
 ACCOUNT_GROUPS = 97
 IDLE_ACCOUNT = 1000
 
-# Transaction type by order key modulo 20; 11 to 19 are plain expenses.
-_TYPES = (
-    "income",
-    "transfer_out",
-    "transfer_in",
-    "credit_payment",
-    "loan_given",
-    "loan_received",
-    "loan_repayment_in",
-    "loan_repayment_out",
-    "credit_purchase",
-    "credit_purchase",
-    "credit_purchase",
-)
+# Column expressions shared by the ledger tables and the sheets.
+_DAY = "cast(o_orderdate AS date)"
+_PLAN_ID = f"year({_DAY}) * 100 + month({_DAY})"
+_ACCOUNT_ID = f"cast(o_custkey % {ACCOUNT_GROUPS} AS int)"
+_TYPE = """CASE o_orderkey % 20
+    WHEN 0 THEN 'income' WHEN 1 THEN 'transfer_out' WHEN 2 THEN 'transfer_in' WHEN 3 THEN 'credit_payment'
+    WHEN 4 THEN 'loan_given' WHEN 5 THEN 'loan_received'
+    WHEN 6 THEN 'loan_repayment_in' WHEN 7 THEN 'loan_repayment_out'
+    WHEN 8 THEN 'credit_purchase' WHEN 9 THEN 'credit_purchase' WHEN 10 THEN 'credit_purchase'
+    ELSE 'expense' END"""
+_SPENDING = "CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'extra' WHEN o_orderpriority <> '5-LOW' THEN 'fixed' END"
+_PAYMENT = "CASE o_orderkey % 5 WHEN 0 THEN 'cash' WHEN 1 THEN 'bank_transfer' WHEN 2 THEN 'credit_card' WHEN 3 THEN 'momo' END"
+_NOTE = "CASE WHEN o_orderkey % 13 <> 0 THEN concat('note ', o_orderkey % 1000) END"
+_HAS_CATEGORY = "o_orderkey % 41 <> 0"
+_HAS_SUBCATEGORY = "o_orderkey % 41 <> 0 AND o_orderkey % 7 <> 0"
+
+# Declared column types, so that opening a table reads no file footer.
+_COLUMNS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+}
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def _pick(index: Column, values: tuple[str | None, ...]) -> Column:
-    """``values[index]``, as a chain of comparisons that stays in generated code."""
-    chosen = F.when(index == 0, F.lit(values[0]))
-    for i, value in enumerate(values[1:], 1):
-        chosen = chosen.when(index == i, F.lit(value))
-    return chosen
-
-
-def _transaction_type(key: Column) -> Column:
-    return F.coalesce(_pick(key % 20, _TYPES), F.lit("expense"))
-
-
-def _spending_type(priority: Column) -> Column:
-    return F.when(priority.isin("1-URGENT", "2-HIGH"), "extra").when(priority != "5-LOW", "fixed")
-
-
-def _payment_method(key: Column) -> Column:
-    return _pick(key % 5, ("cash", "bank_transfer", "credit_card", "momo"))
-
-
-def _note(key: Column) -> Column:
-    return F.when(key % 13 != 0, F.concat(F.lit("note "), (key % 1000).cast("string")))
-
-
-def _account_name(account_id: Column) -> Column:
-    return F.concat(F.lit("Account "), account_id.cast("string"))
+    return spark.read.schema(_COLUMNS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def orders_with_nation(spark: SparkSession, sf_dir: str, names: bool = False) -> DataFrame:
     """Orders with the nation of their customer, on request with nation and region names.
 
-    Customers grow with the data, so that join carries no hint: a customer side
-    under the broadcast threshold is broadcast, a larger one is shuffled and
-    adaptive execution splits the partition of a hot customer.
+    The joins carry no hint: Spark broadcasts a side whose files are under its
+    threshold (nations and regions always are) and shuffles a larger customer
+    table, where adaptive execution splits the partition of a hot customer.
     """
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("n_nationkey"))
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
@@ -78,139 +61,147 @@ def orders_with_nation(spark: SparkSession, sf_dir: str, names: bool = False) ->
         nation = read_table(spark, sf_dir, "nation").join(region, "n_regionkey")
     orders = read_table(spark, sf_dir, "orders")
     placed = orders.join(customer, orders.o_custkey == customer.c_custkey).drop("c_custkey")
-    return lookup_join(placed, nation, ["n_nationkey"], how="inner", salt_by=["o_orderkey"])
+    return placed.join(nation, "n_nationkey")
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("o_orderkey")
-    no_category = key % 41 == 0
-    related = (
-        F.when(key % 100 == 3, -key)  # points nowhere
-        .when(key % 20 == 3, key - 3)
-        .when(key % 20 == 6, key - 2)
-        .when(key % 20 == 7, key - 2)
-    )
-    day = F.col("o_orderdate").cast("date")
-    return orders_with_nation(spark, sf_dir).select(
-        key.alias("transaction_id"),
-        day.alias("transaction_date"),
-        (F.col("o_custkey") % ACCOUNT_GROUPS).cast("int").alias("account_id"),
-        (F.year(day) * 100 + F.month(day)).alias("plan_id"),
-        F.when(~no_category, F.col("n_regionkey")).alias("category_id"),
-        F.when(~no_category & (key % 7 != 0), F.col("n_nationkey")).alias("subcategory_id"),
-        _transaction_type(key).alias("transaction_type"),
-        _spending_type(F.col("o_orderpriority")).alias("spending_type"),
-        F.floor("o_totalprice").cast(MONEY).alias("amount"),
-        _payment_method(key).alias("payment_method"),
-        _note(key).alias("note"),
-        related.alias("related_transaction_id"),
-        (F.col("o_orderstatus") == "P").alias("is_regretted"),
-        F.when(key % 2 == 0, "python").otherwise("nodejs").alias("source_data"),
+    """One money event per order.  Some repayments link to an order that does not exist."""
+    return orders_with_nation(spark, sf_dir).selectExpr(
+        "o_orderkey AS transaction_id",
+        f"{_DAY} AS transaction_date",
+        f"{_ACCOUNT_ID} AS account_id",
+        f"{_PLAN_ID} AS plan_id",
+        f"CASE WHEN {_HAS_CATEGORY} THEN n_regionkey END AS category_id",
+        f"CASE WHEN {_HAS_SUBCATEGORY} THEN n_nationkey END AS subcategory_id",
+        f"{_TYPE} AS transaction_type",
+        f"{_SPENDING} AS spending_type",
+        "cast(floor(o_totalprice) AS decimal(15, 0)) AS amount",
+        f"{_PAYMENT} AS payment_method",
+        f"{_NOTE} AS note",
+        """CASE WHEN o_orderkey % 100 = 3 THEN -o_orderkey
+                WHEN o_orderkey % 20 = 3 THEN o_orderkey - 3
+                WHEN o_orderkey % 20 IN (6, 7) THEN o_orderkey - 2 END AS related_transaction_id""",
+        "o_orderstatus = 'P' AS is_regretted",
+        "if(o_orderkey % 2 = 0, 'python', 'nodejs') AS source_data",
     )
 
 
 def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    used = read_table(spark, sf_dir, "customer").select(
-        (F.col("c_custkey") % ACCOUNT_GROUPS).cast("int").alias("account_id")
-    )
-    idle = spark.range(1).select(F.lit(IDLE_ACCOUNT).alias("account_id"))
-    ids = used.distinct().unionByName(idle)
-    return ids.select(
-        "account_id",
-        _account_name(F.col("account_id")).alias("account_name"),
-        _pick(F.col("account_id") % 3, ("credit", "expense", "savings")).alias("account_type"),
-        F.lit("VND").alias("currency"),
-        F.lit(None).cast("string").alias("note"),
+    """The account groups in use and one idle account."""
+    used = read_table(spark, sf_dir, "customer").selectExpr(f"cast(c_custkey % {ACCOUNT_GROUPS} AS int) AS account_id")
+    idle = spark.range(1).selectExpr(f"{IDLE_ACCOUNT} AS account_id")
+    return (
+        used.distinct()
+        .unionByName(idle)
+        .selectExpr(
+            "account_id",
+            "concat('Account ', account_id) AS account_name",
+            "CASE account_id % 3 WHEN 0 THEN 'credit' WHEN 1 THEN 'expense' ELSE 'savings' END AS account_type",
+            "'VND' AS currency",
+            "cast(NULL AS string) AS note",
+        )
     )
 
 
 def categories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "region").select(
-        F.col("r_regionkey").alias("category_id"),
-        F.col("r_name").alias("category_name"),
-        F.lit("expense").alias("category_type"),
-        F.lit(None).cast("string").alias("color_hex"),
-        F.col("r_regionkey").cast("tinyint").alias("sort_order"),
+    return read_table(spark, sf_dir, "region").selectExpr(
+        "r_regionkey AS category_id",
+        "r_name AS category_name",
+        "'expense' AS category_type",
+        "cast(NULL AS string) AS color_hex",
+        "cast(r_regionkey AS tinyint) AS sort_order",
     )
 
 
 def subcategories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "nation").select(
-        F.col("n_nationkey").alias("subcategory_id"),
-        F.col("n_regionkey").alias("category_id"),
-        F.col("n_name").alias("subcategory_name"),
+    return read_table(spark, sf_dir, "nation").selectExpr(
+        "n_nationkey AS subcategory_id", "n_regionkey AS category_id", "n_name AS subcategory_name"
     )
 
 
 def _plan_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    day = F.col("o_orderdate").cast("date")
-    return (
-        read_table(spark, sf_dir, "orders").select((F.year(day) * 100 + F.month(day)).alias("plan_id")).distinct()
-    )
+    return read_table(spark, sf_dir, "orders").selectExpr(f"{_PLAN_ID} AS plan_id").distinct()
 
 
 def monthly_plans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One plan per month; the budget equals its items except in every fifth plan."""
-    plan = F.col("plan_id")
-    base = 1_000_000 + (plan % 7) * 250_000
-    return _plan_ids(spark, sf_dir).select(
+    return _plan_ids(spark, sf_dir).selectExpr(
         "plan_id",
-        F.floor(plan / 100).cast("smallint").alias("plan_year"),
-        (plan % 100).cast("tinyint").alias("plan_month"),
-        (5 * base + 1_000_000 + F.when(plan % 5 == 0, 1).otherwise(0)).cast(MONEY).alias("fixed_budget"),
-        (base * 2).cast(MONEY).alias("savings_target"),
-        F.concat(F.lit("plan "), plan.cast("string")).alias("note"),
+        "cast(plan_id div 100 AS smallint) AS plan_year",
+        "cast(plan_id % 100 AS tinyint) AS plan_month",
+        "cast(6000000 + (plan_id % 7) * 1250000 + if(plan_id % 5 = 0, 1, 0) AS decimal(15, 0)) AS fixed_budget",
+        "cast(2000000 + (plan_id % 7) * 500000 AS decimal(15, 0)) AS savings_target",
+        "concat('plan ', plan_id) AS note",
     )
 
 
+def _plans_by_region(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every plan with every region: each plan row unfolds the five regions there are at any scale."""
+    regions = read_table(spark, sf_dir, "region").agg(F.array_sort(F.collect_list(F.struct("r_regionkey", "r_name"))))
+    return _plan_ids(spark, sf_dir).select("plan_id", F.inline(regions.scalar()))
+
+
 def monthly_plan_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One item per plan and region (a table of five rows at every scale)."""
-    plan, region = F.col("plan_id"), F.col("category_id")
-    keys = read_table(spark, sf_dir, "region").agg(F.sort_array(F.collect_set("r_regionkey")).alias("keys"))
-    items = _plan_ids(spark, sf_dir).select("plan_id", F.explode(keys.scalar()).alias("category_id"))
-    return items.select(
-        (plan * 10 + region).cast("bigint").alias("item_id"),
+    return _plans_by_region(spark, sf_dir).selectExpr(
+        "cast(plan_id AS bigint) * 10 + r_regionkey AS item_id",
         "plan_id",
-        "category_id",
-        (1_000_000 + (plan % 7) * 250_000 + region * 100_000).cast(MONEY).alias("budgeted"),
-        F.lit(None).cast("string").alias("note"),
+        "r_regionkey AS category_id",
+        "cast(1000000 + (plan_id % 7) * 250000 + r_regionkey * 100000 AS decimal(15, 0)) AS budgeted",
+        "cast(NULL AS string) AS note",
     )
 
 
-def ledger(spark: SparkSession, sf_dir: str) -> Ledger:
-    return Ledger(
-        accounts(spark, sf_dir),
-        categories(spark, sf_dir),
-        subcategories(spark, sf_dir),
-        monthly_plans(spark, sf_dir),
-        monthly_plan_items(spark, sf_dir),
-        transactions(spark, sf_dir),
-    )
+class OrderLedger:
+    """The six ledger tables over ``sf_dir``; each is planned when first asked for.
 
+    ``written=True`` writes accounts and plans once to the shared folder: plans that
+    look them up several times then read small tables, not customers and orders.
+    """
 
-# ---------------------------------------------------------------------------
-# Dirty sheets: all text, as a spreadsheet export gives them.
-# ---------------------------------------------------------------------------
+    def __init__(self, spark: SparkSession, sf_dir: str, written: bool = False):
+        self._source = spark, sf_dir
+        self._keep = materialise if written else lambda df, name: df
 
+    @cached_property
+    def accounts(self) -> DataFrame:
+        return self._keep(accounts(*self._source), "accounts")
 
-def _sheet_date(key: Column, day: Column) -> Column:
-    plain = F.concat_ws("/", F.month(day).cast("string"), F.dayofmonth(day).cast("string"), F.year(day).cast("string"))
-    padded = F.concat(F.lit("  "), day.cast("string"), F.lit(" "))
-    return F.when(key % 10 == 0, "n/a").when(key % 10 == 1, padded).otherwise(plain)
+    @cached_property
+    def categories(self) -> DataFrame:
+        return categories(*self._source)
 
+    @cached_property
+    def subcategories(self) -> DataFrame:
+        return subcategories(*self._source)
 
-def _with_commas(price: Column) -> Column:
-    """Whole amount with one comma before the last three digits."""
-    whole = F.floor(price).cast("bigint")
-    return F.concat(
-        F.floor(whole / 1000).cast("string"), F.lit(","), F.lpad((whole % 1000).cast("string"), 3, "0")
-    )
+    @cached_property
+    def monthly_plans(self) -> DataFrame:
+        return self._keep(monthly_plans(*self._source), "plans")
 
+    @cached_property
+    def monthly_plan_items(self) -> DataFrame:
+        return monthly_plan_items(*self._source)
 
-def _sheet_amount(key: Column, price: Column) -> Column:
-    text = _with_commas(price)
-    bracketed = F.concat(F.lit("("), text, F.lit(")"))
-    return F.when(key % 6 == 0, "").when(key % 6 == 1, "abc").when(key % 6 == 2, bracketed).otherwise(text)
+    @cached_property
+    def transactions(self) -> DataFrame:
+        return transactions(*self._source)
+
+
+# ---------------------------------------------------------------------------
+# Dirty sheets: all text, as a spreadsheet export gives them.
+# ---------------------------------------------------------------------------
+
+
+_SHEET_DATE = f"""CASE o_orderkey % 10
+    WHEN 0 THEN 'n/a'
+    WHEN 1 THEN concat('  ', {_DAY}, ' ')
+    ELSE concat(month({_DAY}), '/', day({_DAY}), '/', year({_DAY})) END"""
+_WITH_COMMA = (
+    "concat(cast(floor(o_totalprice) AS bigint) div 1000, ',', "
+    "lpad(cast(cast(floor(o_totalprice) AS bigint) % 1000 AS string), 3, '0'))"
+)
+_SHEET_AMOUNT = f"""CASE o_orderkey % 6
+    WHEN 0 THEN '' WHEN 1 THEN 'abc' WHEN 2 THEN concat('(', {_WITH_COMMA}, ')') ELSE {_WITH_COMMA} END"""
 
 
 def expense_sheet(spark: SparkSession, sf_dir: str, revised: bool = False) -> DataFrame:
@@ -219,66 +210,50 @@ def expense_sheet(spark: SparkSession, sf_dir: str, revised: bool = False) -> Da
     ``revised=True`` gives the sheet as exported a second time: orders with status
     F carry an edited note and orders with status P an edited account.
     """
-    key = F.col("o_orderkey")
-    no_category = key % 41 == 0
-    account = _account_name((F.col("o_custkey") % ACCOUNT_GROUPS).cast("int"))
-    note = F.coalesce(_note(key), F.lit(""))
+    account, note = f"concat('Account ', {_ACCOUNT_ID})", f"coalesce({_NOTE}, '')"
     if revised:
-        note = F.when(F.col("o_orderstatus") == "F", F.concat(note, F.lit(" (revised)"))).otherwise(note)
-        account = F.when(F.col("o_orderstatus") == "P", F.lit("Account 0")).otherwise(account)
-    text = lambda c: F.coalesce(c, F.lit(""))
-    return orders_with_nation(spark, sf_dir, names=True).select(
-        _sheet_date(key, F.col("o_orderdate").cast("date")).alias("DATE"),
-        F.when(key % 3 == 0, F.upper(account)).otherwise(F.concat(F.lit(" "), account)).alias("Account"),
-        _transaction_type(key).alias("Transaction_Type"),
-        text(_spending_type(F.col("o_orderpriority"))).alias("Spending_Type"),
-        text(_payment_method(key)).alias("Type_Payment"),
-        F.when(no_category, "").otherwise(F.concat(F.lower("r_name"), F.lit("  "))).alias("Category"),
-        F.when(no_category | (key % 7 == 0), "").otherwise(F.col("n_name")).alias("SUB_CATEGORY"),
-        _sheet_amount(key, F.col("o_totalprice")).alias("Amount"),
-        F.concat(note, F.lit(" ")).alias(" Note "),
-        _pick(key % 5, ("yes", " TRUE", "1", "no", "")).alias("Regret"),
-        F.lit("0").alias("Input"),
-        F.lit("0").alias("Total  Extra Using"),
-        key.alias("_row_idx"),
+        account = f"if(o_orderstatus = 'P', 'Account 0', {account})"
+        note = f"if(o_orderstatus = 'F', concat({note}, ' (revised)'), {note})"
+    return orders_with_nation(spark, sf_dir, names=True).selectExpr(
+        f"{_SHEET_DATE} AS DATE",
+        f"if(o_orderkey % 3 = 0, upper({account}), concat(' ', {account})) AS Account",
+        f"{_TYPE} AS Transaction_Type",
+        f"coalesce({_SPENDING}, '') AS Spending_Type",
+        f"coalesce({_PAYMENT}, '') AS Type_Payment",
+        f"if({_HAS_CATEGORY}, concat(lower(r_name), '  '), '') AS Category",
+        f"if({_HAS_SUBCATEGORY}, n_name, '') AS SUB_CATEGORY",
+        f"{_SHEET_AMOUNT} AS Amount",
+        f"concat({note}, ' ') AS ` Note `",
+        "CASE o_orderkey % 5 WHEN 0 THEN 'yes' WHEN 1 THEN ' TRUE' WHEN 2 THEN '1' WHEN 3 THEN 'no' ELSE '' END AS Regret",
+        "'0' AS Input",
+        "'0' AS `Total  Extra Using`",
+        "o_orderkey AS _row_idx",
     )
 
 
 def plan_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Plan revisions: every month once more, plus the same month seven years on.
-
-    Row order is the month; a revised month appears twice and the later row counts.
-    """
-    plan = _plan_ids(spark, sf_dir)
-    variants = F.explode(F.array(F.lit(0), F.lit(1), F.lit(7)))
-    rows = plan.select("plan_id", variants.alias("v"))
-    year = F.floor(F.col("plan_id") / 100) + F.when(F.col("v") == 7, 7).otherwise(0)
-    return rows.select(
-        year.cast("string").alias("Year"),
-        (F.col("plan_id") % 100).cast("string").alias("Month"),
-        F.concat((2000 + F.col("plan_id") % 11 + F.col("v")).cast("string"), F.lit(",000")).alias("Fixed_Budget"),
-        F.when(F.col("v") == 1, "").otherwise(F.lit("750,000")).alias("Savings_Target"),
-        F.when(F.col("v") == 0, "").otherwise(F.concat(F.lit("v"), F.col("v").cast("string"))).alias("Note"),
-        (F.col("plan_id").cast("bigint") * 10 + F.col("v")).alias("_row_idx"),
+    """Plan revisions: every month twice (the later row counts), and the month seven years on."""
+    return (
+        _plan_ids(spark, sf_dir)
+        .selectExpr("plan_id", "explode(array(0, 1, 7)) AS v")
+        .selectExpr(
+            "cast(plan_id div 100 + if(v = 7, 7, 0) AS string) AS Year",
+            "cast(plan_id % 100 AS string) AS Month",
+            "concat(2000 + plan_id % 11 + v, ',000') AS Fixed_Budget",
+            "if(v = 1, '', '750,000') AS Savings_Target",
+            "if(v = 0, '', concat('v', v)) AS Note",
+            "cast(plan_id AS bigint) * 10 + v AS _row_idx",
+        )
     )
 
 
 def plan_item_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Item revisions per month and region, an unknown category and a missing plan."""
-    regions = read_table(spark, sf_dir, "region").agg(F.sort_array(F.collect_set(F.struct("r_regionkey", "r_name"))))
-    known = _plan_ids(spark, sf_dir).select("plan_id", F.explode(regions.scalar()).alias("r"))
-    key = F.col("plan_id")
-    return known.select(
-        (F.floor(key / 100) + F.when((key % 100 == 12) & (F.col("r.r_regionkey") == 0), 50).otherwise(0))
-        .cast("string")
-        .alias("Year"),
-        F.when((key % 100 == 11) & (F.col("r.r_regionkey") == 1), "")
-        .otherwise((key % 100).cast("string"))
-        .alias("Month"),
-        F.when((key % 100 == 10) & (F.col("r.r_regionkey") == 2), "Nowhere")
-        .otherwise(F.concat(F.lit(" "), F.lower(F.col("r.r_name"))))
-        .alias("Category"),
-        F.concat((900 + key % 13 + F.col("r.r_regionkey")).cast("string"), F.lit(",500")).alias("Budgeted"),
-        F.lit("").alias("Note"),
-        (key.cast("bigint") * 10 + F.col("r.r_regionkey")).alias("_row_idx"),
+    """Item revisions, among them months without a plan, blank months and an unknown category."""
+    return _plans_by_region(spark, sf_dir).selectExpr(
+        "cast(plan_id div 100 + if(plan_id % 100 = 12 AND r_regionkey = 0, 50, 0) AS string) AS Year",
+        "if(plan_id % 100 = 11 AND r_regionkey = 1, '', cast(plan_id % 100 AS string)) AS Month",
+        "if(plan_id % 100 = 10 AND r_regionkey = 2, 'Nowhere', concat(' ', lower(r_name))) AS Category",
+        "concat(900 + plan_id % 13 + r_regionkey, ',500') AS Budgeted",
+        "'' AS Note",
+        "cast(plan_id AS bigint) * 10 + r_regionkey AS _row_idx",
     )
