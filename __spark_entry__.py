@@ -14,8 +14,14 @@ from pyspark.sql import types as T
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import oracle_queries  # noqa: E402
-from coffer.plans import marts, reports, views  # noqa: E402
+from coffer.operators.lookup import unresolved_names  # noqa: E402
+from coffer.plans import jobs, loading, marts, quality, reports, science, views  # noqa: E402
+from coffer.plans.cleaning import clean_expenses  # noqa: E402
+from coffer.plans.staging import as_batch, stage_append  # noqa: E402
+from coffer.session import materialise, scratch_path  # noqa: E402
 from coffer.sources import driver_tables as tables  # noqa: E402
+from coffer.sources import sheets, zones  # noqa: E402
+from coffer.streaming.incremental import load_new_expenses  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,15 +44,107 @@ def _portable(df: DataFrame) -> DataFrame:
     return df.select(*columns)
 
 
-def _on_ledger(plan: Callable[..., DataFrame], *args) -> Query:
+def _on_ledger(plan: Callable[..., DataFrame], *args, written: bool = False) -> Query:
     """Query that runs ``plan`` on the ledger derived from the tables of ``sf_dir``."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return _portable(plan(tables.OrderLedger(spark, sf_dir), *args))
+        return _portable(plan(tables.OrderLedger(spark, sf_dir, written), *args))
 
     return query
 
 
+# ---------------------------------------------------------------------------
+# Ingestion: sheets derived from the order tables, as exported once and again.
+# ---------------------------------------------------------------------------
+
+
+def _plain_names(df: DataFrame) -> DataFrame:
+    """Bookkeeping columns without their underscore, or left out where the row place is a file place."""
+    return df.withColumnsRenamed({"_row_idx": "row_idx", "_batch_id": "batch_id"})
+
+
+def _cleaned(spark: SparkSession, sf_dir: str, revised: bool = False, mode: str = "python") -> DataFrame:
+    return clean_expenses(tables.expense_sheet(spark, sf_dir, revised), mode)
+
+
+def _clean_expenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _plain_names(_cleaned(spark, sf_dir))
+
+
+def _clean_expenses_node(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _plain_names(_cleaned(spark, sf_dir, mode="node"))
+
+
+def _sheet_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sheet written as CSV and read back; the export's own row number is kept as a cell."""
+    path = scratch_path(spark, "sheet")
+    sheets.write_sheet(tables.expense_sheet(spark, sf_dir).withColumnRenamed("_row_idx", "row_idx"), path)
+    rows = sheets.read_sheet(spark, path).drop("_row_idx")
+    return rows.toDF(*[c.strip().lower() for c in rows.columns]).withColumn("row_idx", F.col("row_idx").cast("bigint"))
+
+
+def _stage_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    first = as_batch(tables.expense_sheet(spark, sf_dir), 1)
+    second = as_batch(tables.expense_sheet(spark, sf_dir, revised=True), 2)
+    return _plain_names(stage_append(first, second))
+
+
+def _first_in_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    both = [
+        _cleaned(spark, sf_dir, revised).withColumn("_batch_id", F.lit(number).cast("bigint"))
+        for number, revised in ((1, False), (2, True))
+    ]
+    return _portable(_plain_names(loading.first_in_batch(loading.candidates(both[0].unionByName(both[1])))))
+
+
+def _checked(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, tables.OrderLedger]:
+    """New rows of the sheet exported again, with the reason where one is rejected."""
+    ledger = tables.OrderLedger(spark, sf_dir, written=True)
+    fresh = materialise(loading.new_transactions(_cleaned(spark, sf_dir, revised=True), ledger), "new_transactions")
+    return loading.with_reject_reason(fresh, ledger.transactions), ledger
+
+
+def _load_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    checked, _ = _checked(spark, sf_dir)
+    return _portable(checked.filter("reject_reason IS NULL").drop("reject_reason", "_row_idx"))
+
+
+def _rejected_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    checked, _ = _checked(spark, sf_dir)
+    rejected = checked.filter("reject_reason IS NOT NULL")
+    return _portable(_plain_names(rejected.select("_row_idx", "amount", "reject_reason")))
+
+
+def _surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    checked, ledger = _checked(spark, sf_dir)
+    accepted = checked.filter("reject_reason IS NULL")
+    numbered = loading.with_transaction_ids(accepted, ledger.transactions)
+    return _portable(numbered.select("transaction_id", "transaction_date", "amount", "note"))
+
+
+def _unresolved_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = loading.plan_item_rows(tables.plan_item_sheet(spark, sf_dir), tables.OrderLedger(spark, sf_dir, True))
+    return unresolved_names(rows, "category", "category_id").select(F.lit("category").alias("kind"), "name", "row_count")
+
+
+def _upsert_plans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plans = tables.OrderLedger(spark, sf_dir, written=True).monthly_plans
+    return _portable(loading.upsert_plans(plans, tables.plan_sheet(spark, sf_dir)).merged)
+
+
+def _plan_item_upsert(spark: SparkSession, sf_dir: str) -> loading.Upsert:
+    ledger = tables.OrderLedger(spark, sf_dir, written=True)
+    return loading.upsert_plan_items(ledger, tables.plan_item_sheet(spark, sf_dir))
+
+
+def _upsert_plan_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _portable(_plan_item_upsert(spark, sf_dir).merged)
+
+
+def _skipped_plan_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _plain_names(_plan_item_upsert(spark, sf_dir).skipped.select("_row_idx", "plan_id", "category_id"))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: share of each category group in its month's spend."""
     return queries()["mart_category_breakdown"](spark, "/root/testdata/sf0.001")
@@ -83,9 +181,43 @@ def queries() -> dict[str, Query]:
     found["merchants_top_n"] = _on_ledger(
         reports.merchants_top_n, MERCHANTS_FROM, MERCHANTS_TO, MERCHANT_CATEGORIES, 10
     )
+    for name, query in (
+        ("clean_expenses", _clean_expenses),
+        ("clean_expenses_node", _clean_expenses_node),
+        ("sheet_round_trip", _sheet_round_trip),
+        ("stage_append", _stage_append),
+        ("first_in_batch", _first_in_batch),
+        ("load_transactions", _load_transactions),
+        ("rejected_transactions", _rejected_transactions),
+        ("surrogate_keys", _surrogate_keys),
+        ("unresolved_names", _unresolved_names),
+        ("upsert_plans", _upsert_plans),
+        ("upsert_plan_items", _upsert_plan_items),
+        ("skipped_plan_items", _skipped_plan_items),
+    ):
+        found[name] = query
+    # The category whose transactions need a note is a region here.
+    found["dq_report"] = _on_ledger(quality.dq_report, "AFRICA", written=True)
+    found["dangling_links"] = _on_ledger(lambda ledger: quality.dangling_links(ledger.transactions))
+    found["plan_budget_gaps"] = _on_ledger(quality.plan_budget_gaps)
+    for plan in (
+        science.spend_profile,
+        science.anomaly_zscore,
+        science.anomaly_category_zscore,
+        science.anomaly_rolling_z,
+        science.anomaly_iforest,
+        science.spend_forecast,
+        science.forecast_backtest,
+    ):
+        found[plan.__name__] = _on_ledger(plan)
     found["merchant_categories"] = _on_ledger(reports.merchant_categories, MERCHANTS_FROM, MERCHANTS_TO)
     return found
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(oracle_queries.LEDGER)
+    return {
+        **oracle_queries.LEDGER,
+        **oracle_queries.INGEST,
+        **oracle_queries.QUALITY,
+        **oracle_queries.SCIENCE,
+    }

@@ -69,20 +69,20 @@ def load_transactions(
     return Loaded(attempted=counts[0], loaded=counts[0] - counts[1], rejected=counts[1])
 
 
-def _write_upsert(root: str, table: str, upsert: loading.Upsert, sheet: DataFrame, run: int) -> Loaded:
+def _write_upsert(root: str, table: str, upsert: loading.Upsert, sheet: DataFrame) -> Loaded:
     skipped = upsert.skipped.count()
     attempted = sheet.count()
     if attempted > skipped:
-        zones.write_run(upsert.merged, f"{root}/tables/{table}", run)
+        zones.write_snapshot(upsert.merged, f"{root}/tables/{table}")
     return Loaded(attempted, attempted - skipped, skipped)
 
 
 def load_plans(spark: SparkSession, root: str, sheet: DataFrame, ledger: Ledger, run: int) -> Loaded:
-    return _write_upsert(root, "monthly_plans", loading.upsert_plans(ledger.monthly_plans, sheet), sheet, run)
+    return _write_upsert(root, "monthly_plans", loading.upsert_plans(ledger.monthly_plans, sheet), sheet)
 
 
 def load_plan_items(spark: SparkSession, root: str, sheet: DataFrame, ledger: Ledger, run: int) -> Loaded:
-    return _write_upsert(root, "monthly_plan_items", loading.upsert_plan_items(ledger, sheet), sheet, run)
+    return _write_upsert(root, "monthly_plan_items", loading.upsert_plan_items(ledger, sheet), sheet)
 
 
 # In the order they must run: items and transactions look up plans.

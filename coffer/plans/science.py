@@ -219,16 +219,16 @@ def _predict(trend: DataFrame, season: DataFrame, months: int) -> DataFrame:
 
 
 def spend_forecast(ledger: Ledger, months: int = 3) -> DataFrame:
-    """Spend ``months`` months ahead per series, with a 95 percent band."""
+    """Spend ``months`` months ahead per series in whole units, with a 95 percent band."""
     band = 1.96 * F.col("sigma")
     return _predict(*_fit(monthly_series(ledger)), months).select(
         "series",
         "yr",
         "mo",
         "step",
-        F.round("forecast", 2).alias("forecast"),
-        F.round(F.col("forecast") - band, 2).alias("lower"),
-        F.round(F.col("forecast") + band, 2).alias("upper"),
+        F.round("forecast").cast("bigint").alias("forecast"),
+        F.round(F.col("forecast") - band).cast("bigint").alias("lower"),
+        F.round(F.col("forecast") + band).cast("bigint").alias("upper"),
     )
 
 
@@ -256,8 +256,8 @@ def forecast_backtest(ledger: Ledger, months: int = 3) -> DataFrame:
     squared = lambda c: F.pow(F.col("y") - F.col(c), F.lit(2.0))
     return predicted.groupBy("series").agg(
         F.count(F.lit(1)).alias("months"),
-        F.round(F.sqrt(F.avg(squared("forecast"))), 2).alias("rmse_model"),
-        F.round(F.sqrt(F.avg(squared("last_y"))), 2).alias("rmse_last"),
+        F.round(F.sqrt(F.avg(squared("forecast")))).cast("bigint").alias("rmse_model"),
+        F.round(F.sqrt(F.avg(squared("last_y")))).cast("bigint").alias("rmse_last"),
     )
 
 

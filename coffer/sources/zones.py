@@ -60,6 +60,13 @@ def write_run(df: DataFrame, path: str, run: int) -> str:
     return target
 
 
+def write_snapshot(df: DataFrame, path: str) -> str:
+    """Write ``df`` as the next run of ``path``, so that the run it was built from stays readable."""
+    runs = _read_or_none(df.sparkSession, path)
+    last = 0 if runs is None else runs.agg(F.max("run")).first()[0] or 0
+    return write_run(df, path, last + 1)
+
+
 def read_latest(spark: SparkSession, path: str) -> DataFrame | None:
     """Rows of the highest run; older runs are pruned as partitions."""
     runs = _read_or_none(spark, path)

@@ -83,7 +83,125 @@ _CTES = {
                min(expense_date) AS first_seen, max(expense_date) AS last_seen
         FROM stg GROUP BY ALL""",
 }
+for _name, _account, _note in (
+    ("sheet", "account_text", "note_text"),
+    (
+        "resent",
+        "CASE WHEN o_orderstatus = 'P' THEN 'Account 0' ELSE account_text END",
+        "CASE WHEN o_orderstatus = 'F' THEN note_text || ' (revised)' ELSE note_text END",
+    ),
+):
+    _CTES[_name] = f"""
+        SELECT CASE WHEN k % 10 = 0 THEN 'n/a'
+                    WHEN k % 10 = 1 THEN '  ' || CAST(d AS VARCHAR) || ' '
+                    ELSE CAST(month(d) AS VARCHAR) || '/' || CAST(day(d) AS VARCHAR) || '/' || CAST(year(d) AS VARCHAR)
+               END AS date,
+               CASE WHEN k % 3 = 0 THEN upper({_account}) ELSE ' ' || {_account} END AS account,
+               transaction_type, coalesce(spending_type, '') AS spending_type,
+               coalesce(payment_method, '') AS type_payment,
+               CASE WHEN k % 41 = 0 THEN '' ELSE lower(r_name) || '  ' END AS category,
+               CASE WHEN k % 41 = 0 OR k % 7 = 0 THEN '' ELSE n_name END AS sub_category,
+               CASE k % 6 WHEN 0 THEN '' WHEN 1 THEN 'abc' WHEN 2 THEN '(' || price || ')' ELSE price END AS amount,
+               {_note} || ' ' AS note,
+               (['yes', ' TRUE', '1', 'no', ''])[k % 5 + 1] AS regret,
+               '0' AS input, '0' AS "total  extra using", k AS row_idx
+        FROM (SELECT tx.*, o.o_orderstatus, o.o_orderkey AS k, tx.transaction_date AS d, r_name, n_name,
+                     'Account ' || CAST(account_id AS VARCHAR) AS account_text, coalesce(tx.note, '') AS note_text,
+                     CAST(CAST(amount AS BIGINT) // 1000 AS VARCHAR) || ',' ||
+                         lpad(CAST(CAST(amount AS BIGINT) % 1000 AS VARCHAR), 3, '0') AS price
+              FROM tx JOIN orders o ON o.o_orderkey = tx.transaction_id
+                   JOIN customer ON o.o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+                   JOIN region ON n_regionkey = r_regionkey)"""
+
+for _name, _from in (("cleaned", "sheet"), ("cleaned_resent", "resent")):
+    _CTES[_name] = f"""
+        SELECT * EXCLUDE (number), number AS amount, number IS NULL AS needs_cleaning, 'python-api' AS source_data
+        FROM (SELECT CAST(try_strptime(trim(date), ['%m/%d/%Y', '%Y-%m-%d']) AS DATE) AS date,
+                     trim(account) AS account, transaction_type, spending_type, type_payment,
+                     trim(category) AS category, trim(sub_category) AS sub_category,
+                     TRY_CAST(regexp_replace(replace(amount, ',', ''), '\\((.*?)\\)', '-\\1', 'g') AS DOUBLE) AS number,
+                     trim(note) AS note, trim(regret) AS regret, row_idx
+              FROM {_from})
+        WHERE date IS NOT NULL"""
+for _name, _from in (("offered", "cleaned"), ("offered_resent", "cleaned_resent")):
+    _CTES[_name] = f"""
+        SELECT date AS transaction_date, CAST(trunc(amount) AS BIGINT) AS amount, transaction_type,
+               nullif(spending_type, '') AS spending_type, nullif(type_payment, '') AS payment_method,
+               nullif(note, '') AS note, lower(regret) IN ('true', '1', 'yes') AS is_regretted,
+               account, category, sub_category, row_idx
+        FROM {_from} WHERE NOT needs_cleaning"""
+_CTES["fresh"] = """
+        SELECT CAST(f.transaction_date AS DATE) AS transaction_date, a.account_id,
+               CAST(p.plan_id AS INTEGER) AS plan_id, c.category_id, s.subcategory_id, f.transaction_type,
+               f.spending_type, f.amount, f.payment_method, f.note, CAST(NULL AS BIGINT) AS related_transaction_id,
+               f.is_regretted, 'python' AS source_data, f.row_idx
+        FROM offered_resent f
+             LEFT JOIN accounts a ON lower(a.account_name) = lower(f.account)
+             LEFT JOIN categories c ON lower(c.category_name) = lower(f.category)
+             LEFT JOIN subcategories s ON lower(s.subcategory_name) = lower(f.sub_category)
+                                      AND s.category_id = c.category_id
+             LEFT JOIN plans p ON p.plan_year = year(f.transaction_date) AND p.plan_month = month(f.transaction_date)
+        WHERE NOT EXISTS (
+            SELECT 1 FROM tx WHERE tx.transaction_date = f.transaction_date AND tx.amount = f.amount
+               AND tx.transaction_type = f.transaction_type
+               AND coalesce(tx.spending_type, '') = coalesce(f.spending_type, '')
+               AND coalesce(tx.payment_method, '') = coalesce(f.payment_method, '')
+               AND coalesce(tx.note, '') = coalesce(f.note, ''))"""
+_CTES["plan_sheet"] = """
+        SELECT CAST(plan_id // 100 + CASE WHEN v = 7 THEN 7 ELSE 0 END AS INTEGER) AS plan_year,
+               CAST(plan_id % 100 AS INTEGER) AS plan_month,
+               CAST((2000 + plan_id % 11 + v) * 1000 AS BIGINT) AS fixed_budget,
+               CAST(CASE WHEN v = 1 THEN 0 ELSE 750000 END AS BIGINT) AS savings_target,
+               CASE WHEN v > 0 THEN 'v' || CAST(v AS VARCHAR) END AS note
+        FROM months, (VALUES (1), (7)) AS t(v)"""
+_CTES["item_sheet"] = """
+        SELECT plan_id // 100 + CASE WHEN plan_id % 100 = 12 AND r_regionkey = 0 THEN 50 ELSE 0 END AS yr,
+               CASE WHEN NOT (plan_id % 100 = 11 AND r_regionkey = 1) THEN plan_id % 100 END AS mo,
+               CASE WHEN plan_id % 100 = 10 AND r_regionkey = 2 THEN 'Nowhere' ELSE r_name END AS category_name,
+               CAST((900 + plan_id % 13 + r_regionkey) * 1000 + 500 AS BIGINT) AS budgeted,
+               CAST(plan_id AS BIGINT) * 10 + r_regionkey AS row_idx
+        FROM months, region"""
+_CTES["item_found"] = """
+        SELECT i.*, p.plan_id, c.category_id
+        FROM item_sheet i LEFT JOIN plans p ON p.plan_year = i.yr AND p.plan_month = i.mo
+             LEFT JOIN categories c USING (category_name)"""
+_CTES["daily"] = """
+        SELECT coalesce(category_id, -1) AS key, expense_date, count(*) AS n, sum(amount) AS s,
+               sum(CAST(amount AS DECIMAL(18, 0)) * CAST(amount AS DECIMAL(18, 0))) AS ss
+        FROM stg GROUP BY ALL"""
+_CTES["series"] = """
+        SELECT *, yr * 12 + mo - 1 AS t FROM (
+            SELECT category_name AS series, yr, mo, CAST(sum(amount) AS DOUBLE) AS y
+            FROM stg WHERE category_name IS NOT NULL GROUP BY ALL
+            UNION ALL SELECT 'all', yr, mo, CAST(sum(amount) AS DOUBLE) FROM stg GROUP BY ALL)"""
+_CTES["training"] = "SELECT * FROM series q WHERE t <= (SELECT max(t) FROM series m WHERE m.series = q.series) - 3"
+for _name, _from in (("fit", "series"), ("fit_training", "training")):
+    _CTES[_name] = f"""
+        SELECT series, regr_slope(y, t) AS slope, regr_intercept(y, t) AS intercept, max(t) AS last_t,
+               max_by(y, t) AS last_y
+        FROM {_from} GROUP BY series"""
+    _CTES[f"{_name}_season"] = f"""
+        SELECT series, mo, avg(y - (intercept + slope * t)) AS effect
+        FROM {_from} JOIN {_name} USING (series) GROUP BY ALL"""
+
 _NEEDS = {
+    "sheet": ["tx"],
+    "resent": ["tx"],
+    "cleaned": ["sheet"],
+    "cleaned_resent": ["resent"],
+    "offered": ["cleaned"],
+    "offered_resent": ["cleaned_resent"],
+    "fresh": ["offered_resent", "tx", "accounts", "categories", "subcategories", "plans"],
+    "plan_sheet": ["months"],
+    "item_sheet": ["months"],
+    "item_found": ["item_sheet", "plans", "categories"],
+    "daily": ["stg"],
+    "series": ["stg"],
+    "training": ["series"],
+    "fit": ["series"],
+    "fit_season": ["fit"],
+    "fit_training": ["training"],
+    "fit_training_season": ["fit_training"],
     "plans": ["months"],
     "items": ["months"],
     "stg": ["tx", "accounts", "categories", "subcategories"],
@@ -255,3 +373,266 @@ LEDGER = {
         "monthly",
     ),
 }
+
+_NUMBER_NODE = "TRY_CAST(nullif(regexp_replace(amount, '[^0-9.-]', '', 'g'), '') AS DOUBLE)"
+_KEY_COLUMNS = "date, account, transaction_type, amount, type_payment, category, sub_category"
+
+INGEST = {
+    "clean_expenses": _sql("SELECT * FROM cleaned", "cleaned"),
+    "clean_expenses_node": _sql(
+        f"""
+        SELECT CAST(CAST(day AS DATE) AS VARCHAR) AS date, trim(account) AS account, transaction_type, spending_type,
+               type_payment, trim(category) AS category, trim(sub_category) AS sub_category,
+               CASE WHEN amount LIKE '(%)' THEN -number ELSE number END AS amount, trim(note) AS note,
+               trim(regret) AS regret, 'nodejs' AS source_data, row_idx
+        FROM (SELECT *, try_strptime(trim(date), ['%m/%d/%Y', '%Y-%m-%d']) AS day, {_NUMBER_NODE} AS number FROM sheet)
+        WHERE day IS NOT NULL AND (amount = '' OR number IS NOT NULL)""",
+        "sheet",
+    ),
+    "sheet_round_trip": _sql("SELECT * FROM sheet", "sheet"),
+    "stage_append": _sql(
+        f"""
+        SELECT * EXCLUDE (place) FROM (
+            SELECT *, row_number() OVER (PARTITION BY {_KEY_COLUMNS} ORDER BY batch_id DESC, row_idx DESC) AS place
+            FROM (SELECT *, CAST(1 AS BIGINT) AS batch_id FROM sheet
+                  UNION ALL SELECT *, CAST(2 AS BIGINT) FROM resent))
+        WHERE place = 1""",
+        "sheet",
+        "resent",
+    ),
+    "first_in_batch": _sql(
+        """
+        SELECT * EXCLUDE (place) FROM (
+            SELECT *, row_number() OVER (
+                       PARTITION BY transaction_date, amount, transaction_type, coalesce(spending_type, ''),
+                                    coalesce(payment_method, ''), coalesce(note, '')
+                       ORDER BY batch_id, row_idx) AS place
+            FROM (SELECT *, CAST(1 AS BIGINT) AS batch_id FROM offered
+                  UNION ALL SELECT *, CAST(2 AS BIGINT) FROM offered_resent))
+        WHERE place = 1""",
+        "offered",
+        "offered_resent",
+    ),
+    "load_transactions": _sql("SELECT * EXCLUDE (row_idx) FROM fresh WHERE amount > 0", "fresh"),
+    "rejected_transactions": _sql(
+        "SELECT row_idx, amount, 'amount' AS reject_reason FROM fresh WHERE amount <= 0", "fresh"
+    ),
+    "surrogate_keys": _sql(
+        """
+        SELECT (SELECT max(transaction_id) FROM tx) + row_number() OVER (
+                   ORDER BY transaction_date, amount, transaction_type, spending_type NULLS FIRST,
+                            payment_method NULLS FIRST, note NULLS FIRST) AS transaction_id,
+               transaction_date, amount, note
+        FROM fresh WHERE amount > 0""",
+        "fresh",
+    ),
+    "unresolved_names": _sql(
+        """
+        SELECT 'category' AS kind, lower(category_name) AS name, count(*) AS row_count
+        FROM item_found WHERE category_id IS NULL GROUP BY ALL""",
+        "item_found",
+    ),
+    "upsert_plans": _sql(
+        """
+        SELECT CAST(coalesce(p.plan_id, (SELECT max(plan_id) FROM plans) + row_number() OVER (
+                   PARTITION BY p.plan_id IS NULL ORDER BY plan_year, plan_month)) AS INTEGER) AS plan_id,
+               plan_year, plan_month, coalesce(s.fixed_budget, p.fixed_budget) AS fixed_budget,
+               coalesce(s.savings_target, p.savings_target) AS savings_target,
+               CASE WHEN s.plan_year IS NULL THEN p.note ELSE s.note END AS note
+        FROM plans p FULL JOIN plan_sheet s USING (plan_year, plan_month)""",
+        "plans",
+        "plan_sheet",
+    ),
+    "upsert_plan_items": _sql(
+        """
+        SELECT i.item_id, i.plan_id, i.category_id, coalesce(f.budgeted, i.budgeted) AS budgeted,
+               CAST(NULL AS VARCHAR) AS note
+        FROM items i LEFT JOIN item_found f ON f.plan_id = i.plan_id AND f.category_id = i.category_id""",
+        "items",
+        "item_found",
+    ),
+    "skipped_plan_items": _sql(
+        "SELECT row_idx, plan_id, category_id FROM item_found WHERE plan_id IS NULL OR category_id IS NULL",
+        "item_found",
+    ),
+}
+
+
+def _checks() -> str:
+    tx_key = "transaction_date, account_id, transaction_type, spending_type, amount, payment_method, left(note, 200)"
+
+    def nulls(model: str, table: str, *columns: str) -> list[str]:
+        return [
+            f"SELECT 'not_null:{model}.{c}' AS check_name, count(*) AS failed FROM {table} WHERE {c} IS NULL"
+            for c in columns
+        ]
+
+    def outside(model: str, table: str, column: str, *values: str) -> str:
+        listed = ", ".join(f"'{v}'" for v in values)
+        return f"SELECT 'accepted:{model}.{column}', count(*) FROM {table} WHERE {column} NOT IN ({listed})"
+
+    def orphans(model: str, table: str, column: str, parent: str, key: str | None = None) -> str:
+        return (
+            f"SELECT 'relationship:{model}.{column}', count(*) FROM {table} x WHERE x.{column} IS NOT NULL "
+            f"AND NOT EXISTS (SELECT 1 FROM {parent} y WHERE y.{key or column} = x.{column})"
+        )
+
+    def repeated(check: str, table: str, keys: str, where: str = "true") -> str:
+        return (
+            f"SELECT 'unique:{check}', count(*) FROM "
+            f"(SELECT 1 FROM {table} WHERE {where} GROUP BY {keys} HAVING count(*) > 1)"
+        )
+
+    parts = [
+        *nulls("stg_expenses", "stg", "id", "expense_date", "amount", "category_id"),
+        *nulls("mart_monthly_summary", "monthly", "yr", "mo", "total_spend"),
+        *nulls("mart_category_breakdown", "breakdown", "yr", "category_name", "total_spend"),
+        *nulls("mart_top_merchants", "grouped", "merchant", "total_spend"),
+        outside(
+            "transactions",
+            "tx",
+            "transaction_type",
+            *"income expense transfer_out transfer_in credit_purchase credit_payment".split(),
+            *"loan_given loan_received loan_repayment_in loan_repayment_out".split(),
+        ),
+        outside("transactions", "tx", "spending_type", "fixed", "extra"),
+        outside("transactions", "tx", "payment_method", "cash", "bank_transfer", "credit_card", "momo"),
+        outside("transactions", "tx", "source_data", "nodejs", "python"),
+        outside("accounts", "accounts", "account_type", "savings", "expense", "credit"),
+        outside("categories", "categories", "category_type", "expense", "income", "transfer", "debt"),
+        "SELECT 'expression:transactions.amount_positive', count(*) FROM tx WHERE amount <= 0",
+        "SELECT 'expression:monthly_plans.plan_month', count(*) FROM plans WHERE plan_month NOT BETWEEN 1 AND 12",
+        orphans("transactions", "tx", "account_id", "accounts"),
+        orphans("transactions", "tx", "plan_id", "plans"),
+        orphans("transactions", "tx", "category_id", "categories"),
+        orphans("transactions", "tx", "subcategory_id", "subcategories"),
+        orphans("transactions", "tx", "related_transaction_id", "tx", "transaction_id"),
+        orphans("monthly_plan_items", "items", "plan_id", "plans"),
+        orphans("monthly_plan_items", "items", "category_id", "categories"),
+        orphans("subcategories", "subcategories", "category_id", "categories"),
+        "SELECT 'note_required:transactions.note', count(*) FROM tx JOIN categories USING (category_id) "
+        "WHERE category_name = 'AFRICA' AND coalesce(trim(note), '') = ''",
+        repeated("stg_expenses.id", "stg", "id"),
+        repeated("categories.category_name", "categories", "category_name"),
+        repeated("subcategories.category_id_name", "subcategories", "category_id, subcategory_name"),
+        repeated("monthly_plans.year_month", "plans", "plan_year, plan_month"),
+        repeated("monthly_plan_items.plan_category", "items", "plan_id, category_id"),
+        repeated(
+            "transactions.key",
+            "tx",
+            tx_key,
+            "spending_type IS NOT NULL AND payment_method IS NOT NULL AND note IS NOT NULL",
+        ),
+        "SELECT 'consistent:monthly_plans.fixed_budget', count(*) FROM plans p WHERE p.fixed_budget <> "
+        "(SELECT sum(budgeted) FROM items i WHERE i.plan_id = p.plan_id)",
+    ]
+    return " UNION ALL ".join(parts)
+
+
+QUALITY = {
+    "dq_report": _sql(
+        _checks(), "stg", "monthly", "breakdown", "grouped", "tx", "accounts", "categories", "subcategories", "items", "plans"
+    ),
+    "dangling_links": _sql(
+        """
+        SELECT related_transaction_id AS linked_id, count(*) AS n FROM tx
+        WHERE related_transaction_id NOT IN (SELECT transaction_id FROM tx) GROUP BY ALL""",
+        "tx",
+    ),
+    "plan_budget_gaps": _sql(
+        """
+        SELECT p.plan_id, plan_year, plan_month, fixed_budget, CAST(sum(budgeted) AS BIGINT) AS items_total
+        FROM plans p JOIN items i USING (plan_id) GROUP BY ALL HAVING sum(budgeted) <> fixed_budget""",
+        "plans",
+        "items",
+    ),
+}
+
+# Population deviation from the sums, step by step as in the query.
+_MEAN = "CAST(s AS DOUBLE) / n"
+_STD = f"sqrt(greatest(CAST(ss AS DOUBLE) / n - ({_MEAN}) * ({_MEAN}), 0.0))"
+_SQUARES = "sum(CAST(amount AS DECIMAL(18, 0)) * CAST(amount AS DECIMAL(18, 0)))"
+
+
+def _scored(mean: str, std: str) -> str:
+    return f"CASE WHEN {std} > 0 THEN round((CAST(amount AS DOUBLE) - {mean}) / {std}, 6) END"
+
+
+SCIENCE = {
+    "spend_profile": _sql(
+        """
+        SELECT s.category_id, s.category_name, count(*) AS tx_count,
+               count(*) - count(spending_type) AS missing_spending_type,
+               count(*) - count(payment_method) AS missing_payment_method,
+               count(*) - count(description) AS missing_description,
+               round(avg(amount::DOUBLE), 4) AS mean_amount, round(stddev_pop(amount::DOUBLE), 4) AS std_amount,
+               min(amount)::BIGINT AS min_amount, any_value(q1) AS q1_amount, any_value(q2) AS median_amount,
+               any_value(q3) AS q3_amount, max(amount)::BIGINT AS max_amount,
+               count(*) FILTER (WHERE amount < q1 - 1.5 * (q3 - q1) OR amount > q3 + 1.5 * (q3 - q1)) AS outliers
+        FROM stg s JOIN (SELECT coalesce(category_id, -1) AS key, quantile_disc(amount::BIGINT, 0.25) AS q1,
+                                quantile_disc(amount::BIGINT, 0.5) AS q2, quantile_disc(amount::BIGINT, 0.75) AS q3
+                         FROM stg GROUP BY ALL) q ON q.key = coalesce(s.category_id, -1)
+        GROUP BY s.category_id, s.category_name""",
+        "stg",
+    ),
+    "anomaly_zscore": _sql(
+        f"""
+        SELECT id, expense_date, category_id, amount::BIGINT AS amount, z_score,
+               coalesce(abs(z_score) > 3, false) AS is_anomaly
+        FROM (SELECT stg.*, {_scored("mean", "std")} AS z_score
+              FROM stg, (SELECT {_MEAN} AS mean, {_STD} AS std
+                         FROM (SELECT count(*) AS n, sum(amount) AS s, {_SQUARES} AS ss FROM stg)))""",
+        "stg",
+    ),
+    "anomaly_category_zscore": _sql(
+        f"""
+        SELECT id, expense_date, category_id, amount::BIGINT AS amount, z_score,
+               coalesce(abs(z_score) > 3, false) AS is_anomaly
+        FROM (SELECT stg.*, {_scored("mean", "std")} AS z_score
+              FROM stg JOIN (SELECT key, {_MEAN} AS mean, {_STD} AS std
+                             FROM (SELECT coalesce(category_id, -1) AS key, count(*) AS n, sum(amount) AS s,
+                                          {_SQUARES} AS ss FROM stg GROUP BY ALL))
+                ON key = coalesce(category_id, -1))""",
+        "stg",
+    ),
+    "anomaly_rolling_z": _sql(
+        f"""
+        SELECT id, expense_date, category_id, amount::BIGINT AS amount,
+               CAST(isodow(expense_date) - 1 AS INTEGER) AS day_of_week, n AS window_count,
+               round(mean, 4) AS rolling_mean, rolling_z, coalesce(abs(rolling_z) > 3, false) AS is_anomaly
+        FROM (SELECT stg.*, n, mean, {_scored("mean", "std")} AS rolling_z
+              FROM stg JOIN (SELECT key, day, CAST(n AS BIGINT) AS n, {_MEAN} AS mean, {_STD} AS std
+                             FROM (SELECT a.key, a.expense_date AS day, sum(b.n) AS n, sum(b.s) AS s, sum(b.ss) AS ss
+                                   FROM daily a JOIN daily b ON a.key = b.key
+                                        AND b.expense_date BETWEEN a.expense_date - 29 AND a.expense_date
+                                   GROUP BY ALL))
+                ON key = coalesce(category_id, -1) AND day = expense_date)""",
+        "daily",
+    ),
+    "spend_forecast": _sql(
+        """
+        SELECT series, CAST(t // 12 AS INTEGER) AS yr, CAST(t % 12 + 1 AS INTEGER) AS mo, step,
+               CAST(round(forecast) AS BIGINT) AS forecast, CAST(round(forecast - 1.96 * sigma) AS BIGINT) AS lower,
+               CAST(round(forecast + 1.96 * sigma) AS BIGINT) AS upper
+        FROM (SELECT f.series, f.last_t + step AS t, CAST(step AS INTEGER) AS step, sigma,
+                     intercept + slope * (f.last_t + step) + coalesce(effect, 0) AS forecast
+              FROM fit f CROSS JOIN generate_series(1, 3) AS g(step)
+                   JOIN (SELECT series, stddev_pop(y - (intercept + slope * t) - effect) AS sigma
+                         FROM series JOIN fit USING (series) JOIN fit_season USING (series, mo) GROUP BY series)
+                        USING (series)
+                   LEFT JOIN fit_season e ON e.series = f.series AND e.mo = (f.last_t + step) % 12 + 1)""",
+        "fit_season",
+    ),
+    "forecast_backtest": _sql(
+        """
+        SELECT s.series, count(*) AS months,
+               CAST(round(sqrt(avg(power(y - (intercept + slope * t + coalesce(effect, 0)), 2)))) AS BIGINT)
+                   AS rmse_model,
+               CAST(round(sqrt(avg(power(y - last_y, 2)))) AS BIGINT) AS rmse_last
+        FROM series s JOIN fit_training f USING (series)
+             LEFT JOIN fit_training_season e ON e.series = s.series AND e.mo = s.mo
+        WHERE t > (SELECT max(m.t) FROM series m WHERE m.series = s.series) - 3
+        GROUP BY s.series""",
+        "fit_training_season",
+    ),
+}
