@@ -145,6 +145,48 @@ def _skipped_plan_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain_names(_plan_item_upsert(spark, sf_dir).skipped.select("_row_idx", "plan_id", "category_id"))
 
 
+def _land(spark: SparkSession, sf_dir: str) -> str:
+    """A pipeline folder with the dimensions written and the first sheets landed."""
+    root = scratch_path(spark, "pipeline")
+    ledger = tables.OrderLedger(spark, sf_dir)
+    for name in ("accounts", "categories", "subcategories"):
+        zones.write_snapshot(getattr(ledger, name), f"{root}/tables/{name}")
+    _land_sheet(tables.plan_sheet(spark, sf_dir), root, "plans")
+    _land_sheet(tables.plan_item_sheet(spark, sf_dir), root, "plan_items")
+    _land_sheet(tables.expense_sheet(spark, sf_dir), root, "expenses")
+    return root
+
+
+def _land_sheet(sheet: DataFrame, root: str, source: str, drop: int = 1) -> None:
+    ordered = sheet.sortWithinPartitions("_row_idx").drop("_row_idx")
+    sheets.write_sheet(ordered, f"{root}/landing/{source}/drop={drop}")
+
+
+def _loaded_facts(spark: SparkSession, root: str) -> DataFrame:
+    facts = zones.read_transactions(spark, root)
+    return _portable(facts.drop("transaction_id", "related_transaction_id", "yr", "mo"))
+
+
+def _source_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts after the daily job ran on the first sheets and on the sheet exported again."""
+    root = _land(spark, sf_dir)
+    jobs.run_sources(spark, root, batch_id=1)
+    _land_sheet(tables.expense_sheet(spark, sf_dir, revised=True), root, "expenses")
+    jobs.run_sources(spark, root, batch_id=2)
+    return _loaded_facts(spark, root)
+
+
+def _incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same facts, with the expense sheets picked up by the stream as they land."""
+    root = _land(spark, sf_dir)
+    jobs.run_sources(spark, root, batch_id=1, only=["plans", "plan_items"])
+    names = tables.expense_sheet(spark, sf_dir).drop("_row_idx").columns
+    load_new_expenses(spark, root, names).awaitTermination()
+    _land_sheet(tables.expense_sheet(spark, sf_dir, revised=True), root, "expenses", drop=2)
+    load_new_expenses(spark, root, names).awaitTermination()
+    return _loaded_facts(spark, root)
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: share of each category group in its month's spend."""
     return queries()["mart_category_breakdown"](spark, "/root/testdata/sf0.001")
@@ -194,6 +236,8 @@ def queries() -> dict[str, Query]:
         ("upsert_plans", _upsert_plans),
         ("upsert_plan_items", _upsert_plan_items),
         ("skipped_plan_items", _skipped_plan_items),
+        ("source_run", _source_run),
+        ("incremental_load", _incremental_load),
     ):
         found[name] = query
     # The category whose transactions need a note is a region here.

@@ -37,6 +37,7 @@ def read_sheet(spark: SparkSession, path: str, multi_line: bool = True) -> DataF
         .option("multiLine", multi_line)
         .option("escape", '"')
         .option("encoding", "UTF-8")
+        .option("recursiveFileLookup", True)
         .csv(path)
     )
     # Files, then the splits of a file, then the rows of a split, in order.

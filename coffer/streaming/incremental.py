@@ -27,6 +27,7 @@ def landing_stream(spark: SparkSession, path: str, columns: Sequence[str], multi
         .option("header", True)
         .option("multiLine", multi_line)
         .option("escape", '"')
+        .option("recursiveFileLookup", True)
         .csv(path)
     )
     return rows.select(

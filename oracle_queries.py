@@ -456,6 +456,29 @@ INGEST = {
         "item_found",
     ),
 }
+_LOADED = _sql(
+    """
+    SELECT CAST(f.transaction_date AS DATE) AS transaction_date, a.account_id, CAST(p.plan_id AS INTEGER) AS plan_id,
+           c.category_id, s.subcategory_id, f.transaction_type, f.spending_type, f.amount, f.payment_method, f.note,
+           f.is_regretted, 'python' AS source_data
+    FROM (SELECT * FROM offered UNION ALL SELECT * FROM offered_resent WHERE note LIKE '%(revised)') f
+         LEFT JOIN accounts a ON lower(a.account_name) = lower(f.account)
+         LEFT JOIN categories c ON lower(c.category_name) = lower(f.category)
+         LEFT JOIN subcategories s ON lower(s.subcategory_name) = lower(f.sub_category)
+                                  AND s.category_id = c.category_id
+         LEFT JOIN (SELECT plan_year, plan_month, row_number() OVER (ORDER BY plan_year, plan_month) AS plan_id
+                    FROM (SELECT DISTINCT plan_year, plan_month FROM plan_sheet)) p
+           ON p.plan_year = year(f.transaction_date) AND p.plan_month = month(f.transaction_date)
+    WHERE f.amount > 0""",
+    "offered",
+    "offered_resent",
+    "accounts",
+    "categories",
+    "subcategories",
+    "plan_sheet",
+)
+INGEST["source_run"] = _LOADED
+INGEST["incremental_load"] = _LOADED
 
 
 def _checks() -> str:
