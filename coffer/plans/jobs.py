@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,28 +36,27 @@ class Source:
     load: Callable[[SparkSession, str, DataFrame, Ledger, int], Loaded]
 
 
-def _touched_months(rows: DataFrame, ledger: Ledger) -> Ledger:
-    """The ledger with only the facts between the first and last date of ``rows``.
+def _facts_near(rows: DataFrame, facts: DataFrame) -> DataFrame:
+    """The facts between the first and last date of ``rows``.
 
     The natural key holds the date, so no other fact can match.  Where the facts lie
     in month folders the folders outside the range are not read.
     """
     first, last = rows.agg(F.min("transaction_date"), F.max("transaction_date")).first()
-    facts = ledger.transactions.filter(F.col("transaction_date").between(F.lit(first), F.lit(last)))
+    near = facts.filter(F.col("transaction_date").between(F.lit(first), F.lit(last)))
     if first is not None and "yr" in facts.columns:
         month = F.col("yr") * 12 + F.col("mo")
-        facts = facts.filter(month.between(first.year * 12 + first.month, last.year * 12 + last.month))
-    return replace(ledger, transactions=facts)
+        near = near.filter(month.between(first.year * 12 + first.month, last.year * 12 + last.month))
+    return near
 
 
 def load_transactions(
     spark: SparkSession, root: str, cleaned: DataFrame, ledger: Ledger, run: int, source: str = "python"
 ) -> Loaded:
     """Insert what the ledger lacks; rows that break a constraint go to ``rejected``."""
-    batch = loading.candidates(cleaned)
-    near = _touched_months(batch, ledger)
-    fresh = materialise(loading.new_transactions(cleaned, near, source), "new_transactions")
-    checked = materialise(loading.with_reject_reason(fresh, near.transactions), "checked_transactions")
+    near = _facts_near(loading.candidates(cleaned), ledger.transactions)
+    fresh = materialise(loading.new_transactions(cleaned, ledger, source, existing=near), "new_transactions")
+    checked = materialise(loading.with_reject_reason(fresh, near), "checked_transactions")
     accepted = checked.filter("reject_reason IS NULL")
     rejected = checked.filter("reject_reason IS NOT NULL")
     counts = checked.agg(F.count(F.lit(1)), F.count("reject_reason")).first()
@@ -106,7 +105,7 @@ def run_batch(spark: SparkSession, source: Source, sheet: DataFrame, root: str,
     processed_path = zones.write_run(rows, f"{root}/processed/{source.name}", batch_id)
     processed = require_rows(spark.read.schema(rows.schema).parquet(processed_path), f"cleaned {source.name}")
 
-    done = source.load(spark, root, processed, zones.read_ledger(spark, root), batch_id)
+    done = source.load(spark, root, processed, zones.StoredLedger(spark, root), batch_id)
     return {
         "source": source.name,
         "status": "ok",

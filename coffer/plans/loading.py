@@ -27,9 +27,6 @@ from coffer.schema import (
 NATURAL_KEY = ("transaction_date", "amount", "transaction_type", "spending_type", "payment_method", "note")
 UNIQUE_KEY = ("transaction_date", "account_id", "transaction_type", "spending_type", "amount", "payment_method")
 
-# A natural key longer than any real note is the full note; only notes of at least
-# the prefix length can collide on the unique key without sharing the natural key.
-
 
 def _cell(df: DataFrame, name: str) -> Column:
     """Column ``name`` as text, or NULL where the sheet lacks it."""
@@ -112,9 +109,14 @@ def new_transactions(
     source: str = "python",
     rounding: str = "truncate",
     subcategory_rule: str = "within_category",
+    existing: DataFrame | None = None,
 ) -> DataFrame:
-    """Rows to insert, ids resolved, constraints not yet checked."""
-    fresh = not_yet_loaded(first_in_batch(candidates(cleaned, rounding)), ledger.transactions)
+    """Rows to insert, ids resolved, constraints not yet checked.
+
+    ``existing`` names the facts to compare with, where not all of them are needed.
+    """
+    held = ledger.transactions if existing is None else existing
+    fresh = not_yet_loaded(first_in_batch(candidates(cleaned, rounding)), held)
     resolved = resolve_ids(fresh, ledger, subcategory_rule)
     return resolved.select(
         "transaction_date",

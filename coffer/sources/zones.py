@@ -11,13 +11,19 @@ partition, so a repeated run leaves the same files.
 
 from __future__ import annotations
 
+from functools import cached_property
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
+from pyspark.sql.types import StructType
 
 from coffer.schema import (
+    ACCOUNTS,
+    CATEGORIES,
     MONTHLY_PLAN_ITEMS,
     MONTHLY_PLANS,
+    SUBCATEGORIES,
     TRANSACTIONS,
     Ledger,
     seed_dimensions,
@@ -67,9 +73,10 @@ def write_snapshot(df: DataFrame, path: str) -> str:
     return write_run(df, path, last + 1)
 
 
-def read_latest(spark: SparkSession, path: str) -> DataFrame | None:
+def read_latest(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame | None:
     """Rows of the highest run; older runs are pruned as partitions."""
-    runs = _read_or_none(spark, path)
+    wanted = None if schema is None else f"{schema.toDDL()}, run BIGINT"
+    runs = _read_or_none(spark, path, wanted)
     if runs is None:
         return None
     latest = runs.agg(F.max("run")).first()[0]
@@ -96,26 +103,46 @@ def read_transactions(spark: SparkSession, root: str) -> DataFrame:
     return spark.createDataFrame([], schema) if found is None else found
 
 
-def read_ledger(spark: SparkSession, root: str) -> Ledger:
-    """The ledger as last written; seed dimensions, empty tables where nothing was loaded."""
-    accounts, categories, subcategories = seed_dimensions(spark)
+class StoredLedger:
+    """The ledger tables as last written; each is opened when first asked for.
 
-    def table(name: str, schema) -> DataFrame:
-        found = read_latest(spark, f"{root}/tables/{name}")
-        return spark.createDataFrame([], schema) if found is None else found
+    Dimensions that were never written are the seeded ones, other tables are empty.
+    """
 
-    def dimension(name: str, seed: DataFrame) -> DataFrame:
-        found = read_latest(spark, f"{root}/tables/{name}")
-        return seed if found is None else found
+    def __init__(self, spark: SparkSession, root: str):
+        self._spark, self._root = spark, root
 
-    return Ledger(
-        dimension("accounts", accounts),
-        dimension("categories", categories),
-        dimension("subcategories", subcategories),
-        table("monthly_plans", MONTHLY_PLANS),
-        table("monthly_plan_items", MONTHLY_PLAN_ITEMS),
-        read_transactions(spark, root),
-    )
+    def _table(self, name: str, schema: StructType) -> DataFrame | None:
+        return read_latest(self._spark, f"{self._root}/tables/{name}", schema)
+
+    @cached_property
+    def accounts(self) -> DataFrame:
+        found = self._table("accounts", ACCOUNTS)
+        return seed_dimensions(self._spark)[0] if found is None else found
+
+    @cached_property
+    def categories(self) -> DataFrame:
+        found = self._table("categories", CATEGORIES)
+        return seed_dimensions(self._spark)[1] if found is None else found
+
+    @cached_property
+    def subcategories(self) -> DataFrame:
+        found = self._table("subcategories", SUBCATEGORIES)
+        return seed_dimensions(self._spark)[2] if found is None else found
+
+    @cached_property
+    def monthly_plans(self) -> DataFrame:
+        found = self._table("monthly_plans", MONTHLY_PLANS)
+        return self._spark.createDataFrame([], MONTHLY_PLANS) if found is None else found
+
+    @cached_property
+    def monthly_plan_items(self) -> DataFrame:
+        found = self._table("monthly_plan_items", MONTHLY_PLAN_ITEMS)
+        return self._spark.createDataFrame([], MONTHLY_PLAN_ITEMS) if found is None else found
+
+    @cached_property
+    def transactions(self) -> DataFrame:
+        return read_transactions(self._spark, self._root)
 
 
 def jdbc_ledger(spark: SparkSession, url: str, **options: str) -> Ledger:
