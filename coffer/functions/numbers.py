@@ -7,15 +7,19 @@ from pyspark.sql import functions as F
 
 from coffer.functions.text import trim
 
-# Plain decimal notation.  The cast alone would also take "12d", "nan" or "Infinity".
-_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+# Plain decimal notation, within what a double holds.  The cast alone would also take
+# "12d", "nan" or "Infinity".
+_NUMBER = r"^[+-]?(\d{1,200}\.?\d*|\.\d+)([eE][+-]?\d{1,2})?$"
 
 
 def to_number(c: Column) -> Column:
     """Text to double; anything that is not a finite plain number gives NULL."""
     text = trim(c)
-    value = F.when(text.rlike(_NUMBER), text).try_cast("double")
-    return F.when(F.abs(value) < F.lit(float("inf")), value)
+    return F.when(text.rlike(_NUMBER), text).try_cast("double")
+
+
+def _without_commas(c: Column) -> Column:
+    return F.replace(c.cast("string"), F.lit(","), F.lit(""))
 
 
 def accounting_number(c: Column, mode: str = "python") -> Column:
@@ -23,20 +27,25 @@ def accounting_number(c: Column, mode: str = "python") -> Column:
 
     ``mode="node"`` also drops currency signs and other stray characters first.
     """
-    text = F.regexp_replace(c.cast("string"), ",", "")
+    text = _without_commas(c)
     if mode == "python":
-        return to_number(F.regexp_replace(text, r"\((.*?)\)", "-$1"))
+        signed = F.regexp_replace(text, r"\((.*?)\)", "-$1")
+        return to_number(F.when(text.contains("("), signed).otherwise(text))
     bracketed = text.contains("(") & text.contains(")")
     value = to_number(F.regexp_replace(text, r"[^0-9.\-]", ""))
     return F.when(bracketed, -value).otherwise(value)
 
 
 def whole_amount(c: Column, rounding: str = "truncate") -> Column:
-    """Amount as a whole number; blank or bad text counts as 0.
+    """Amount text as a whole number; blank or bad text counts as 0.
 
     ``rounding="half_up"`` rounds to the nearest, halves upwards.
     """
-    value = to_number(F.regexp_replace(c.cast("string"), ",", ""))
+    return whole_number(to_number(_without_commas(c)), rounding)
+
+
+def whole_number(value: Column, rounding: str = "truncate") -> Column:
+    """A double as a whole number; NULL counts as 0."""
     if rounding == "half_up":
         value = F.floor(value + 0.5)
     return F.coalesce(value.try_cast("bigint"), F.lit(0).cast("bigint"))

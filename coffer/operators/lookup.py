@@ -27,6 +27,7 @@ def lookup_join(
     how: str = "left",
     max_rows: int = BROADCAST_ROWS,
     salt_by: Sequence[str] | None = None,
+    rows: int | None = None,
 ) -> DataFrame:
     """Join ``fact`` to a lookup table with unique keys.
 
@@ -37,13 +38,14 @@ def lookup_join(
     fills only a 1/``SALTS`` share of that third in any one task.
 
     The lookup side is evaluated for the count and again for the join, so one that is
-    computed from facts should be written first (``session.materialise``).
+    computed from facts should be written first (``session.materialise``).  ``rows`` is
+    an upper bound of its rows the caller has counted already.
 
     The salt is a hash of ``salt_by`` (by default all fact columns), so a task that
     runs again after a lost executor puts each row where it was before.
     """
     on = list(on)
-    if bounded_count(lookup, max_rows) <= max_rows:
+    if (bounded_count(lookup, max_rows) if rows is None else rows) <= max_rows:
         return fact.join(F.broadcast(lookup), on, how)
     salt = F.pmod(F.xxhash64(*(salt_by or fact.columns)), F.lit(SALTS))
     salted_fact = fact.withColumn("_salt", salt.cast("int"))
@@ -74,7 +76,9 @@ def resolve_name(
         .agg(F.max(lookup_id).alias(lookup_id))
     )
     keyed = rows.withColumn("_name", fold(F.col(name)))
-    return lookup_join(keyed, ids, ["_name", *within], max_rows=max_rows).drop("_name")
+    # One id per name at most, so the rows of the table itself bound the lookup side.
+    at_most = bounded_count(lookup, max_rows)
+    return lookup_join(keyed, ids, ["_name", *within], max_rows=max_rows, rows=at_most).drop("_name")
 
 
 def unresolved_names(rows: DataFrame, name: str, resolved_id: str) -> DataFrame:
@@ -95,4 +99,6 @@ def plan_of_month(rows: DataFrame, plans: DataFrame, yr: Column, mo: Column) ->
     months = plans.groupBy(
         month_number(F.col("plan_year").cast("int"), F.col("plan_month").cast("int")).alias("_month")
     ).agg(F.max("plan_id").alias("plan_id"))
-    return lookup_join(rows.withColumn("_month", month_number(yr, mo)), months, ["_month"]).drop("_month")
+    keyed = rows.withColumn("_month", month_number(yr, mo))
+    at_most = bounded_count(plans, BROADCAST_ROWS)
+    return lookup_join(keyed, months, ["_month"], rows=at_most).drop("_month")

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from coffer.functions.dates import parse_date
-from coffer.functions.numbers import to_number, whole_amount
+from coffer.functions.numbers import to_number, whole_amount, whole_number
 from coffer.functions.text import blank_to_null, fold, is_true, lower_headers, null_to_blank, trim
 from coffer.operators.dedupe import keep_first, keep_last
 from coffer.operators.lookup import plan_of_month, resolve_name
@@ -23,6 +23,7 @@ from coffer.schema import (
     UNIQUE_NOTE_PREFIX,
     Ledger,
 )
+from coffer.session import materialise
 
 NATURAL_KEY = ("transaction_date", "amount", "transaction_type", "spending_type", "payment_method", "note")
 UNIQUE_KEY = ("transaction_date", "account_id", "transaction_type", "spending_type", "amount", "payment_method")
@@ -33,6 +34,17 @@ def _cell(df: DataFrame, name: str) -> Column:
     return F.col(f"`{name}`").cast("string") if name in df.columns else F.lit(None).cast("string")
 
 
+def _date(df: DataFrame) -> Column:
+    """The date cell; cleaned rows carry it typed already, unless it went through text."""
+    return F.col("date") if dict(df.dtypes).get("date") == "date" else parse_date(_cell(df, "date"))
+
+
+def _amount(df: DataFrame, rounding: str) -> Column:
+    if dict(df.dtypes).get("amount") == "double":
+        return whole_number(F.col("amount"), rounding)
+    return whole_amount(_cell(df, "amount"), rounding)
+
+
 def _order(df: DataFrame) -> list[str]:
     return [c for c in ROW_ORDER if c in df.columns]
 
@@ -53,8 +65,8 @@ def candidates(cleaned: DataFrame, rounding: str = "truncate") -> DataFrame:
     return (
         cleaned.filter(null_to_blank(flagged) != "true")
         .select(
-            parse_date(_cell(cleaned, "date")).alias("transaction_date"),
-            whole_amount(_cell(cleaned, "amount"), rounding).try_cast(MONEY).alias("amount"),
+            _date(cleaned).alias("transaction_date"),
+            _amount(cleaned, rounding).try_cast(MONEY).alias("amount"),
             enum("transaction_type").alias("transaction_type"),
             enum("spending_type").alias("spending_type"),
             enum("type_payment").alias("payment_method"),
@@ -231,13 +243,10 @@ def upsert_plans(existing: DataFrame, sheet: DataFrame) -> Upsert:
     key = ["plan_year", "plan_month"]
     values = ["fixed_budget", "savings_target", "note"]
     incoming = keep_last(usable, [F.col(c) for c in key], _order(usable)).select(*key, *values)
-    new_ids = (
-        incoming.join(existing, key, "left_anti")
-        .select(*key)
-        .withColumn("_place", F.row_number().over(Window.orderBy(*key)))
-        .select(*key, (F.col("_place") + next_id(existing, "plan_id")).cast("int").alias("_new_id"))
-    )
-    merged = _merge(existing, incoming, key, values, "plan_id", new_ids, "int")
+    both = _overlay(existing, incoming, key, values, "plan_id")
+    place = F.row_number().over(Window.partitionBy(F.col("plan_id").isNull()).orderBy(*key))
+    fresh_id = (place + next_id(existing, "plan_id")).cast("int")
+    merged = both.withColumn("plan_id", F.coalesce("plan_id", fresh_id))
     return Upsert(merged, rows.filter("NOT _usable"))
 
 
@@ -263,29 +272,22 @@ def upsert_plan_items(ledger: Ledger, sheet: DataFrame) -> Upsert:
     found = rows.filter(usable)
     incoming = keep_last(found, [F.col(c) for c in key], _order(found)).select(*key, *values)
     existing = ledger.monthly_plan_items
-    new_ids = number_rows(incoming.join(existing, key, "left_anti").select(*key), key, "_place").select(
-        *key, (F.col("_place") + next_id(existing, "item_id")).alias("_new_id")
+    both = materialise(_overlay(existing, incoming, key, values, "item_id"), "plan_items")
+    held, fresh = both.filter("item_id IS NOT NULL"), both.filter("item_id IS NULL").drop("item_id")
+    numbered = number_rows(fresh, key, "item_id").withColumn(
+        "item_id", F.col("item_id") + next_id(existing, "item_id")
     )
-    merged = _merge(existing, incoming, key, values, "item_id", new_ids, "bigint")
-    return Upsert(merged, rows.filter(~usable))
-
-
-def _merge(
-    existing: DataFrame,
-    incoming: DataFrame,
-    key: Sequence[str],
-    values: Sequence[str],
-    id_column: str,
-    new_ids: DataFrame,
-    id_type: str,
+    return Upsert(held.unionByName(numbered), rows.filter(~usable))
+
+
+def _overlay(
+    existing: DataFrame, incoming: DataFrame, key: Sequence[str], values: Sequence[str], id_column: str
 ) -> DataFrame:
-    """Existing rows with the incoming values laid over them, new keys with new ids."""
-    key = list(key)
+    """Existing rows with the incoming values laid over them; new keys have no id yet."""
     held = existing.select(*key, F.col(id_column), *[F.col(v).alias(f"_old_{v}") for v in values])
-    fresh = incoming.join(new_ids, key, "left").withColumn("_incoming", F.lit(True))
-    both = held.join(fresh, key, "full")
+    both = held.join(incoming.withColumn("_incoming", F.lit(True)), list(key), "full")
     return both.select(
-        F.coalesce(F.col(id_column), F.col("_new_id")).cast(id_type).alias(id_column),
+        id_column,
         *key,
         *[F.when(F.col("_incoming"), F.col(v)).otherwise(F.col(f"_old_{v}")).alias(v) for v in values],
     )

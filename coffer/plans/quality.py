@@ -7,13 +7,12 @@ and the self-reference of transactions need a shuffle of their own.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from coffer.functions.text import null_to_blank, trim
-from coffer.operators.lookup import lookup_join
+from coffer.operators.lookup import BROADCAST_ROWS, bounded_count, lookup_join
 from coffer.plans import marts
 from coffer.schema import (
     ACCOUNT_TYPES,
@@ -46,13 +45,18 @@ def failing_rows(df: DataFrame, failed: Column) -> DataFrame:
     return df.filter(failed)
 
 
+def _check_row(name: str, failed: Column) -> Column:
+    return F.struct(F.lit(name).alias("check_name"), F.coalesce(failed, F.lit(0)).cast("bigint").alias("failed"))
+
+
+def _failures(df: DataFrame, checks: Mapping[str, Column]) -> DataFrame:
+    """One row with the array of all ``(check_name, failed)`` pairs, from a single pass."""
+    return df.agg(F.array(*[_check_row(name, F.count_if(c)) for name, c in checks.items()]).alias("checks"))
+
+
 def count_failures(df: DataFrame, checks: Mapping[str, Column]) -> DataFrame:
-    """One row ``(check_name, failed)`` per check, from a single pass."""
-    counted = df.agg(*[F.count_if(c).alias(f"c{i}") for i, c in enumerate(checks.values())])
-    pairs = [
-        F.struct(F.lit(name).alias("check_name"), F.col(f"c{i}").alias("failed")) for i, name in enumerate(checks)
-    ]
-    return counted.select(F.inline(F.array(*pairs)))
+    """One row ``(check_name, failed)`` per check."""
+    return _failures(df, checks).select(F.inline("checks"))
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[Column]) -> DataFrame:
@@ -62,15 +66,24 @@ def duplicate_keys(df: DataFrame, keys: Sequence[Column]) -> DataFrame:
     return complete.groupBy(*complete.columns).agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1")
 
 
-def _count_duplicates(name: str, df: DataFrame, *keys: str | Column) -> DataFrame:
+def _duplicates(name: str, df: DataFrame, *keys: str | Column) -> DataFrame:
     columns = [F.col(k) if isinstance(k, str) else k for k in keys]
-    return duplicate_keys(df, columns).agg(F.lit(name).alias("check_name"), F.count(F.lit(1)).alias("failed"))
+    return _row_count(name, duplicate_keys(df, columns))
+
+
+def _row_count(name: str, df: DataFrame, count: Column | None = None) -> DataFrame:
+    return df.agg(F.array(_check_row(name, F.count(F.lit(1)) if count is None else count)).alias("checks"))
 
 
-def with_reference(df: DataFrame, column: str, parent: DataFrame, parent_key: str) -> DataFrame:
-    """Add ``_has_<column>``: NULL where the value has no row in ``parent``."""
+def with_reference(
+    df: DataFrame, column: str, parent: DataFrame, parent_key: str, rows: int | None = None
+) -> DataFrame:
+    """Add ``_has_<column>``: NULL where the value has no row in ``parent``.
+
+    ``rows`` is the row count of ``parent`` where the caller knows it.
+    """
     known = parent.select(F.col(parent_key).alias(column)).distinct().withColumn(f"_has_{column}", F.lit(True))
-    return lookup_join(df, known, [column])
+    return lookup_join(df, known, [column], rows=rows)
 
 
 def missing_reference(column: str) -> Column:
@@ -103,10 +116,6 @@ def plan_budget_gaps(ledger: Ledger) -> DataFrame:
     )
 
 
-def _count_rows(name: str, df: DataFrame, count: Column | None = None) -> DataFrame:
-    return df.agg(F.lit(name).alias("check_name"), (F.count(F.lit(1)) if count is None else count).alias("failed"))
-
-
 def dq_report(ledger: Ledger, note_category: str = "Miscellaneous") -> DataFrame:
     """One row per check: ``(check_name, failed)``.
 
@@ -118,33 +127,35 @@ def dq_report(ledger: Ledger, note_category: str = "Miscellaneous") -> DataFrame
     merchants = marts.merchant_groups(ledger)
     tx, plans, items = ledger.transactions, ledger.monthly_plans, ledger.monthly_plan_items
 
+    # Every lookup table is counted once, up to the broadcast bound.
+    plan_count = bounded_count(plans, BROADCAST_ROWS)
+    category_count = bounded_count(ledger.categories, BROADCAST_ROWS)
+    noted = ledger.categories.filter(F.col("category_name") == note_category)
+    note_needed = noted.select("category_id", F.lit(True).alias("_note_needed")).distinct()
     linked = with_reference(tx, "account_id", ledger.accounts, "account_id")
-    linked = with_reference(linked, "plan_id", plans, "plan_id")
-    linked = with_reference(linked, "category_id", ledger.categories, "category_id")
+    linked = with_reference(linked, "plan_id", plans, "plan_id", plan_count)
+    linked = with_reference(linked, "category_id", ledger.categories, "category_id", category_count)
     linked = with_reference(linked, "subcategory_id", ledger.subcategories, "subcategory_id")
-    noted = ledger.categories.filter(F.col("category_name") == note_category)
-    linked = lookup_join(
-        linked, noted.select("category_id", F.lit(True).alias("_note_needed")).distinct(), ["category_id"]
-    )
-    item_links = with_reference(items, "plan_id", plans, "plan_id")
-    item_links = with_reference(item_links, "category_id", ledger.categories, "category_id")
-    sub_links = with_reference(ledger.subcategories, "category_id", ledger.categories, "category_id")
+    linked = lookup_join(linked, note_needed, ["category_id"], rows=category_count)
+    item_links = with_reference(items, "plan_id", plans, "plan_id", plan_count)
+    item_links = with_reference(item_links, "category_id", ledger.categories, "category_id", category_count)
+    sub_links = with_reference(ledger.subcategories, "category_id", ledger.categories, "category_id", category_count)
 
     parts = [
-        count_failures(
+        _failures(
             spend, {f"not_null:stg_expenses.{c}": not_null(c) for c in ("id", "expense_date", "amount", "category_id")}
         ),
-        count_failures(
+        _failures(
             by_month, {f"not_null:mart_monthly_summary.{c}": not_null(c) for c in ("yr", "mo", "total_spend")}
         ),
-        count_failures(
+        _failures(
             breakdown,
             {f"not_null:mart_category_breakdown.{c}": not_null(c) for c in ("yr", "category_name", "total_spend")},
         ),
-        count_failures(
+        _failures(
             merchants, {f"not_null:mart_top_merchants.{c}": not_null(c) for c in ("merchant", "total_spend")}
         ),
-        count_failures(
+        _failures(
             linked,
             {
                 "accepted:transactions.transaction_type": accepted_values("transaction_type", TRANSACTION_TYPES),
@@ -160,34 +171,34 @@ def dq_report(ledger: Ledger, note_category: str = "Miscellaneous") -> DataFrame
                 & (null_to_blank(trim(F.col("note"))) == ""),
             },
         ),
-        count_failures(ledger.accounts, {"accepted:accounts.account_type": accepted_values("account_type", ACCOUNT_TYPES)}),
-        count_failures(
+        _failures(ledger.accounts, {"accepted:accounts.account_type": accepted_values("account_type", ACCOUNT_TYPES)}),
+        _failures(
             ledger.categories, {"accepted:categories.category_type": accepted_values("category_type", CATEGORY_TYPES)}
         ),
-        count_failures(
+        _failures(
             plans, {"expression:monthly_plans.plan_month": expression_holds(F.col("plan_month").between(1, 12))}
         ),
-        count_failures(
+        _failures(
             item_links,
             {
                 "relationship:monthly_plan_items.plan_id": missing_reference("plan_id"),
                 "relationship:monthly_plan_items.category_id": missing_reference("category_id"),
             },
         ),
-        count_failures(sub_links, {"relationship:subcategories.category_id": missing_reference("category_id")}),
-        _count_rows(
+        _failures(sub_links, {"relationship:subcategories.category_id": missing_reference("category_id")}),
+        _row_count(
             "relationship:transactions.related_transaction_id",
             dangling_links(tx),
-            F.coalesce(F.sum("n"), F.lit(0)).cast("bigint"),
+            F.sum("n"),
         ),
-        _count_duplicates("unique:stg_expenses.id", spend, "id"),
-        _count_duplicates("unique:categories.category_name", ledger.categories, "category_name"),
-        _count_duplicates(
+        _duplicates("unique:stg_expenses.id", spend, "id"),
+        _duplicates("unique:categories.category_name", ledger.categories, "category_name"),
+        _duplicates(
             "unique:subcategories.category_id_name", ledger.subcategories, "category_id", "subcategory_name"
         ),
-        _count_duplicates("unique:monthly_plans.year_month", plans, "plan_year", "plan_month"),
-        _count_duplicates("unique:monthly_plan_items.plan_category", items, "plan_id", "category_id"),
-        _count_duplicates(
+        _duplicates("unique:monthly_plans.year_month", plans, "plan_year", "plan_month"),
+        _duplicates("unique:monthly_plan_items.plan_category", items, "plan_id", "category_id"),
+        _duplicates(
             "unique:transactions.key",
             tx,
             "transaction_date",
@@ -198,6 +209,8 @@ def dq_report(ledger: Ledger, note_category: str = "Miscellaneous") -> DataFrame
             "payment_method",
             F.substring("note", 1, UNIQUE_NOTE_PREFIX),
         ),
-        _count_rows("consistent:monthly_plans.fixed_budget", plan_budget_gaps(ledger)),
+        _row_count("consistent:monthly_plans.fixed_budget", plan_budget_gaps(ledger)),
     ]
-    return reduce(DataFrame.unionByName, parts)
+    # Each part is one row, read as a scalar subquery: they run side by side.
+    checks = F.flatten(F.array(*[part.scalar() for part in parts]))
+    return tx.sparkSession.range(1).select(F.inline(checks))
