@@ -21,9 +21,8 @@ def parse_date(c: Column) -> Column:
     order, and a cell that is no date costs one pattern match and no exception.
     """
     text = trim(c.cast("string"))
-    rearranged = F.regexp_replace(text, _US, "$3-$1-$2")
     return (
-        F.when(text.contains("/"), F.when(~rearranged.contains("/"), rearranged))
+        F.when(text.rlike(_US), F.regexp_replace(text, _US, "$3-$1-$2"))
         .when(text.rlike(_ISO), F.substring(text, 1, 10))
         .try_cast("date")
     )

@@ -25,6 +25,8 @@ def ledger_session(app: str = "coffer", master: str | None = None, cores: int |
         .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128m")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.showConsoleProgress", "false")
+        # Call sites in error messages cost several round trips per column function.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         # The JVM does not compile methods over 8000 bytes; smaller generated ones run faster.
         .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
