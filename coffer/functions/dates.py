@@ -5,27 +5,23 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from coffer.functions.text import trim
+from coffer.functions.text import SPACE
 
 MONTH_NAMES = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
 
 
-_US = r"^(\d{1,2})/(\d{1,2})/(\d{4})$"
-_ISO = r"^\d{4}-\d\d-\d\d( ([01]\d|2[0-3]):[0-5]\d:[0-5]\d)?$"
+_US = rf"^{SPACE}*([0-9]{{1,2}})/([0-9]{{1,2}})/([0-9]{{4}}){SPACE}*$"
+_ISO = rf"^{SPACE}*([0-9]{{4}}-[0-9]{{1,2}}-[0-9]{{1,2}})( ([01][0-9]|2[0-3]):[0-5][0-9]:[0-5][0-9])?{SPACE}*$"
 
 
 def parse_date(c: Column) -> Column:
-    """``M/d/yyyy``, ``yyyy-MM-dd`` or ``yyyy-MM-dd HH:mm:ss``; otherwise NULL.
+    """``M/d/yyyy``, ``yyyy-M-d`` or ``yyyy-M-d HH:mm:ss``; otherwise NULL.
 
     The shape decides how a cell is read, so the result does not depend on row
-    order, and a cell that is no date costs one pattern match and no exception.
+    order, and a cell that is no date costs two pattern matches and no exception.
     """
-    text = trim(c.cast("string"))
-    return (
-        F.when(text.rlike(_US), F.regexp_replace(text, _US, "$3-$1-$2"))
-        .when(text.rlike(_ISO), F.substring(text, 1, 10))
-        .try_cast("date")
-    )
+    rearranged = F.regexp_replace(c.cast("string"), _US, "$3-$1-$2")
+    return F.regexp_extract(rearranged, _ISO, 1).try_cast("date")
 
 
 def month_number(yr: Column, mo: Column) -> Column:

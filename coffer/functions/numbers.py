@@ -5,17 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from coffer.functions.text import trim
+from coffer.functions.text import SPACE
 
 # Plain decimal notation, within what a double holds.  The cast alone would also take
 # "12d", "nan" or "Infinity".
-_NUMBER = r"^[+-]?(\d{1,200}\.?\d*|\.\d+)([eE][+-]?\d{1,2})?$"
+_NUMBER = rf"^{SPACE}*([+-]?([0-9]{{1,200}}\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]{{1,2}})?){SPACE}*$"
 
 
 def to_number(c: Column) -> Column:
-    """Text to double; anything that is not a finite plain number gives NULL."""
-    text = trim(c)
-    return F.when(text.rlike(_NUMBER), text).try_cast("double")
+    """Text to double; anything that is not a finite plain number gives NULL.
+
+    One pattern both trims and checks, so the text is built once per row.
+    """
+    return F.regexp_extract(c, _NUMBER, 1).try_cast("double")
 
 
 def _without_commas(c: Column) -> Column:

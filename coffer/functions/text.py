@@ -17,6 +17,9 @@ _SPACES = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 
+# The same characters as a pattern.
+SPACE = r"[\t-\r\x1c-\x20\x85\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+
 
 def trim(c: Column) -> Column:
     return F.btrim(c, F.lit(_SPACES))

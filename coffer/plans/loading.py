@@ -34,6 +34,13 @@ def _cell(df: DataFrame, name: str) -> Column:
     return F.col(f"`{name}`").cast("string") if name in df.columns else F.lit(None).cast("string")
 
 
+def _is_flagged(df: DataFrame) -> Column:
+    """Rows the cleaner marked; the mark is a boolean, or text once it went through a file."""
+    if dict(df.dtypes).get("needs_cleaning") == "boolean":
+        return F.coalesce("needs_cleaning", F.lit(False))
+    return null_to_blank(fold(_cell(df, "needs_cleaning"))) == "true"
+
+
 def _date(df: DataFrame) -> Column:
     """The date cell; cleaned rows carry it typed already, unless it went through text."""
     return F.col("date") if dict(df.dtypes).get("date") == "date" else parse_date(_cell(df, "date"))
@@ -60,24 +67,23 @@ def candidates(cleaned: DataFrame, rounding: str = "truncate") -> DataFrame:
     Flagged and undated rows are left out.  The three enumerated columns are lower
     case in the ledger, so they are compared and stored that way.
     """
-    flagged = fold(_cell(cleaned, "needs_cleaning"))
-    enum = lambda name: blank_to_null(fold(_cell(cleaned, name)))
-    return (
-        cleaned.filter(null_to_blank(flagged) != "true")
-        .select(
-            _date(cleaned).alias("transaction_date"),
-            _amount(cleaned, rounding).try_cast(MONEY).alias("amount"),
-            enum("transaction_type").alias("transaction_type"),
-            enum("spending_type").alias("spending_type"),
-            enum("type_payment").alias("payment_method"),
-            blank_to_null(_cell(cleaned, "note")).alias("note"),
-            is_true(_cell(cleaned, "regret")).alias("is_regretted"),
-            _cell(cleaned, "account").alias("account"),
-            _cell(cleaned, "category").alias("category"),
-            _cell(cleaned, "sub_category").alias("sub_category"),
-            *_order(cleaned),
-        )
-        .filter(F.col("transaction_date").isNotNull())
+    text = lambda name: _cell(cleaned, name)
+    read = cleaned.filter(~_is_flagged(cleaned)).select(
+        _date(cleaned).alias("transaction_date"),
+        _amount(cleaned, rounding).try_cast(MONEY).alias("amount"),
+        fold(text("transaction_type")).alias("transaction_type"),
+        fold(text("spending_type")).alias("spending_type"),
+        fold(text("type_payment")).alias("payment_method"),
+        text("note").alias("note"),
+        is_true(text("regret")).alias("is_regretted"),
+        text("account").alias("account"),
+        text("category").alias("category"),
+        text("sub_category").alias("sub_category"),
+        *_order(cleaned),
+    )
+    blanks = ("transaction_type", "spending_type", "payment_method", "note")
+    return read.filter(F.col("transaction_date").isNotNull()).withColumns(
+        {c: blank_to_null(F.col(c)) for c in blanks}
     )
 
 

@@ -17,12 +17,14 @@ def apply(spark, values, expression):
     return [r[1] for r in rows(one_column(spark, values).select("i", expression), "i")]
 
 
-AMOUNTS = ["61,000", "(61,000)", "", "abc", "₫5", "nan", "1e3", "61000.9", "Infinity", None, " 7 ", "12d", "--5", "-(5)"]
+AMOUNTS = ["61,000", "(61,000)", "", "abc", "₫5", "nan", "1e3", "61000.9", "Infinity", None, " 7 ", "12d", "--5", "-(5)",
+           "5.", ".5", "+5", ".", "\u00a07\t", "1 2", "0x10"]
 
 
 def test_accounting_number_flags_what_is_no_plain_number(spark):
     got = apply(spark, AMOUNTS, numbers.accounting_number(F.col("c")))
-    assert got == [61000.0, -61000.0, None, None, None, None, 1000.0, 61000.9, None, None, 7.0, None, None, None]
+    assert got == [61000.0, -61000.0, None, None, None, None, 1000.0, 61000.9, None, None, 7.0, None, None, None, 5.0,
+                   0.5, 5.0, None, 7.0, None, None]
 
 
 def test_accounting_number_node_mode_strips_stray_characters(spark):
@@ -37,9 +39,10 @@ def test_whole_amount_truncates_or_rounds(spark):
 
 
 def test_parse_date_takes_three_formats_in_any_order(spark):
-    values = ["10/1/2023", "2023-10-01", "25/12/2023", "", "n/a", " 2023-10-01 ", "2023-10-01 13:05:00", "2023-02-30", None]
+    values = ["10/1/2023", "2023-10-01", "25/12/2023", "", "n/a", " 2023-10-01 ", "2023-10-01 13:05:00", "2023-02-30", None,
+              "2023-10-01 25:00:00", "2023-10-01 x", "2023", "2023-10", "10/1/23", "10/1/2023/", "2023-10-1", "\u00a010/01/2023\t"]
     first = date(2023, 10, 1)
-    want = [first, first, None, None, None, first, first, None, None]
+    want = [first, first, None, None, None, first, first, None, None, None, None, None, None, None, None, first, first]
     assert apply(spark, values, dates.parse_date(F.col("c"))) == want
     assert apply(spark, values[::-1], dates.parse_date(F.col("c"))) == want[::-1]
 
