@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from coffer.operators.lookup import lookup_join
+from coffer.operators.quantiles import exact_quantiles
 from coffer.plans import marts
 from coffer.schema import Ledger
 from coffer.session import materialise
@@ -51,56 +52,50 @@ def _z(value: Column, mean: Column, deviation: Column) -> Column:
 def spend_profile(ledger: Ledger) -> DataFrame:
     """Distribution of spend per category: count, gaps, mean, spread, quartiles, outliers.
 
-    Quartiles are values of the column found by a mergeable sketch (rank error at
-    most a ten-thousandth of the rows), so no group is held in memory.  Outliers lie
-    more than one and a half quartile ranges outside the quartiles.
+    Quartiles are exact and interpolated.  Outliers lie more than one and a half
+    quartile ranges outside the quartiles.
     """
-    facts = marts.spend_facts(ledger).select("category_id", "spending_type", "payment_method", "description", "amount")
-    stats = facts.groupBy("category_id").agg(
-        *_moments(),
-        F.count_if(F.col("spending_type").isNull()).alias("missing_spending_type"),
-        F.count_if(F.col("payment_method").isNull()).alias("missing_payment_method"),
-        F.count_if(F.col("description").isNull()).alias("missing_description"),
-        F.min("amount").alias("min_amount"),
-        F.percentile_approx(F.col("amount").cast("bigint"), [0.25, 0.5, 0.75], 10000).alias("q"),
-        F.max("amount").alias("max_amount"),
-    )
-    stats = stats.select(
-        "*", F.col("q")[0].alias("q1_amount"), F.col("q")[1].alias("median_amount"), F.col("q")[2].alias("q3_amount")
-    ).withColumn("fence", 1.5 * (F.col("q3_amount") - F.col("q1_amount")))
-    stats = materialise(stats.drop("q"), "spend_profile")
     key = F.coalesce("category_id", F.lit(_NO_CATEGORY)).alias("_key")
-    fences = stats.select(
-        key, (F.col("q1_amount") - F.col("fence")).alias("_low"), (F.col("q3_amount") + F.col("fence")).alias("_high")
+    facts = marts.spend_facts(ledger).select(
+        key, "category_id", "spending_type", "payment_method", "description", F.col("amount").cast("double").alias("v"), "amount"
     )
-    amount = F.col("amount").cast("double")
-    outliers = (
-        lookup_join(facts.select(key, "amount"), fences, ["_key"])
-        .groupBy("_key")
-        .agg(F.count_if((amount < F.col("_low")) | (amount > F.col("_high"))).alias("outliers"))
+    quartiles = exact_quantiles(
+        facts, "_key", "v", (0.25, 0.5, 0.75), ("q1_amount", "median_amount", "q3_amount")
     )
-    names = ledger.categories.select("category_id", "category_name")
-    return (
-        stats.withColumn("_key", key)
-        .join(outliers, "_key")
-        .join(names, "category_id", "left")
-        .select(
-            "category_id",
-            "category_name",
-            F.col("n").alias("tx_count"),
-            "missing_spending_type",
-            "missing_payment_method",
-            "missing_description",
-            F.round(_mean(), 4).alias("mean_amount"),
-            F.round(_deviation(), 4).alias("std_amount"),
-            "min_amount",
-            "q1_amount",
-            "median_amount",
-            "q3_amount",
-            "max_amount",
-            "outliers",
+    quartiles = materialise(
+        quartiles.withColumn("fence", 1.5 * (F.col("q3_amount") - F.col("q1_amount"))), "spend_quartiles"
+    )
+    low, high = F.col("q1_amount") - F.col("fence"), F.col("q3_amount") + F.col("fence")
+    stats = (
+        lookup_join(facts, quartiles, ["_key"], how="inner")
+        .groupBy("category_id", "q1_amount", "median_amount", "q3_amount")
+        .agg(
+            *_moments(),
+            F.count_if(F.col("spending_type").isNull()).alias("missing_spending_type"),
+            F.count_if(F.col("payment_method").isNull()).alias("missing_payment_method"),
+            F.count_if(F.col("description").isNull()).alias("missing_description"),
+            F.min("amount").alias("min_amount"),
+            F.max("amount").alias("max_amount"),
+            F.count_if((F.col("v") < low) | (F.col("v") > high)).alias("outliers"),
         )
     )
+    names = ledger.categories.select("category_id", "category_name")
+    return stats.join(names, "category_id", "left").select(
+        "category_id",
+        "category_name",
+        F.col("n").alias("tx_count"),
+        "missing_spending_type",
+        "missing_payment_method",
+        "missing_description",
+        F.round(_mean(), 4).alias("mean_amount"),
+        F.round(_deviation(), 4).alias("std_amount"),
+        "min_amount",
+        "q1_amount",
+        "median_amount",
+        "q3_amount",
+        "max_amount",
+        "outliers",
+    )
 
 
 def anomaly_zscore(ledger: Ledger, threshold: float = 3.0) -> DataFrame:

@@ -592,8 +592,8 @@ SCIENCE = {
                min(amount)::BIGINT AS min_amount, any_value(q1) AS q1_amount, any_value(q2) AS median_amount,
                any_value(q3) AS q3_amount, max(amount)::BIGINT AS max_amount,
                count(*) FILTER (WHERE amount < q1 - 1.5 * (q3 - q1) OR amount > q3 + 1.5 * (q3 - q1)) AS outliers
-        FROM stg s JOIN (SELECT coalesce(category_id, -1) AS key, quantile_disc(amount::BIGINT, 0.25) AS q1,
-                                quantile_disc(amount::BIGINT, 0.5) AS q2, quantile_disc(amount::BIGINT, 0.75) AS q3
+        FROM stg s JOIN (SELECT coalesce(category_id, -1) AS key, quantile_cont(amount::DOUBLE, 0.25) AS q1,
+                                quantile_cont(amount::DOUBLE, 0.5) AS q2, quantile_cont(amount::DOUBLE, 0.75) AS q3
                          FROM stg GROUP BY ALL) q ON q.key = coalesce(s.category_id, -1)
         GROUP BY s.category_id, s.category_name""",
         "stg",

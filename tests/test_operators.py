@@ -2,10 +2,11 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 from conftest import rows
 from pyspark.sql import functions as F
 
-from coffer.operators import dedupe, lookup, ranking
+from coffer.operators import dedupe, lookup, quantiles, ranking
 
 
 def facts(spark, n=2000, seed=3):
@@ -69,3 +70,20 @@ def test_rank_desc_is_the_same_in_one_task_and_distributed(spark):
     near = ranking.rank_desc(df, "v", "place")
     far = ranking.rank_desc(df, "v", "place", one_task_rows=5)
     assert rows(near.select("id", "v", "place")) == rows(far.select("id", "v", "place"))
+
+
+def test_quantiles_are_exact_beyond_the_sketch(spark):
+    rng = random.Random(5)
+    groups = {
+        1: [rng.randrange(10**6) for _ in range(6000)],
+        2: [rng.choice([1, 2, 2, 2, 9]) for _ in range(4000)],
+        3: [4, 8],
+        4: [7],
+    }
+    df = spark.createDataFrame([(k, float(v)) for k, values in groups.items() for v in values], "k int, v double")
+    df = df.unionByName(spark.createDataFrame([(4, None)], "k int, v double"))
+    shares = (0.01, 0.25, 0.5, 0.99)
+    for accuracy in (200, quantiles.ACCURACY):
+        got = quantiles.exact_quantiles(df, "k", "v", shares, ("a", "b", "c", "d"), accuracy)
+        for k, *found in rows(got, "k"):
+            assert np.allclose(found, np.quantile(groups[k], shares)), (accuracy, k)

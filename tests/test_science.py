@@ -80,8 +80,9 @@ def test_profile(book, spend):
         assert row["tx_count"] == len(group)
         assert abs(row["mean_amount"] - group.mean()) < 1e-3
         assert abs(row["std_amount"] - group.std(ddof=0)) < 1e-3
-        low, high = np.quantile(group, [0.25, 0.75], method="inverted_cdf")
-        assert (row["q1_amount"], row["q3_amount"]) == (low, high)
+        low, high = np.quantile(group, [0.25, 0.75])
+        assert np.allclose((row["q1_amount"], row["q3_amount"]), (low, high))
+        assert row["median_amount"] == group.median()
         fence = 1.5 * (high - low)
         assert row["outliers"] == ((group < low - fence) | (group > high + fence)).sum()
 
