@@ -124,7 +124,8 @@ def _surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _unresolved_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = loading.plan_item_rows(tables.plan_item_sheet(spark, sf_dir), tables.OrderLedger(spark, sf_dir, True))
-    return unresolved_names(rows, "category", "category_id").select(F.lit("category").alias("kind"), "name", "row_count")
+    unknown = unresolved_names(rows, "category", "category_id")
+    return unknown.select(F.lit("category").alias("kind"), "name", "row_count")
 
 
 def _upsert_plans(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from coffer.schema import TRUE_WORDS
 
+# Bookkeeping columns of a sheet: which load a row came with, and its place in that load.
+ROW_ORDER = ("_batch_id", "_row_idx")
+
 # Every character that Unicode counts as white space, plus the four ASCII
 # separators: spreadsheet cells often carry a no-break space.
 _SPACES = (
@@ -60,3 +63,8 @@ def drop_nameless(df: DataFrame) -> DataFrame:
 
 def headers_look_numeric(names: list[str]) -> bool:
     return bool(names) and all(n.strip().replace(".", "", 1).isdigit() for n in names)
+
+
+def text_columns(df: DataFrame) -> list[str]:
+    """The sheet's own columns, without bookkeeping."""
+    return [c for c in df.columns if c not in ROW_ORDER]

@@ -35,7 +35,11 @@ def exact_quantiles(
     low = F.percentile_approx("_v", [max(p - spread, 0.0) for p in shares], accuracy)
     high = F.percentile_approx("_v", [min(p + spread, 1.0) for p in shares], accuracy)
     sketch = rows.groupBy(key).agg(
-        F.count("_v").alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"), low.alias("_l"), high.alias("_h")
+        F.count("_v").alias("_n"),
+        F.min("_v").alias("_min"),
+        F.max("_v").alias("_max"),
+        low.alias("_l"),
+        high.alias("_h"),
     )
     whole = F.col("_n") <= accuracy
     edges = [
@@ -53,12 +57,19 @@ def exact_quantiles(
     counted = (
         lookup_join(rows, brackets, [key], how="inner")
         .select(key, "_n", "_v", inside.alias("_inside"), passed.alias("_passed"))
-        .groupBy(key, "_n", F.when(F.col("_inside"), F.col("_v")).alias("_kept"), F.when(~F.col("_inside"), F.col("_passed")).alias("_gap"))
+        .groupBy(
+            key,
+            "_n",
+            F.when(F.col("_inside"), F.col("_v")).alias("_kept"),
+            F.when(~F.col("_inside"), F.col("_passed")).alias("_gap"),
+        )
         .agg(F.count(F.lit(1)).alias("_count"), F.min("_v").alias("_at"))
     )
     # Rows of one gap lie between two brackets, so their smallest value places them.
     in_order = Window.partitionBy(key).orderBy("_at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = counted.withColumn("_end", F.sum("_count").over(in_order)).withColumn("_start", F.col("_end") - F.col("_count"))
+    placed = counted.withColumn("_end", F.sum("_count").over(in_order)).withColumn(
+        "_start", F.col("_end") - F.col("_count")
+    )
 
     found = []
     for i, share in enumerate(shares):

@@ -10,8 +10,15 @@ from pyspark.sql import functions as F
 
 from coffer.functions.dates import parse_date
 from coffer.functions.numbers import accounting_number
-from coffer.functions.text import drop_nameless, headers_look_numeric, null_to_blank, snake_headers, trim
-from coffer.plans.staging import ROW_ORDER, text_columns
+from coffer.functions.text import (
+    ROW_ORDER,
+    drop_nameless,
+    headers_look_numeric,
+    null_to_blank,
+    snake_headers,
+    text_columns,
+    trim,
+)
 from coffer.schema import ARTEFACT_COLUMNS
 
 NUMBER_COLUMNS = ("amount", "balance")
@@ -66,9 +73,7 @@ def clean_expenses(sheet: DataFrame, mode: str = "python") -> DataFrame:
         marks = [bad.alias("needs_cleaning"), F.lit("python-api").alias("source_data")]
         return typed.select(*[f"`{c}`" for c in names], *marks, *order)
 
-    kept = [
-        F.col(c).isNotNull() | (F.col(f"_text_{c}") == "") for c in numbers
-    ]
+    kept = [F.col(c).isNotNull() | (F.col(f"_text_{c}") == "") for c in numbers]
     texts = [null_to_blank(trim(F.col(c))).alias(f"_text_{c}") for c in numbers]
     typed = df.select(*cells, *texts, *order).filter(reduce(lambda a, b: a & b, kept, F.col("date").isNotNull()))
     day = F.date_format("date", "yyyy-MM-dd").alias("date")

@@ -10,11 +10,10 @@ from pyspark.sql import functions as F
 
 from coffer.functions.dates import parse_date
 from coffer.functions.numbers import to_number, whole_amount, whole_number
-from coffer.functions.text import blank_to_null, fold, is_true, lower_headers, null_to_blank, trim
+from coffer.functions.text import ROW_ORDER, blank_to_null, fold, is_true, lower_headers, null_to_blank, trim
 from coffer.operators.dedupe import keep_first, keep_last
 from coffer.operators.lookup import plan_of_month, resolve_name
 from coffer.operators.ranking import ONE_TASK_ROWS, number_rows
-from coffer.plans.staging import ROW_ORDER
 from coffer.schema import (
     MONEY,
     PAYMENT_METHODS,

@@ -57,7 +57,13 @@ def spend_profile(ledger: Ledger) -> DataFrame:
     """
     key = F.coalesce("category_id", F.lit(_NO_CATEGORY)).alias("_key")
     facts = marts.spend_facts(ledger).select(
-        key, "category_id", "spending_type", "payment_method", "description", F.col("amount").cast("double").alias("v"), "amount"
+        key,
+        "category_id",
+        "spending_type",
+        "payment_method",
+        "description",
+        "amount",
+        F.col("amount").cast("double").alias("v"),
     )
     quartiles = exact_quantiles(
         facts, "_key", "v", (0.25, 0.5, 0.75), ("q1_amount", "median_amount", "q3_amount")
@@ -197,7 +203,9 @@ def _fit(series: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     season = trended.groupBy("series", "mo").agg(F.avg("rest").alias("effect"))
     spread = (
-        trended.join(season, ["series", "mo"]).groupBy("series").agg(F.stddev_pop(F.col("rest") - F.col("effect")).alias("sigma"))
+        trended.join(season, ["series", "mo"])
+        .groupBy("series")
+        .agg(F.stddev_pop(F.col("rest") - F.col("effect")).alias("sigma"))
     )
     return trend.join(spread, "series"), season
 
@@ -392,7 +400,8 @@ def anomaly_iforest(
     nodes = grown.toPandas()
     schema = "id long, expense_date date, category_id int, amount double, score double"
     scored = materialise(features.mapInPandas(_scorer(nodes, trees, sample, limit), schema), "forest_scores")
-    cutoff = scored.agg(F.percentile_approx("score", 1.0 - contamination, 100000).alias("c")).scalar()
+    everything = scored.select(F.lit(0).alias("_all"), "score")
+    cutoff = exact_quantiles(everything, "_all", "score", [1.0 - contamination], ["cutoff"]).select("cutoff").scalar()
     return scored.select(
         "id",
         "expense_date",

@@ -7,18 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from coffer.functions.text import lower_headers
+from coffer.functions.text import ROW_ORDER, lower_headers, text_columns
 from coffer.operators.dedupe import keep_last, text_keys
 from coffer.schema import STAGING_KEYS
 
-# Bookkeeping columns: which load a row came with, and its place in that load.
-ROW_ORDER = ("_batch_id", "_row_idx")
-
-
-def text_columns(df: DataFrame) -> list[str]:
-    """The sheet's own columns, without bookkeeping."""
-    return [c for c in df.columns if c not in ROW_ORDER]
-
 
 def as_batch(sheet: DataFrame, batch_id: int) -> DataFrame:
     """A sheet ready for the raw zone: lower-case headers, all text, tagged with its batch."""

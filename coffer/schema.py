@@ -145,7 +145,10 @@ TRANSACTIONS = T.StructType(
 
 @dataclass(frozen=True)
 class Ledger:
-    """The six tables of the star schema, as DataFrames."""
+    """The six tables of the star schema, as DataFrames.
+
+    Plans read only these attributes, so any object that has them will do.
+    """
 
     accounts: DataFrame
     categories: DataFrame

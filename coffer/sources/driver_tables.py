@@ -27,8 +27,10 @@ _TYPE = """CASE o_orderkey % 20
     WHEN 6 THEN 'loan_repayment_in' WHEN 7 THEN 'loan_repayment_out'
     WHEN 8 THEN 'credit_purchase' WHEN 9 THEN 'credit_purchase' WHEN 10 THEN 'credit_purchase'
     ELSE 'expense' END"""
-_SPENDING = "CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'extra' WHEN o_orderpriority <> '5-LOW' THEN 'fixed' END"
-_PAYMENT = "CASE o_orderkey % 5 WHEN 0 THEN 'cash' WHEN 1 THEN 'bank_transfer' WHEN 2 THEN 'credit_card' WHEN 3 THEN 'momo' END"
+_SPENDING = """CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'extra'
+    WHEN o_orderpriority <> '5-LOW' THEN 'fixed' END"""
+_PAYMENT = """CASE o_orderkey % 5
+    WHEN 0 THEN 'cash' WHEN 1 THEN 'bank_transfer' WHEN 2 THEN 'credit_card' WHEN 3 THEN 'momo' END"""
 _NOTE = "CASE WHEN o_orderkey % 13 <> 0 THEN concat('note ', o_orderkey % 1000) END"
 _HAS_CATEGORY = "o_orderkey % 41 <> 0"
 _HAS_SUBCATEGORY = "o_orderkey % 41 <> 0 AND o_orderkey % 7 <> 0"
@@ -224,7 +226,8 @@ def expense_sheet(spark: SparkSession, sf_dir: str, revised: bool = False) -> Da
         f"if({_HAS_SUBCATEGORY}, n_name, '') AS SUB_CATEGORY",
         f"{_SHEET_AMOUNT} AS Amount",
         f"concat({note}, ' ') AS ` Note `",
-        "CASE o_orderkey % 5 WHEN 0 THEN 'yes' WHEN 1 THEN ' TRUE' WHEN 2 THEN '1' WHEN 3 THEN 'no' ELSE '' END AS Regret",
+        """CASE o_orderkey % 5
+                WHEN 0 THEN 'yes' WHEN 1 THEN ' TRUE' WHEN 2 THEN '1' WHEN 3 THEN 'no' ELSE '' END AS Regret""",
         "'0' AS Input",
         "'0' AS `Total  Extra Using`",
         "o_orderkey AS _row_idx",

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coffer.functions.text import null_to_blank, trim
-from coffer.plans.staging import text_columns
+from coffer.functions.text import null_to_blank, text_columns, trim
 
 
 def require_rows(df: DataFrame, what: str) -> DataFrame:

@@ -151,7 +151,8 @@ def jdbc_ledger(spark: SparkSession, url: str, **options: str) -> Ledger:
     Pass ``partitionColumn``, ``lowerBound``, ``upperBound`` and ``numPartitions`` to
     have the transactions read in parallel; they apply to that table alone.
     """
-    split = {k: options.pop(k) for k in ("partitionColumn", "lowerBound", "upperBound", "numPartitions") if k in options}
+    ranged = ("partitionColumn", "lowerBound", "upperBound", "numPartitions")
+    split = {k: options.pop(k) for k in ranged if k in options}
 
     def table(name: str, **more: str) -> DataFrame:
         return spark.read.format("jdbc").options(url=url, dbtable=name, **options, **more).load()

@@ -1,7 +1,7 @@
 """Incremental load of expense sheets as they land.
 
 Each trigger takes the files that arrived since the last one and runs them through
-the same stage, clean and load steps as the batch job.  A micro-batch that is replayed
+the same stage, clean and load steps as the batch job, reading only the new rows.  A micro-batch that is replayed
 after a failure writes the same raw partition, and the natural-key anti-join finds its
 rows already loaded, so no fact is inserted twice.
 """
@@ -54,7 +54,7 @@ def load_new_expenses(
             F.col("_file").alias("file"), F.col("_block").alias("block"), F.monotonically_increasing_id().alias("row")
         )
         sheet = tidy_cells(batch.select(*columns, place.alias("_row_idx")))
-        run_batch(batch.sparkSession, source, sheet, root, first_batch + batch_id)
+        run_batch(batch.sparkSession, source, sheet, root, first_batch + batch_id, history=False)
 
     return (
         landing_stream(spark, f"{root}/landing/expenses", columns)

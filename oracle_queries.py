@@ -554,7 +554,8 @@ def _checks() -> str:
 
 QUALITY = {
     "dq_report": _sql(
-        _checks(), "stg", "monthly", "breakdown", "grouped", "tx", "accounts", "categories", "subcategories", "items", "plans"
+        _checks(),
+        *"stg monthly breakdown grouped tx accounts categories subcategories items plans".split(),
     ),
     "dangling_links": _sql(
         """

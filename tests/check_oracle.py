@@ -17,7 +17,14 @@ TABLES = (
     "pages benchmark labels conversations"
 ).split()
 
-_KINDS = {"int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR", "date": "DATE", "double": "DOUBLE", "boolean": "BOOLEAN"}
+_KINDS = {
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "string": "VARCHAR",
+    "date": "DATE",
+    "double": "DOUBLE",
+    "boolean": "BOOLEAN",
+}
 
 
 def oracle_connection(sf_dir: str):
