@@ -147,8 +147,8 @@ def _skipped_plan_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _land(spark: SparkSession, sf_dir: str) -> str:
-    """A pipeline folder with the dimensions written and the first sheets landed."""
-    root = scratch_path(spark, "pipeline")
+    """A ledger folder with the dimensions written and the first sheets landed."""
+    root = scratch_path(spark, "ledger")
     ledger = tables.OrderLedger(spark, sf_dir)
     for name in ("accounts", "categories", "subcategories"):
         zones.write_snapshot(getattr(ledger, name), f"{root}/tables/{name}")

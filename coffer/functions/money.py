@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from coffer.schema import CASH_IN_TYPES, CASH_OUT_TYPES, MONEY, SPEND_TYPES
 
 
-
 def zero() -> Column:
     return F.lit(0).cast(MONEY)
 

@@ -1,12 +1,13 @@
 """Report frames behind the dashboard: latest figures, ranges, trends, pivots.
 
-All inputs are marts.  Windows over months are left without partition keys: a frame
+All inputs are marts: the written ones where the ledger offers them
+(``StoredLedger(..., use_marts=True)``), otherwise planned from the facts.  Windows over months are left without partition keys: a frame
 with one row per calendar month is small whatever the number of transactions.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, Window
@@ -21,6 +22,12 @@ def _by_month():
     return Window.orderBy("yr", "mo")
 
 
+def _mart(ledger: Ledger, plan: Callable[[Ledger], DataFrame]) -> DataFrame:
+    """The mart as last written, or its plan."""
+    stored = getattr(ledger, "mart", None)
+    found = stored(plan.__name__) if stored else None
+    return plan(ledger) if found is None else found
+
 
 def default_range(today: date, years: int = 1) -> tuple[date, date]:
     """Range shown at first: from this month ``years`` years ago until today."""
@@ -34,13 +41,13 @@ def in_months(mart: DataFrame, start: date, end: date) -> DataFrame:
 
 
 def kpi_latest_month(ledger: Ledger) -> DataFrame:
-    mart = marts.mart_monthly_summary(ledger).select("yr", "mo", "total_spend", "transaction_count")
+    mart = _mart(ledger, marts.mart_monthly_summary).select("yr", "mo", "total_spend", "transaction_count")
     return mart.orderBy(F.desc("yr"), F.desc("mo")).limit(1)
 
 
 def kpi_top_category(ledger: Ledger) -> DataFrame:
     """Highest single group of the latest month; ties go to the first name."""
-    mart = marts.mart_category_breakdown(ledger)
+    mart = _mart(ledger, marts.mart_category_breakdown)
     order = [F.desc("yr"), F.desc("mo"), F.desc("total_spend"), F.asc_nulls_first("category_name")]
     return mart.orderBy(*order).limit(1).select("category_name", "total_spend")
 
@@ -54,7 +61,7 @@ def overview_monthly(ledger: Ledger, start: date, end: date) -> DataFrame:
     """Months of the range with label, first day and running total from its start."""
     running = _by_month().rowsBetween(Window.unboundedPreceding, Window.currentRow)
     yr, mo = F.col("yr"), F.col("mo")
-    return in_months(marts.mart_monthly_summary(ledger), start, end).select(
+    return in_months(_mart(ledger, marts.mart_monthly_summary), start, end).select(
         "yr",
         "mo",
         "total_spend",
@@ -80,7 +87,7 @@ def overview_table(ledger: Ledger, start: date, end: date) -> DataFrame:
 
 
 def category_detail(ledger: Ledger, start: date, end: date) -> DataFrame:
-    mart = in_months(marts.mart_category_breakdown(ledger), start, end)
+    mart = in_months(_mart(ledger, marts.mart_category_breakdown), start, end)
     return mart.select(
         "yr",
         "mo",
@@ -126,7 +133,10 @@ def month_order(ledger: Ledger, start: date, end: date) -> DataFrame:
 
 def merchants_in_range(ledger: Ledger, first: date, last: date) -> DataFrame:
     """Whole-history merchant groups whose last visit falls in the range."""
-    return marts.merchant_groups(ledger).filter(F.col("last_seen").between(F.lit(first), F.lit(last)))
+    stored = getattr(ledger, "mart", None)
+    found = stored("mart_top_merchants") if stored else None
+    groups = marts.merchant_groups(ledger) if found is None else found.drop("spend_rank")
+    return groups.filter(F.col("last_seen").between(F.lit(first), F.lit(last)))
 
 
 def merchants_top_n(
@@ -150,7 +160,7 @@ def trend_rolling(ledger: Ledger, start: date, end: date) -> DataFrame:
     """Months of the range with the mean of the last three rows (not calendar months)."""
     last_three = _by_month().rowsBetween(-2, Window.currentRow)
     yr, mo = F.col("yr"), F.col("mo")
-    return in_months(marts.mart_monthly_summary(ledger), start, end).select(
+    return in_months(_mart(ledger, marts.mart_monthly_summary), start, end).select(
         "yr",
         "mo",
         "total_spend",
@@ -165,13 +175,13 @@ def trend_rolling(ledger: Ledger, start: date, end: date) -> DataFrame:
 def yoy_comparison(ledger: Ledger, start: date, end: date) -> DataFrame:
     """Month rows with one column per year of the range."""
     years = list(range(start.year, end.year + 1))
-    mart = in_months(marts.mart_monthly_summary(ledger), start, end)
+    mart = in_months(_mart(ledger, marts.mart_monthly_summary), start, end)
     wide = mart.groupBy("mo").pivot("yr", years).agg(F.sum("total_spend").cast("decimal(25,0)"))
     return wide.withColumnsRenamed({str(y): f"y{y}" for y in years})
 
 
 def spend_heatmap(ledger: Ledger, start: date, end: date) -> DataFrame:
     """Year rows with one column per month, Jan to Dec."""
-    mart = in_months(marts.mart_monthly_summary(ledger), start, end)
+    mart = in_months(_mart(ledger, marts.mart_monthly_summary), start, end)
     wide = mart.groupBy("yr").pivot("mo", list(range(1, 13))).agg(F.sum("total_spend").cast("decimal(25,0)"))
     return wide.withColumnsRenamed({str(i): name for i, name in enumerate(MONTH_NAMES, 1)})

@@ -1,9 +1,10 @@
-"""Folders of the pipeline: landing, raw, processed and ledger tables.
+"""Folders of a ledger: landing, raw, processed, tables and marts.
 
 ``landing/<source>/``  worksheet exports, as CSV
 ``raw/<source>/``      one partition of text rows per batch, appended and never rewritten
 ``processed/<source>/``  cleaned rows, one partition per run
 ``tables/<table>/``    plans and items as snapshots, transactions appended by month
+``marts/<mart>/``      one partition per run
 
 Nothing overwrites a folder it reads.  Writing a batch again replaces its own
 partition, so a repeated run leaves the same files.
@@ -107,10 +108,15 @@ class StoredLedger:
     """The ledger tables as last written; each is opened when first asked for.
 
     Dimensions that were never written are the seeded ones, other tables are empty.
+    ``use_marts=True`` offers the written marts to the reports, which then read no facts
+    for them and are as fresh as the last ``write_marts``.
     """
 
-    def __init__(self, spark: SparkSession, root: str):
-        self._spark, self._root = spark, root
+    def __init__(self, spark: SparkSession, root: str, use_marts: bool = False):
+        self._spark, self._root, self._use_marts = spark, root, use_marts
+
+    def mart(self, name: str) -> DataFrame | None:
+        return read_latest(self._spark, f"{self._root}/marts/{name}") if self._use_marts else None
 
     def _table(self, name: str, schema: StructType) -> DataFrame | None:
         return read_latest(self._spark, f"{self._root}/tables/{name}", schema)

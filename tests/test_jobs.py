@@ -1,9 +1,11 @@
 from __future__ import annotations
 
+from datetime import date
+
 from conftest import rows
 from pyspark.sql import functions as F
 
-from coffer.plans import jobs, marts, views
+from coffer.plans import jobs, marts, reports, views
 from coffer.sources import zones
 from coffer.streaming.incremental import load_new_expenses
 
@@ -58,6 +60,13 @@ def test_sources_load_once_however_often_they_run(spark, tmp_path):
     assert rows(budget) == [("Food & Drinks", 50000, 61000)]
     paths = jobs.write_marts(book, root, run=1)
     assert spark.read.parquet(paths["mart_monthly_summary"]).count() == marts.mart_monthly_summary(book).count() == 1
+    stored = zones.StoredLedger(spark, root, use_marts=True)
+    assert "tables/transactions" not in str(reports.kpi_latest_month(stored).inputFiles())
+    for report in (reports.kpi_latest_month, reports.kpi_top_category):
+        assert rows(report(stored)) == rows(report(book))
+    span = date(2024, 1, 1), date(2024, 12, 31)
+    for report in (reports.overview_monthly, reports.category_detail, reports.merchants_top_n, reports.spend_heatmap):
+        assert rows(report(stored, *span)) == rows(report(book, *span))
 
 
 def test_a_batch_that_runs_twice_replaces_its_own_raw_rows(spark, tmp_path):
