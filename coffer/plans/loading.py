@@ -12,7 +12,7 @@ from coffer.functions.dates import parse_date
 from coffer.functions.numbers import to_number, whole_amount, whole_number
 from coffer.functions.text import ROW_ORDER, blank_to_null, fold, is_true, lower_headers, null_to_blank, trim
 from coffer.operators.dedupe import keep_first, keep_last
-from coffer.operators.lookup import plan_of_month, resolve_name
+from coffer.operators.lookup import lookup_join, plan_of_month, resolve_name
 from coffer.operators.ranking import ONE_TASK_ROWS, number_rows
 from coffer.schema import (
     MONEY,
@@ -186,8 +186,9 @@ def with_reject_reason(rows: DataFrame, existing: DataFrame) -> DataFrame:
     order = _order(rows)
     winners = keep_first(long.join(held, key, "left_anti"), [F.col(c) for c in key], order)
     losers = long.select(*order).join(winners.select(*order), order, "left_anti").withColumn("_clash", F.lit(True))
+    # Clashes are rare: written and counted, they are broadcast and the rows stay where they are.
     return (
-        checked.join(losers, order, "left")
+        lookup_join(checked, materialise(losers, "note_clashes"), order, salt_by=order)
         .withColumn("reject_reason", F.coalesce("reject_reason", F.when(F.col("_clash"), "duplicate_key")))
         .drop("_clash")
     )
