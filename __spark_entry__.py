@@ -23,6 +23,15 @@ from coffer.sources import driver_tables as tables  # noqa: E402
 from coffer.sources import sheets, zones  # noqa: E402
 from coffer.streaming.incremental import load_new_expenses  # noqa: E402
 
+# The operators on documents are a part of their own: without it the rest works as it is.
+try:
+    import corpus_pipeline  # noqa: E402
+    from coffer.llm import queries as llm_queries  # noqa: E402
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "coffer.llm", "coffer.llm.queries"):
+        raise
+    corpus_pipeline = llm_queries = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Range of the report queries.
@@ -256,6 +265,8 @@ def queries() -> dict[str, Query]:
     ):
         found[plan.__name__] = _on_ledger(plan)
     found["merchant_categories"] = _on_ledger(reports.merchant_categories, MERCHANTS_FROM, MERCHANTS_TO)
+    if llm_queries:
+        found |= llm_queries.queries() | {"pipeline": corpus_pipeline.run}
     return found
 
 
@@ -265,4 +276,5 @@ def oracle_sql() -> dict[str, str]:
         **oracle_queries.INGEST,
         **oracle_queries.QUALITY,
         **oracle_queries.SCIENCE,
+        **(llm_queries.oracle_sql() if llm_queries else {}),
     }
