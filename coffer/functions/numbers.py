@@ -7,17 +7,24 @@ from pyspark.sql import functions as F
 
 from coffer.functions.text import SPACE
 
-# Plain decimal notation, within what a double holds.  The cast alone would also take
-# "12d", "nan" or "Infinity".
-_NUMBER = rf"^{SPACE}*([+-]?([0-9]{{1,200}}\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]{{1,2}})?){SPACE}*$"
+# Decimal notation of any length and exponent.  The cast alone would also take "12d", "nan"
+# or "Infinity".
+_NUMBER = rf"^{SPACE}*([+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?){SPACE}*$"
 
 
 def to_number(c: Column) -> Column:
     """Text to double; anything that is not a finite plain number gives NULL.
 
-    One pattern both trims and checks, so the text is built once per row.
+    One pattern both trims and checks, so the text is built once per row.  A number beyond
+    what a double holds is not finite.
     """
-    return F.regexp_extract(c, _NUMBER, 1).try_cast("double")
+    return finite(F.regexp_extract(c, _NUMBER, 1).try_cast("double"))
+
+
+def finite(value: Column) -> Column:
+    """The value, or NULL where it is infinite."""
+    infinity = F.lit(float("inf"))
+    return F.nullif(F.nullif(value, infinity), -infinity)
 
 
 def _without_commas(c: Column) -> Column:

@@ -45,19 +45,36 @@ def is_true(c: Column) -> Column:
     return F.coalesce(fold(c.cast("string")).isin(*TRUE_WORDS), F.lit(False))
 
 
+def distinct_names(names: list[str]) -> list[str]:
+    """The names, where one that came before gets a number: ``note``, ``note_2``."""
+    used, out = set(names), []
+    for place, name in enumerate(names):
+        number = 2
+        if name in names[:place]:
+            while f"{name}_{number}" in used:
+                number += 1
+            name = f"{name}_{number}"
+            used.add(name)
+        out.append(name)
+    return out
+
+
 def lower_headers(df: DataFrame) -> DataFrame:
-    """Header rule of the raw zone: trimmed, lower case, inner spaces kept."""
-    return df.toDF(*[c.strip().lower() for c in df.columns])
+    """Header rule of the raw zone: trimmed, lower case, inner spaces kept.
+
+    Of headers that become equal the first keeps the name.
+    """
+    return df.toDF(*distinct_names([c.strip().lower() for c in df.columns]))
 
 
 def snake_headers(df: DataFrame) -> DataFrame:
     """Header rule of the cleaner: also turns each run of spaces into ``_``."""
-    return df.toDF(*[re.sub(r"\s+", "_", c.strip().lower()) for c in df.columns])
+    return df.toDF(*distinct_names([re.sub(r"\s+", "_", c.strip().lower()) for c in df.columns]))
 
 
 def drop_nameless(df: DataFrame) -> DataFrame:
     """Drop columns without a header (blank, or the ``_cN`` a CSV reader invents)."""
-    named = [c for c in df.columns if c.strip() and not re.fullmatch(r"_c\d+", c)]
+    named = [c for c in df.columns if c.strip() and not re.fullmatch(r"(_c|_)\d+", c)]
     return df.select(*[F.col(f"`{c}`") for c in named])
 
 

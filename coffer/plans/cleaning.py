@@ -12,6 +12,7 @@ from coffer.functions.dates import parse_date
 from coffer.functions.numbers import accounting_number
 from coffer.functions.text import (
     ROW_ORDER,
+    distinct_names,
     drop_nameless,
     headers_look_numeric,
     null_to_blank,
@@ -36,7 +37,9 @@ def promote_header(sheet: DataFrame) -> DataFrame:
         return sheet
     header = first[0].asDict()
     is_header = reduce(lambda a, b: a & b, [F.col(c) == F.lit(header[c]) for c in order])
-    renamed = [F.col(f"`{c}`").alias(header[c] or "") for c in names]
+    # Empty cells of the header row leave nameless columns, told apart by their place.
+    given = [header[c] if (header[c] or "").strip() else f"_c{i}" for i, c in enumerate(names)]
+    renamed = [F.col(f"`{c}`").alias(name) for c, name in zip(names, distinct_names(given))]
     return sheet.filter(~is_header).select(*renamed, *order)
 
 

@@ -32,6 +32,18 @@ def test_accounting_number_node_mode_strips_stray_characters(spark):
     assert got == [5.0, -1200.0, None, None, 3.0, None]
 
 
+def test_numbers_of_any_length_and_exponent(spark):
+    values = ["1e100", "1E-5", "9" * 300, "1" * 400, "5" * 250 + "e99", "-1e400", "0." + "0" * 400 + "1", "1e99999999999"]
+    got = apply(spark, values, numbers.accounting_number(F.col("c")))
+    assert got == [1e100, 1e-5, float("9" * 300), None, None, None, 0.0, None]
+
+
+def test_headers_that_become_equal_stay_apart(spark):
+    df = spark.createDataFrame([("a", "b", "c", "d")], ["Sub Category", "SUB_CATEGORY", " sub  category ", "sub_category_2"])
+    assert text.snake_headers(df).columns == ["sub_category", "sub_category_3", "sub_category_4", "sub_category_2"]
+    assert text.lower_headers(df).columns[:2] == ["sub category", "sub_category"]
+
+
 def test_whole_amount_truncates_or_rounds(spark):
     values = ["61,000", "61000.9", "-2.5", "2.5", "", "abc", None, "1e400", "nan"]
     assert apply(spark, values, numbers.whole_amount(F.col("c"))) == [61000, 61000, -2, 2, 0, 0, 0, 0, 0]
