@@ -10,14 +10,21 @@ from pyspark.sql import functions as F
 from coffer.functions.text import fold
 from coffer.functions.dates import month_number
 
-# A lookup table of up to this many narrow rows is a few tens of MB when broadcast.
+# A lookup table within both bounds is some tens of MB when broadcast.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 32 << 20
 SALTS = 32
 
 
-def bounded_count(df: DataFrame, limit: int) -> int:
-    """Row count, counted no further than ``limit + 1``."""
-    return df.limit(limit + 1).count()
+def measured(df: DataFrame) -> tuple[int, int]:
+    """Row count and bytes: 16 for each cell, and the length of texts.
+
+    One aggregate: each task sends one row.  ``df`` should be a stored table.
+    """
+    texts = [F.col(f"`{name}`") for name, kind in df.dtypes if kind == "string"]
+    length = sum((F.coalesce(F.octet_length(t), F.lit(0)) for t in texts), F.lit(0))
+    rows, size = df.agg(F.count(F.lit(1)), F.sum(length.cast("bigint"))).first()
+    return rows, (size or 0) + 16 * rows * len(df.columns)
 
 
 def lookup_join(
@@ -31,21 +38,23 @@ def lookup_join(
 ) -> DataFrame:
     """Join ``fact`` to a lookup table with unique keys.
 
-    The lookup side is counted first, up to ``max_rows``.  Within that bound it is
-    broadcast and the facts are not moved.  Beyond it both sides are shuffled, with
+    The lookup side is counted and measured first.  Within ``max_rows`` rows and
+    ``BROADCAST_BYTES`` it is broadcast and the facts are not moved.  Beyond it both sides are shuffled, with
     the facts spread over ``SALTS`` parts per key and the lookup rows repeated per
     part: a key that holds a third of the facts (NULL keys included) then still
     fills only a 1/``SALTS`` share of that third in any one task.
 
     The lookup side is evaluated for the count and again for the join, so one that is
     computed from facts should be written first (``session.materialise``).  ``rows`` is
-    an upper bound of its rows the caller has counted already.
+    an upper bound of its rows the caller has counted already, for rows of a few numbers
+    and names.
 
     The salt is a hash of ``salt_by`` (by default all fact columns), so a task that
     runs again after a lost executor puts each row where it was before.
     """
     on = list(on)
-    if (bounded_count(lookup, max_rows) if rows is None else rows) <= max_rows:
+    count, size = measured(lookup) if rows is None else (rows, 0)
+    if count <= max_rows and size <= BROADCAST_BYTES:
         return fact.join(F.broadcast(lookup), on, how)
     salt = F.pmod(F.xxhash64(*(salt_by or fact.columns)), F.lit(SALTS))
     salted_fact = fact.withColumn("_salt", salt.cast("int"))
@@ -77,7 +86,9 @@ def resolve_name(
     )
     keyed = rows.withColumn("_name", fold(F.col(name)))
     # One id per name at most, so the rows of the table itself bound the lookup side.
-    at_most = bounded_count(lookup, max_rows)
+    at_most, size = measured(lookup.select(lookup_name, lookup_id))
+    if size > BROADCAST_BYTES:
+        at_most = max_rows + 1
     return lookup_join(keyed, ids, ["_name", *within], max_rows=max_rows, rows=at_most).drop("_name")
 
 
@@ -100,5 +111,4 @@ def plan_of_month(rows: DataFrame, plans: DataFrame, yr: Column, mo: Column) ->
         month_number(F.col("plan_year").cast("int"), F.col("plan_month").cast("int")).alias("_month")
     ).agg(F.max("plan_id").alias("plan_id"))
     keyed = rows.withColumn("_month", month_number(yr, mo))
-    at_most = bounded_count(plans, BROADCAST_ROWS)
-    return lookup_join(keyed, months, ["_month"], rows=at_most).drop("_month")
+    return lookup_join(keyed, months, ["_month"], rows=plans.count()).drop("_month")

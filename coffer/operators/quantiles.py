@@ -1,86 +1,52 @@
-"""Exact quantiles per group without sorting a group.
+"""Exact quantiles per group without gathering a group.
 
-A mergeable sketch first brackets each quantile.  A second pass keeps the values
-inside the brackets, as counts per value, and only counts the rows between them, so
-what is put in order is a sliver of a large group.
+Equal values are counted first.  What is left is put in order over the whole table by
+range partitions, each of which knows how many rows lie before it, so the rank of every
+value is known and no group meets in one task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import add, or_
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from coffer.operators.lookup import lookup_join
+from coffer.operators.ranking import part_offsets, ranged
 from coffer.session import materialise
 
-# Rank error of the sketch is at most rows / ACCURACY.
-ACCURACY = 500_000
-
 
 def exact_quantiles(
-    df: DataFrame, key: str, value: str, shares: Sequence[float], names: Sequence[str], accuracy: int = ACCURACY
+    df: DataFrame, key: str, value: str, shares: Sequence[float], names: Sequence[str]
 ) -> DataFrame:
     """One row per ``key`` (never NULL) with the quantiles of ``value`` as columns ``names``.
 
-    Values are interpolated between the two nearest ranks.  A bracket reaches ten
-    rank errors to either side, so it holds both ranks; groups of up to ``accuracy``
-    rows are kept whole, where that margin could fall below one row.
+    Values are interpolated between the two nearest ranks; NULL values do not count.
     """
-    spread = 10.0 / accuracy
-    rows = df.select(key, F.col(value).alias("_v")).filter(F.col("_v").isNotNull())
-    low = F.percentile_approx("_v", [max(p - spread, 0.0) for p in shares], accuracy)
-    high = F.percentile_approx("_v", [min(p + spread, 1.0) for p in shares], accuracy)
-    sketch = rows.groupBy(key).agg(
-        F.count("_v").alias("_n"),
-        F.min("_v").alias("_min"),
-        F.max("_v").alias("_max"),
-        low.alias("_l"),
-        high.alias("_h"),
-    )
-    whole = F.col("_n") <= accuracy
-    edges = [
-        edge
-        for i in range(len(shares))
-        for edge in (
-            F.when(whole, F.col("_min")).otherwise(F.col("_l")[i]).alias(f"_low{i}"),
-            F.when(whole, F.col("_max")).otherwise(F.col("_h")[i]).alias(f"_high{i}"),
-        )
-    ]
-    brackets = materialise(sketch.select(key, "_n", *edges), "quantile_brackets")
-
-    inside = reduce(or_, [F.col("_v").between(F.col(f"_low{i}"), F.col(f"_high{i}")) for i in range(len(shares))])
-    passed = reduce(add, [(F.col("_v") > F.col(f"_high{i}")).cast("int") for i in range(len(shares))])
-    counted = (
-        lookup_join(rows, brackets, [key], how="inner")
-        .select(key, "_n", "_v", inside.alias("_inside"), passed.alias("_passed"))
-        .groupBy(
-            key,
-            "_n",
-            F.when(F.col("_inside"), F.col("_v")).alias("_kept"),
-            F.when(~F.col("_inside"), F.col("_passed")).alias("_gap"),
-        )
-        .agg(F.count(F.lit(1)).alias("_count"), F.min("_v").alias("_at"))
+    rows = df.select(key, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
+    counted = rows.groupBy(key, "_v").agg(F.count(F.lit(1)).alias("_n"))
+    parts = ranged(counted, [F.col(key), F.col("_v")], "quantile_values")
+    offsets = part_offsets(parts, F.sum("_n"))
+    earlier = Window.partitionBy("_part").orderBy("_pos").rowsBetween(Window.unboundedPreceding, -1)
+    placed = materialise(
+        parts.join(F.broadcast(offsets), "_part").select(
+            key, "_v", "_n", (F.col("_offset") + F.coalesce(F.sum("_n").over(earlier), F.lit(0))).alias("_start")
+        ),
+        "quantile_places",
     )
-    # Rows of one gap lie between two brackets, so their smallest value places them.
-    in_order = Window.partitionBy(key).orderBy("_at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = counted.withColumn("_end", F.sum("_count").over(in_order)).withColumn(
-        "_start", F.col("_end") - F.col("_count")
+    # Where a group begins in the order of all rows, and how many rows it has.
+    groups = materialise(
+        placed.groupBy(key).agg(F.min("_start").alias("_first"), F.sum("_n").alias("_rows")), "quantile_groups"
     )
-
-    found = []
-    for i, share in enumerate(shares):
-        rank = (F.col("_n") - 1) * F.lit(float(share))
-        for side, place in (("a", F.floor(rank)), ("b", F.ceil(rank))):
-            here = (F.col("_start") <= place) & (place < F.col("_end"))
-            found.append(F.max(F.when(here, F.col("_at"))).cast("double").alias(f"_{side}{i}"))
-    ends = placed.groupBy(key, "_n").agg(*found)
-    quantiles = []
+    within = lookup_join(placed, groups, [key], how="inner").withColumn("_start", F.col("_start") - F.col("_first"))
+    last = F.col("_rows") - 1
+    found, quantiles = [], []
     for i, (share, name) in enumerate(zip(shares, names)):
-        rank = (F.col("_n") - 1) * F.lit(float(share))
+        rank = last * F.lit(float(share))
+        for side, place in (("a", F.floor(rank)), ("b", F.ceil(rank))):
+            here = (F.col("_start") <= place) & (place < F.col("_start") + F.col("_n"))
+            found.append(F.max(F.when(here, F.col("_v"))).alias(f"_{side}{i}"))
         step = F.col(f"_b{i}") - F.col(f"_a{i}")
         quantiles.append((F.col(f"_a{i}") + step * (rank - F.floor(rank))).alias(name))
-    return ends.select(key, *quantiles)
+    return within.groupBy(key, "_rows").agg(*found).select(key, *quantiles)

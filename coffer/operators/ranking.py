@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from coffer.operators.lookup import bounded_count, lookup_join
+from coffer.operators.lookup import lookup_join
 from coffer.session import materialise
 
 ONE_TASK_ROWS = 1_000_000
@@ -21,7 +21,7 @@ ONE_TASK_ROWS = 1_000_000
 _POSITION_BITS = (1 << 33) - 1
 
 
-def _ranged(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
+def ranged(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
     """``df`` range-partitioned and sorted, written once with its part and position."""
     return materialise(
         df.repartitionByRange(*order)
@@ -32,7 +32,7 @@ def _ranged(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
     )
 
 
-def _offsets(parts: DataFrame, size: Column) -> DataFrame:
+def part_offsets(parts: DataFrame, size: Column) -> DataFrame:
     """Total ``size`` of all earlier parts.  One row per shuffle partition, so small."""
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     sizes = parts.groupBy("_part").agg(size.alias("_size"))
@@ -44,10 +44,10 @@ def number_rows(
 ) -> DataFrame:
     """Number the rows ``start + 1, start + 2, ...`` in the total order of ``order``."""
     keys = [F.col(c).asc_nulls_first() for c in order]
-    if bounded_count(df, one_task_rows) <= one_task_rows:
+    if one_task_rows and df.count() <= one_task_rows:
         return df.withColumn(out, (F.row_number().over(Window.orderBy(*keys)) + F.lit(start)).cast("bigint"))
-    parts = _ranged(df, keys, "numbered")
-    offsets = _offsets(parts, F.count(F.lit(1)))
+    parts = ranged(df, keys, "numbered")
+    offsets = part_offsets(parts, F.count(F.lit(1)))
     return (
         parts.join(F.broadcast(offsets), "_part")
         .withColumn(out, (F.col("_offset") + F.col("_pos") + F.lit(start + 1)).cast("bigint"))
@@ -61,18 +61,18 @@ def rank_desc(
     """Competition rank (1, 2, 2, 4) by falling ``value`` (never NULL) over the whole frame.
 
     ``rows`` is an upper bound the caller already knows; without one the frame is
-    counted up to the limit.  The distributed way ranks the distinct values, so
+    counted.  The distributed way ranks the distinct values, so
     rows that tie never meet in one task.
     """
-    bound = rows if rows is not None else bounded_count(df, one_task_rows)
+    bound = rows if rows is not None else df.count()
     if bound <= one_task_rows:
         return df.withColumn(out, F.rank().over(Window.orderBy(F.desc(value))))
     df = materialise(df, "rank_input")
     per_value = df.groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
-    parts = _ranged(per_value, [F.col(value).desc_nulls_last()], "rank_values")
+    parts = ranged(per_value, [F.col(value).desc_nulls_last()], "rank_values")
     earlier = Window.partitionBy("_part").orderBy("_pos").rowsBetween(Window.unboundedPreceding, -1)
     ranks = (
-        parts.join(F.broadcast(_offsets(parts, F.sum("_n"))), "_part")
+        parts.join(F.broadcast(part_offsets(parts, F.sum("_n"))), "_part")
         .withColumn("_before", F.col("_offset") + F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
         .select(value, (F.col("_before") + 1).cast("int").alias(out))
     )

@@ -2,19 +2,42 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from coffer.functions.money import is_spend, sum_where
-from coffer.operators.lookup import BROADCAST_ROWS, bounded_count, lookup_join
+from coffer.operators.lookup import lookup_join
 from coffer.operators.ranking import rank_desc
 from coffer.schema import MONEY, SPENDING_TYPES, Ledger
 
 
-def spend_facts(ledger: Ledger) -> DataFrame:
-    """Dated spend rows with their keys, before any name is looked up."""
+def months_between(rows: DataFrame, day: str, start: date | None, end: date | None) -> DataFrame:
+    """Rows of the months from ``start`` to ``end``, both included; ``None`` leaves an end open.
+
+    The bounds are on the date itself, which the scan can use, and on the month folders
+    where ``rows`` has them, so that others are not read.
+    """
+    folders = {"yr", "mo"} <= set(rows.columns)
+    month = F.col("yr") * 12 + F.col("mo") if folders else None
+    if start:
+        rows = rows.filter(F.col(day) >= F.lit(start.replace(day=1)))
+        if folders:
+            rows = rows.filter((F.col("yr") >= start.year) & (month >= start.year * 12 + start.month))
+    if end:
+        after = date(end.year + end.month // 12, end.month % 12 + 1, 1)
+        rows = rows.filter(F.col(day) < F.lit(after))
+        if folders:
+            rows = rows.filter((F.col("yr") <= end.year) & (month <= end.year * 12 + end.month))
+    return rows
+
+
+def spend_facts(ledger: Ledger, start: date | None = None, end: date | None = None) -> DataFrame:
+    """Dated spend rows with their keys, before any name is looked up; those of a range of months."""
     day = F.col("transaction_date").cast("date")
-    return ledger.transactions.filter(is_spend() & F.col("transaction_date").isNotNull()).select(
+    rows = months_between(ledger.transactions, "transaction_date", start, end)
+    return rows.filter(is_spend() & F.col("transaction_date").isNotNull()).select(
         F.col("transaction_id").alias("id"),
         day.alias("expense_date"),
         F.year(day).alias("yr"),
@@ -32,6 +55,16 @@ def spend_facts(ledger: Ledger) -> DataFrame:
     )
 
 
+def spend_groups(facts: DataFrame) -> DataFrame:
+    """Spend summed by month and keys, names not yet looked up."""
+    return facts.groupBy("yr", "mo", "category_id", "subcategory_id", "spending_type").agg(
+        F.count("id").alias("n"),
+        F.sum("amount").alias("spent"),
+        F.min("expense_date").alias("first_day"),
+        F.max("expense_date").alias("last_day"),
+    )
+
+
 def _category_names(ledger: Ledger) -> DataFrame:
     return ledger.categories.select("category_id", "category_name")
 
@@ -75,10 +108,10 @@ def stg_expenses(ledger: Ledger) -> DataFrame:
     )
 
 
-def mart_monthly_summary(ledger: Ledger) -> DataFrame:
+def mart_monthly_summary(ledger: Ledger, start: date | None = None, end: date | None = None) -> DataFrame:
     """Spend per month.  Needs no names, so no lookup table is read."""
     return (
-        spend_facts(ledger)
+        spend_facts(ledger, start, end)
         .groupBy("yr", "mo")
         .agg(
             F.count("id").alias("transaction_count"),
@@ -91,38 +124,34 @@ def mart_monthly_summary(ledger: Ledger) -> DataFrame:
     )
 
 
-def mart_category_breakdown(ledger: Ledger) -> DataFrame:
+def category_groups(groups: DataFrame, ledger: Ledger) -> DataFrame:
+    """Spend per month and category group, from ``spend_groups``."""
+    return (
+        _named(groups, ledger)
+        .groupBy("yr", "mo", "category_id", "category_name", "subcategory_name", "spending_type")
+        .agg(F.sum("n").alias("tx_count"), F.sum("spent").cast("decimal(25,0)").alias("total_spend"))
+    )
+
+
+def mart_category_breakdown(ledger: Ledger, start: date | None = None, end: date | None = None) -> DataFrame:
     """Spend per month and category group, with its share of the month.
 
     The share window runs on summed groups, never on single facts: a month holds
     at most categories x subcategories x spending types of them.
     """
-    by_key = (
-        spend_facts(ledger)
-        .groupBy("yr", "mo", "category_id", "subcategory_id", "spending_type")
-        .agg(F.count("id").alias("n"), F.sum("amount").alias("spent"))
-    )
-    groups = (
-        _named(by_key, ledger)
-        .groupBy("yr", "mo", "category_id", "category_name", "subcategory_name", "spending_type")
-        .agg(F.sum("n").alias("tx_count"), F.sum("spent").cast("decimal(25,0)").alias("total_spend"))
-    )
+    groups = category_groups(spend_groups(spend_facts(ledger, start, end)), ledger)
     month_total = F.sum("total_spend").over(Window.partitionBy("yr", "mo")).cast("decimal(25,0)")
     share = F.col("total_spend").cast("double") * 100.0 / month_total.cast("double")
     return groups.withColumn("pct_of_month", F.round(share, 2))
 
 
-def merchant_groups(ledger: Ledger) -> DataFrame:
-    """Spend per merchant (subcategory, or category where there is none)."""
-    by_key = (
-        spend_facts(ledger)
-        .groupBy("category_id", "subcategory_id", "spending_type")
-        .agg(
-            F.count("id").alias("n"),
-            F.sum("amount").alias("spent"),
-            F.min("expense_date").alias("first_day"),
-            F.max("expense_date").alias("last_day"),
-        )
+def merchants_of(groups: DataFrame, ledger: Ledger) -> DataFrame:
+    """Spend per merchant (subcategory, or category where there is none), from ``spend_groups``."""
+    by_key = groups.groupBy("category_id", "subcategory_id", "spending_type").agg(
+        F.sum("n").alias("n"),
+        F.sum("spent").alias("spent"),
+        F.min("first_day").alias("first_day"),
+        F.max("last_day").alias("last_day"),
     )
     return (
         _named(by_key, ledger)
@@ -136,14 +165,18 @@ def merchant_groups(ledger: Ledger) -> DataFrame:
     )
 
 
+def merchant_groups(ledger: Ledger) -> DataFrame:
+    """Spend per merchant over all months."""
+    return merchants_of(spend_groups(spend_facts(ledger)), ledger)
+
+
 def mart_top_merchants(ledger: Ledger) -> DataFrame:
     """Merchant groups ranked by spend.
 
     There are at most (subcategories + 1) x (categories + 1) x spending types
-    groups; the two lookup tables are counted, up to a limit, to choose between a
-    one-task window and the distributed rank.
+    groups; the two lookup tables are counted to choose between a one-task window and
+    the distributed rank.
     """
-    subcategories = bounded_count(ledger.subcategories, BROADCAST_ROWS)
-    categories = bounded_count(ledger.categories, BROADCAST_ROWS)
+    subcategories, categories = ledger.subcategories.count(), ledger.categories.count()
     rows = (subcategories + 1) * (categories + 1) * (len(SPENDING_TYPES) + 1)
     return rank_desc(merchant_groups(ledger), "total_spend", "spend_rank", rows=rows)

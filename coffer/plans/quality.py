@@ -11,8 +11,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from coffer.functions.money import is_spend
 from coffer.functions.text import null_to_blank, trim
-from coffer.operators.lookup import BROADCAST_ROWS, bounded_count, lookup_join
+from coffer.operators.lookup import lookup_join
 from coffer.plans import marts
 from coffer.schema import (
     ACCOUNT_TYPES,
@@ -24,6 +25,7 @@ from coffer.schema import (
     UNIQUE_NOTE_PREFIX,
     Ledger,
 )
+from coffer.session import materialise
 
 
 def not_null(column: str) -> Column:
@@ -105,6 +107,26 @@ def dangling_links(transactions: DataFrame) -> DataFrame:
     return links.join(ids, "linked_id", "left_anti")
 
 
+def _id_checks(transactions: DataFrame, spend: Column) -> DataFrame:
+    """Repeated spend ids and rows whose link names no transaction, in one shuffle by id.
+
+    Each row tells about its own id and about the one it links to; both are summed per id
+    before the shuffle.
+    """
+    own = F.struct(F.col("transaction_id").alias("id"), F.lit(1).alias("rows"), spend.cast("int").alias("spend"), F.lit(0).alias("links"))
+    link = F.struct(F.col("related_transaction_id").alias("id"), F.lit(0).alias("rows"), F.lit(0).alias("spend"), F.lit(1).alias("links"))
+    told = transactions.select(F.inline(F.array(own, link))).filter(F.col("id").isNotNull())
+    by_id = told.groupBy("id").agg(*[F.sum(c).alias(c) for c in ("rows", "spend", "links")])
+    return by_id.agg(
+        F.array(
+            _check_row(
+                "relationship:transactions.related_transaction_id", F.sum(F.when(F.col("rows") == 0, F.col("links")))
+            ),
+            _check_row("unique:stg_expenses.id", F.count_if(F.col("spend") > 1)),
+        ).alias("checks")
+    )
+
+
 def plan_budget_gaps(ledger: Ledger) -> DataFrame:
     """Plans whose items do not add up to the fixed budget."""
     items = ledger.monthly_plan_items.groupBy("plan_id").agg(F.sum("budgeted").alias("items_total"))
@@ -121,15 +143,15 @@ def dq_report(ledger: Ledger, note_category: str = "Miscellaneous") -> DataFrame
 
     ``note_category`` is the category whose transactions need a note.
     """
-    spend = marts.spend_facts(ledger)
-    by_month = marts.mart_monthly_summary(ledger)
-    breakdown = marts.mart_category_breakdown(ledger)
-    merchants = marts.merchant_groups(ledger)
+    # The three marts are sums of one frame of groups, which is written: it stays small.
+    groups = materialise(marts.spend_groups(marts.spend_facts(ledger)), "spend_groups")
+    by_month = groups.groupBy("yr", "mo").agg(F.sum("spent").alias("total_spend"))
+    breakdown = marts.category_groups(groups, ledger)
+    merchants = marts.merchants_of(groups, ledger)
     tx, plans, items = ledger.transactions, ledger.monthly_plans, ledger.monthly_plan_items
 
-    # Every lookup table is counted once, up to the broadcast bound.
-    plan_count = bounded_count(plans, BROADCAST_ROWS)
-    category_count = bounded_count(ledger.categories, BROADCAST_ROWS)
+    # Every lookup table is counted once.
+    plan_count, category_count = plans.count(), ledger.categories.count()
     noted = ledger.categories.filter(F.col("category_name") == note_category)
     note_needed = noted.select("category_id", F.lit(True).alias("_note_needed")).distinct()
     linked = with_reference(tx, "account_id", ledger.accounts, "account_id")
@@ -141,10 +163,8 @@ def dq_report(ledger: Ledger, note_category: str = "Miscellaneous") -> DataFrame
     item_links = with_reference(item_links, "category_id", ledger.categories, "category_id", category_count)
     sub_links = with_reference(ledger.subcategories, "category_id", ledger.categories, "category_id", category_count)
 
+    spend = is_spend() & F.col("transaction_date").isNotNull()
     parts = [
-        _failures(
-            spend, {f"not_null:stg_expenses.{c}": not_null(c) for c in ("id", "expense_date", "amount", "category_id")}
-        ),
         _failures(
             by_month, {f"not_null:mart_monthly_summary.{c}": not_null(c) for c in ("yr", "mo", "total_spend")}
         ),
@@ -158,6 +178,10 @@ def dq_report(ledger: Ledger, note_category: str = "Miscellaneous") -> DataFrame
         _failures(
             linked,
             {
+                "not_null:stg_expenses.id": spend & not_null("transaction_id"),
+                "not_null:stg_expenses.expense_date": spend & not_null("transaction_date"),
+                "not_null:stg_expenses.amount": spend & not_null("amount"),
+                "not_null:stg_expenses.category_id": spend & not_null("category_id"),
                 "accepted:transactions.transaction_type": accepted_values("transaction_type", TRANSACTION_TYPES),
                 "accepted:transactions.spending_type": accepted_values("spending_type", SPENDING_TYPES),
                 "accepted:transactions.payment_method": accepted_values("payment_method", PAYMENT_METHODS),
@@ -186,12 +210,7 @@ def dq_report(ledger: Ledger, note_category: str = "Miscellaneous") -> DataFrame
             },
         ),
         _failures(sub_links, {"relationship:subcategories.category_id": missing_reference("category_id")}),
-        _row_count(
-            "relationship:transactions.related_transaction_id",
-            dangling_links(tx),
-            F.sum("n"),
-        ),
-        _duplicates("unique:stg_expenses.id", spend, "id"),
+        _id_checks(tx, spend),
         _duplicates("unique:categories.category_name", ledger.categories, "category_name"),
         _duplicates(
             "unique:subcategories.category_id_name", ledger.subcategories, "category_id", "subcategory_name"

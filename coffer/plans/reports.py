@@ -22,11 +22,18 @@ def _by_month():
     return Window.orderBy("yr", "mo")
 
 
-def _mart(ledger: Ledger, plan: Callable[[Ledger], DataFrame]) -> DataFrame:
-    """The mart as last written, or its plan."""
+def _mart(ledger: Ledger, plan: Callable[..., DataFrame], start: date | None = None, end: date | None = None) -> DataFrame:
+    """Months of the mart as last written, or of its plan, which then reads no other month."""
     stored = getattr(ledger, "mart", None)
     found = stored(plan.__name__) if stored else None
-    return plan(ledger) if found is None else found
+    if found is None:
+        return plan(ledger, start, end)
+    return in_months(found, start, end) if start and end else found
+
+
+def _latest_day(ledger: Ledger) -> date | None:
+    """Last day with spend: one column of the facts, and none of the marts."""
+    return marts.spend_facts(ledger).agg(F.max("expense_date")).first()[0]
 
 
 def default_range(today: date, years: int = 1) -> tuple[date, date]:
@@ -40,14 +47,22 @@ def in_months(mart: DataFrame, start: date, end: date) -> DataFrame:
     return mart.filter(month_number(F.col("yr"), F.col("mo")).between(low, high))
 
 
+def _latest_month(ledger: Ledger, plan: Callable[..., DataFrame]) -> DataFrame:
+    """The mart as last written, or its plan over the latest month with spend."""
+    if getattr(ledger, "mart", lambda name: None)(plan.__name__) is not None:
+        return _mart(ledger, plan)
+    day = _latest_day(ledger)
+    return _mart(ledger, plan, day, day)
+
+
 def kpi_latest_month(ledger: Ledger) -> DataFrame:
-    mart = _mart(ledger, marts.mart_monthly_summary).select("yr", "mo", "total_spend", "transaction_count")
+    mart = _latest_month(ledger, marts.mart_monthly_summary).select("yr", "mo", "total_spend", "transaction_count")
     return mart.orderBy(F.desc("yr"), F.desc("mo")).limit(1)
 
 
 def kpi_top_category(ledger: Ledger) -> DataFrame:
     """Highest single group of the latest month; ties go to the first name."""
-    mart = _mart(ledger, marts.mart_category_breakdown)
+    mart = _latest_month(ledger, marts.mart_category_breakdown)
     order = [F.desc("yr"), F.desc("mo"), F.desc("total_spend"), F.asc_nulls_first("category_name")]
     return mart.orderBy(*order).limit(1).select("category_name", "total_spend")
 
@@ -61,7 +76,7 @@ def overview_monthly(ledger: Ledger, start: date, end: date) -> DataFrame:
     """Months of the range with label, first day and running total from its start."""
     running = _by_month().rowsBetween(Window.unboundedPreceding, Window.currentRow)
     yr, mo = F.col("yr"), F.col("mo")
-    return in_months(_mart(ledger, marts.mart_monthly_summary), start, end).select(
+    return _mart(ledger, marts.mart_monthly_summary, start, end).select(
         "yr",
         "mo",
         "total_spend",
@@ -87,7 +102,7 @@ def overview_table(ledger: Ledger, start: date, end: date) -> DataFrame:
 
 
 def category_detail(ledger: Ledger, start: date, end: date) -> DataFrame:
-    mart = in_months(_mart(ledger, marts.mart_category_breakdown), start, end)
+    mart = _mart(ledger, marts.mart_category_breakdown, start, end)
     return mart.select(
         "yr",
         "mo",
@@ -116,7 +131,7 @@ def category_mom(ledger: Ledger, start: date, end: date) -> DataFrame:
 
 def _category_months(ledger: Ledger, start: date, end: date) -> DataFrame:
     """Month and category sums; the share of month is not needed, so it is not computed."""
-    facts = in_months(marts.spend_facts(ledger), start, end)
+    facts = marts.spend_facts(ledger, start, end)
     by_key = facts.groupBy("yr", "mo", "category_id").agg(F.sum("amount").alias("spent"))
     names = ledger.categories.select("category_id", "category_name")
     named = by_key.join(names, "category_id").filter(F.col("category_name").isNotNull())
@@ -127,7 +142,7 @@ def _category_months(ledger: Ledger, start: date, end: date) -> DataFrame:
 
 def month_order(ledger: Ledger, start: date, end: date) -> DataFrame:
     """Month labels of the range in calendar order."""
-    months = in_months(marts.spend_facts(ledger), start, end).select("yr", "mo").distinct()
+    months = marts.spend_facts(ledger, start, end).select("yr", "mo").distinct()
     return months.withColumn("month_label", month_label(F.col("yr"), F.col("mo"))).orderBy("yr", "mo")
 
 
@@ -160,7 +175,7 @@ def trend_rolling(ledger: Ledger, start: date, end: date) -> DataFrame:
     """Months of the range with the mean of the last three rows (not calendar months)."""
     last_three = _by_month().rowsBetween(-2, Window.currentRow)
     yr, mo = F.col("yr"), F.col("mo")
-    return in_months(_mart(ledger, marts.mart_monthly_summary), start, end).select(
+    return _mart(ledger, marts.mart_monthly_summary, start, end).select(
         "yr",
         "mo",
         "total_spend",
@@ -175,13 +190,13 @@ def trend_rolling(ledger: Ledger, start: date, end: date) -> DataFrame:
 def yoy_comparison(ledger: Ledger, start: date, end: date) -> DataFrame:
     """Month rows with one column per year of the range."""
     years = list(range(start.year, end.year + 1))
-    mart = in_months(_mart(ledger, marts.mart_monthly_summary), start, end)
+    mart = _mart(ledger, marts.mart_monthly_summary, start, end)
     wide = mart.groupBy("mo").pivot("yr", years).agg(F.sum("total_spend").cast("decimal(25,0)"))
     return wide.withColumnsRenamed({str(y): f"y{y}" for y in years})
 
 
 def spend_heatmap(ledger: Ledger, start: date, end: date) -> DataFrame:
     """Year rows with one column per month, Jan to Dec."""
-    mart = in_months(_mart(ledger, marts.mart_monthly_summary), start, end)
+    mart = _mart(ledger, marts.mart_monthly_summary, start, end)
     wide = mart.groupBy("yr").pivot("mo", list(range(1, 13))).agg(F.sum("total_spend").cast("decimal(25,0)"))
     return wide.withColumnsRenamed({str(i): name for i, name in enumerate(MONTH_NAMES, 1)})

@@ -72,7 +72,7 @@ def test_rank_desc_is_the_same_in_one_task_and_distributed(spark):
     assert rows(near.select("id", "v", "place")) == rows(far.select("id", "v", "place"))
 
 
-def test_quantiles_are_exact_beyond_the_sketch(spark):
+def test_quantiles_are_exact(spark):
     rng = random.Random(5)
     groups = {
         1: [rng.randrange(10**6) for _ in range(6000)],
@@ -83,7 +83,37 @@ def test_quantiles_are_exact_beyond_the_sketch(spark):
     df = spark.createDataFrame([(k, float(v)) for k, values in groups.items() for v in values], "k int, v double")
     df = df.unionByName(spark.createDataFrame([(4, None)], "k int, v double"))
     shares = (0.01, 0.25, 0.5, 0.99)
-    for accuracy in (200, quantiles.ACCURACY):
-        got = quantiles.exact_quantiles(df, "k", "v", shares, ("a", "b", "c", "d"), accuracy)
-        for k, *found in rows(got, "k"):
-            assert np.allclose(found, np.quantile(groups[k], shares)), (accuracy, k)
+    got = quantiles.exact_quantiles(df, "k", "v", shares, ("a", "b", "c", "d"))
+    for k, *found in rows(got, "k"):
+        assert np.allclose(found, np.quantile(groups[k], shares)), k
+
+
+def test_quantile_values_spread_over_parts(spark, monkeypatch):
+    """One group with distinct values: no part holds more than its share of them."""
+    seen = {}
+    whole = quantiles.ranged
+
+    def watched(df, order, name):
+        seen["parts"] = whole(df.repartition(4), order, name)
+        return seen["parts"]
+
+    monkeypatch.setattr(quantiles, "ranged", watched)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(40_000).selectExpr("0 AS k", "cast(id * 7919 % 40009 AS double) AS v")
+        got = quantiles.exact_quantiles(df, "k", "v", [0.5], ["m"]).first()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    sizes = [r["count"] for r in seen["parts"].groupBy("_part").count().collect()]
+    assert len(sizes) >= 3 and max(sizes) < 2 * 40_000 / len(sizes)
+    assert got["m"] == np.median([i * 7919 % 40009 for i in range(40_000)])
+
+
+def test_lookup_is_measured_in_bytes(spark, monkeypatch):
+    facts_ = spark.range(10).selectExpr("id AS k")
+    names = spark.range(10).selectExpr("id AS k", "repeat('x', 1000) AS name")
+    assert lookup.measured(names) == (10, 10 * 1000 + 10 * 2 * 16)
+    assert "Broadcast" in lookup.lookup_join(facts_, names, ["k"])._jdf.queryExecution().toString()
+    monkeypatch.setattr(lookup, "BROADCAST_BYTES", 5000)
+    assert lookup.lookup_join(facts_, names, ["k"]).filter("name IS NOT NULL").count() == 10
+    assert "_salt" in lookup.lookup_join(facts_, names, ["k"])._jdf.queryExecution().toString()
