@@ -165,26 +165,92 @@ _CTES["item_found"] = """
         SELECT i.*, p.plan_id, c.category_id
         FROM item_sheet i LEFT JOIN plans p ON p.plan_year = i.yr AND p.plan_month = i.mo
              LEFT JOIN categories c USING (category_name)"""
-_CTES["daily"] = """
-        SELECT coalesce(category_id, -1) AS key, expense_date, count(*) AS n, sum(amount) AS s,
-               sum(CAST(amount AS DECIMAL(18, 0)) * CAST(amount AS DECIMAL(18, 0))) AS ss
-        FROM stg GROUP BY ALL"""
+_CTES["rolling"] = """
+    SELECT id, expense_date, category_id, amount::BIGINT AS amount,
+           CAST(isodow(expense_date) - 1 AS INTEGER) AS day_of_week, n AS window_count,
+           round(mean, 4) AS rolling_mean,
+           CASE WHEN std > 0 THEN round((amount::DOUBLE - mean) / std, 6) END AS rolling_z,
+           coalesce(abs(CASE WHEN std > 0 THEN round((amount::DOUBLE - mean) / std, 6) END) > 3, false) AS is_anomaly
+    FROM (SELECT *, count(*) OVER w AS n, sum(amount) OVER w::DOUBLE / count(*) OVER w AS mean,
+                 stddev_pop(amount::DOUBLE) OVER w AS std
+          FROM stg WINDOW w AS (PARTITION BY coalesce(category_id, -1) ORDER BY expense_date
+                                RANGE BETWEEN INTERVAL 29 DAYS PRECEDING AND CURRENT ROW))"""
+_CTES["month_sums"] = """
+    SELECT kind, series, yr * 12 + mo - 1 AS t, CAST(sum(amount) AS DOUBLE) AS y FROM (
+        SELECT 'category' AS kind, category_name AS series, yr, mo, amount FROM stg WHERE category_name IS NOT NULL
+        UNION ALL SELECT 'total', 'all', yr, mo, amount FROM stg) GROUP BY ALL"""
 _CTES["series"] = """
-        SELECT *, yr * 12 + mo - 1 AS t FROM (
-            SELECT category_name AS series, yr, mo, CAST(sum(amount) AS DOUBLE) AS y
-            FROM stg WHERE category_name IS NOT NULL GROUP BY ALL
-            UNION ALL SELECT 'all', yr, mo, CAST(sum(amount) AS DOUBLE) FROM stg GROUP BY ALL)"""
-_CTES["training"] = "SELECT * FROM series q WHERE t <= (SELECT max(t) FROM series m WHERE m.series = q.series) - 3"
+    SELECT kind, series, t, t % 12 + 1 AS mo, coalesce(y, 0) AS y
+    FROM (SELECT kind, series, unnest(generate_series(min(t), (SELECT max(t) FROM month_sums))) AS t
+          FROM month_sums GROUP BY kind, series) LEFT JOIN month_sums USING (kind, series, t)"""
+_CTES["training"] = """
+    SELECT * FROM series q WHERE t <= (SELECT max(t) FROM series m WHERE m.kind = q.kind AND m.series = q.series) - 3"""
 for _name, _from in (("fit", "series"), ("fit_training", "training")):
     _CTES[_name] = f"""
-        SELECT series, regr_slope(y, t) AS slope, regr_intercept(y, t) AS intercept, max(t) AS last_t,
+        SELECT kind, series, regr_slope(y, t) AS slope, regr_intercept(y, t) AS intercept, max(t) AS last_t,
                max_by(y, t) AS last_y
-        FROM {_from} GROUP BY series"""
+        FROM {_from} GROUP BY kind, series"""
     _CTES[f"{_name}_season"] = f"""
-        SELECT series, mo, avg(y - (intercept + slope * t)) AS effect
-        FROM {_from} JOIN {_name} USING (series) GROUP BY ALL"""
+        SELECT kind, series, mo, avg(y - (intercept + slope * t)) AS effect
+        FROM {_from} JOIN {_name} USING (kind, series) GROUP BY ALL"""
+
+# The forest: 100 trees of 8 levels, about 256 rows each, drawn by remainders.
+_PRIME = 2147483647
+_FOREST = 100
+
+
+def _draw(key: str, tree: str) -> str:
+    line = f"(({key}) % {_PRIME} * ((48271 * ({tree} + 1) + 16807) % {_PRIME}) + (69621 * ({tree} + 7)) % {_PRIME}) % {_PRIME}"
+    return f"(({line}) * ({line}) % {_PRIME} * 39373 + ({line})) % {_PRIME}"
+
+
+_SIDE = "([amount, day_of_week, category, rolling_z])[feature + 1] > cut"
+_CTES["features"] = """
+    SELECT id, expense_date, category_id, amount AS whole, amount::DOUBLE AS amount, day_of_week::DOUBLE AS day_of_week,
+           coalesce(category_id, -1)::DOUBLE AS category, coalesce(rolling_z, 0)::DOUBLE AS rolling_z
+    FROM rolling"""
+_CTES["points0"] = f"""
+    SELECT tree, 0 AS node, amount, day_of_week, category, rolling_z
+    FROM features, generate_series(0, {_FOREST - 1}) t(tree)
+    WHERE {_draw("id", "tree")} < (
+        SELECT least({_PRIME}, ({_PRIME} * 256::BIGINT + count(*) - 1) // count(*)) FROM features)"""
+for _level in range(9):
+    _CTES[f"nodes{_level}"] = f"""
+    SELECT tree, node, n, CASE WHEN len(choices) > 0 THEN choices[{_draw("2 * node + 1", "tree")} % len(choices) + 1]
+                          ELSE -1 END AS feature,
+           CASE WHEN len(choices) > 0 THEN lows[choices[{_draw("2 * node + 1", "tree")} % len(choices) + 1] + 1]
+                + spans[choices[{_draw("2 * node + 1", "tree")} % len(choices) + 1] + 1]
+                  * (({_draw("2 * node + 2", "tree")})::DOUBLE / {_PRIME}::DOUBLE) END AS cut
+    FROM (SELECT *, CASE WHEN {_level} >= 8 OR n <= 1 THEN CAST([] AS INTEGER[])
+                    ELSE list_filter([0, 1, 2, 3], lambda f: spans[f + 1] > 0) END AS choices
+          FROM (SELECT tree, node, count(*) AS n,
+                       [min(amount), min(day_of_week), min(category), min(rolling_z)] AS lows,
+                       [max(amount) - min(amount), max(day_of_week) - min(day_of_week),
+                        max(category) - min(category), max(rolling_z) - min(rolling_z)] AS spans
+                FROM points{_level} GROUP BY tree, node))"""
+    _CTES[f"points{_level + 1}"] = f"""
+    SELECT p.tree, 2 * p.node + 1 + CAST({_SIDE} AS INTEGER) AS node, amount, day_of_week, category, rolling_z
+    FROM points{_level} p JOIN nodes{_level} n ON n.tree = p.tree AND n.node = p.node WHERE feature >= 0"""
+    # A row's place, and the depth at which its way ended.
+    _start = (
+        f"(SELECT *, tree, 0 AS node FROM features, generate_series(0, {_FOREST - 1}) t(tree))"
+        if _level == 0
+        else f"walk{_level - 1}"
+    )
+    _CTES[f"walk{_level}"] = f"""
+    SELECT w.* EXCLUDE (node, depth), CASE WHEN feature >= 0 THEN 2 * w.node + 1 + CAST({_SIDE} AS INTEGER) END AS node,
+           coalesce(depth, CASE WHEN feature < 0 THEN {_level} + CASE WHEN n <= 1 THEN 0 WHEN n = 2 THEN 1
+               ELSE 2 * (ln(n - 1.0::DOUBLE) + 0.5772156649015329) - 2 * (n - 1.0::DOUBLE) / n END END) AS depth
+    FROM {"(SELECT *, NULL::DOUBLE AS depth FROM " + _start + ")" if _level == 0 else _start} w
+         LEFT JOIN nodes{_level} n ON n.tree = w.tree AND n.node = w.node"""
+_CTES["scored"] = f"""
+    SELECT id, expense_date, category_id, whole,
+           round(power(2.0::DOUBLE, -sum(coalesce(depth, 0)) / {_FOREST}
+                       / (2 * (ln(255::DOUBLE) + 0.5772156649015329) - 2 * 255::DOUBLE / 256)), 9) AS score
+    FROM walk8 GROUP BY ALL"""
 
 _NEEDS = {
+    "scored": ["walk8"],
     "sheet": ["tx"],
     "resent": ["tx"],
     "cleaned": ["sheet"],
@@ -195,8 +261,14 @@ _NEEDS = {
     "plan_sheet": ["months"],
     "item_sheet": ["months"],
     "item_found": ["item_sheet", "plans", "categories"],
-    "daily": ["stg"],
-    "series": ["stg"],
+    "rolling": ["stg"],
+    "features": ["rolling"],
+    "points0": ["features"],
+    **{f"nodes{i}": [f"points{i}"] for i in range(9)},
+    **{f"points{i + 1}": [f"nodes{i}"] for i in range(9)},
+    **{f"walk{i}": [f"nodes{i}", *([f"walk{i - 1}"] if i else [])] for i in range(9)},
+    "month_sums": ["stg"],
+    "series": ["month_sums"],
     "training": ["series"],
     "fit": ["series"],
     "fit_season": ["fit"],
@@ -572,12 +644,6 @@ QUALITY = {
     ),
 }
 
-# Population deviation from the sums, step by step as in the query.
-_MEAN = "CAST(s AS DOUBLE) / n"
-_STD = f"sqrt(greatest(CAST(ss AS DOUBLE) / n - ({_MEAN}) * ({_MEAN}), 0.0))"
-_SQUARES = "sum(CAST(amount AS DECIMAL(18, 0)) * CAST(amount AS DECIMAL(18, 0)))"
-
-
 def _scored(mean: str, std: str) -> str:
     return f"CASE WHEN {std} > 0 THEN round((CAST(amount AS DOUBLE) - {mean}) / {std}, 6) END"
 
@@ -604,8 +670,7 @@ SCIENCE = {
         SELECT id, expense_date, category_id, amount::BIGINT AS amount, z_score,
                coalesce(abs(z_score) > 3, false) AS is_anomaly
         FROM (SELECT stg.*, {_scored("mean", "std")} AS z_score
-              FROM stg, (SELECT {_MEAN} AS mean, {_STD} AS std
-                         FROM (SELECT count(*) AS n, sum(amount) AS s, {_SQUARES} AS ss FROM stg)))""",
+              FROM stg, (SELECT sum(amount)::DOUBLE / count(*) AS mean, stddev_pop(amount::DOUBLE) AS std FROM stg))""",
         "stg",
     ),
     "anomaly_category_zscore": _sql(
@@ -613,50 +678,44 @@ SCIENCE = {
         SELECT id, expense_date, category_id, amount::BIGINT AS amount, z_score,
                coalesce(abs(z_score) > 3, false) AS is_anomaly
         FROM (SELECT stg.*, {_scored("mean", "std")} AS z_score
-              FROM stg JOIN (SELECT key, {_MEAN} AS mean, {_STD} AS std
-                             FROM (SELECT coalesce(category_id, -1) AS key, count(*) AS n, sum(amount) AS s,
-                                          {_SQUARES} AS ss FROM stg GROUP BY ALL))
+              FROM stg JOIN (SELECT coalesce(category_id, -1) AS key, sum(amount)::DOUBLE / count(*) AS mean,
+                                    stddev_pop(amount::DOUBLE) AS std FROM stg GROUP BY ALL)
                 ON key = coalesce(category_id, -1))""",
         "stg",
     ),
-    "anomaly_rolling_z": _sql(
+    "anomaly_rolling_z": _sql("SELECT * FROM rolling", "rolling"),
+    "anomaly_iforest": _sql(
         f"""
-        SELECT id, expense_date, category_id, amount::BIGINT AS amount,
-               CAST(isodow(expense_date) - 1 AS INTEGER) AS day_of_week, n AS window_count,
-               round(mean, 4) AS rolling_mean, rolling_z, coalesce(abs(rolling_z) > 3, false) AS is_anomaly
-        FROM (SELECT stg.*, n, mean, {_scored("mean", "std")} AS rolling_z
-              FROM stg JOIN (SELECT key, day, CAST(n AS BIGINT) AS n, {_MEAN} AS mean, {_STD} AS std
-                             FROM (SELECT a.key, a.expense_date AS day, sum(b.n) AS n, sum(b.s) AS s, sum(b.ss) AS ss
-                                   FROM daily a JOIN daily b ON a.key = b.key
-                                        AND b.expense_date BETWEEN a.expense_date - 29 AND a.expense_date
-                                   GROUP BY ALL))
-                ON key = coalesce(category_id, -1) AND day = expense_date)""",
-        "daily",
+        SELECT id, expense_date, category_id, whole AS amount, score,
+               CASE WHEN score > (SELECT quantile_cont(score, 0.95) FROM scored) THEN -1 ELSE 1 END AS anomaly_iforest
+        FROM scored""",
+        "scored",
     ),
     "spend_forecast": _sql(
         """
-        SELECT series, CAST(t // 12 AS INTEGER) AS yr, CAST(t % 12 + 1 AS INTEGER) AS mo, step,
+        SELECT kind, series, CAST(t // 12 AS INTEGER) AS yr, CAST(t % 12 + 1 AS INTEGER) AS mo, step,
                CAST(round(forecast) AS BIGINT) AS forecast, CAST(round(forecast - 1.96 * sigma) AS BIGINT) AS lower,
                CAST(round(forecast + 1.96 * sigma) AS BIGINT) AS upper
-        FROM (SELECT f.series, f.last_t + step AS t, CAST(step AS INTEGER) AS step, sigma,
+        FROM (SELECT f.kind, f.series, f.last_t + step AS t, CAST(step AS INTEGER) AS step, sigma,
                      intercept + slope * (f.last_t + step) + coalesce(effect, 0) AS forecast
               FROM fit f CROSS JOIN generate_series(1, 3) AS g(step)
-                   JOIN (SELECT series, stddev_pop(y - (intercept + slope * t) - effect) AS sigma
-                         FROM series JOIN fit USING (series) JOIN fit_season USING (series, mo) GROUP BY series)
-                        USING (series)
-                   LEFT JOIN fit_season e ON e.series = f.series AND e.mo = (f.last_t + step) % 12 + 1)""",
+                   JOIN (SELECT kind, series, stddev_pop(y - (intercept + slope * t) - effect) AS sigma
+                         FROM series JOIN fit USING (kind, series) JOIN fit_season USING (kind, series, mo)
+                         GROUP BY kind, series) USING (kind, series)
+                   LEFT JOIN fit_season e ON e.kind = f.kind AND e.series = f.series
+                                         AND e.mo = (f.last_t + step) % 12 + 1)""",
         "fit_season",
     ),
     "forecast_backtest": _sql(
         """
-        SELECT s.series, count(*) AS months,
+        SELECT s.kind, s.series, count(*) AS months,
                CAST(round(sqrt(avg(power(y - (intercept + slope * t + coalesce(effect, 0)), 2)))) AS BIGINT)
                    AS rmse_model,
                CAST(round(sqrt(avg(power(y - last_y, 2)))) AS BIGINT) AS rmse_last
-        FROM series s JOIN fit_training f USING (series)
-             LEFT JOIN fit_training_season e ON e.series = s.series AND e.mo = s.mo
-        WHERE t > (SELECT max(m.t) FROM series m WHERE m.series = s.series) - 3
-        GROUP BY s.series""",
+        FROM series s JOIN fit_training f USING (kind, series)
+             LEFT JOIN fit_training_season e ON e.kind = s.kind AND e.series = s.series AND e.mo = s.mo
+        WHERE t > (SELECT max(m.t) FROM series m WHERE m.kind = s.kind AND m.series = s.series) - 3
+        GROUP BY s.kind, s.series""",
         "fit_training_season",
     ),
 }

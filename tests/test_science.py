@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import dataclasses
 import random
 from datetime import date, timedelta
 
@@ -7,6 +8,7 @@ import numpy as np
 import pandas as pd
 import pytest
 from ledgers import ledger, tx
+from pyspark.sql import functions as F
 
 from coffer.plans import science
 
@@ -114,9 +116,8 @@ def walk(nodes, point):
 def test_batch_scores_equal_a_walk_through_each_tree(spark, book):
     trees, sample, limit = 7, 32, 5
     features = science.anomaly_features(book)
-    drawn = science._training_rows(features, trees, sample, seed=1)
-    assert {r["count"] for r in drawn.groupBy("tree").count().collect()} == {sample}
-    nodes = drawn.groupBy("tree").applyInPandas(science._tree_grower(1, limit), science._NODES).toPandas()
+    drawn = science._training_rows(features, trees, sample)
+    nodes = drawn.groupBy("tree").applyInPandas(science._tree_grower(limit), science._NODES).toPandas()
     points = features.orderBy("id").toPandas()
     scored = pd.concat(science._scorer(nodes, trees, sample, limit)(iter([points[:700], points[700:]])))
     forest = [
@@ -127,14 +128,51 @@ def test_batch_scores_equal_a_walk_through_each_tree(spark, book):
     assert np.allclose(scored["score"], want)
 
 
-def test_a_large_table_deals_its_pool_out_to_the_trees(spark):
-    features = spark.range(20000).selectExpr(
-        "id", "cast(id AS double) AS amount", "0D AS day_of_week", "1D AS category", "0D AS rolling_z"
-    )
-    drawn = science._training_rows(features, trees=10, sample=64, seed=5)
-    counts = [r["count"] for r in drawn.groupBy("tree").count().collect()]
-    assert len(counts) == 10 and min(counts) >= 50 and max(counts) <= 64
-    assert drawn.count() == drawn.select("id").distinct().count()
+@pytest.mark.parametrize("rows", [40, 1000, 30_000, 60_000])
+def test_trees_draw_by_one_rule_at_any_size(spark, rows):
+    features = spark.range(rows).selectExpr("id", "cast(id AS double) AS amount")
+    trees, sample = 12, 64
+    drawn = science._training_rows(features, trees, sample).select("id", "tree").collect()
+    share = min(science.DRAW_PRIME, -(-science.DRAW_PRIME * sample // rows))
+    want = {(i, t) for i in range(rows) for t in range(trees) if science.draw(i, t) < share}
+    assert {tuple(r) for r in drawn} == want and len(drawn) == len(want)
+    expected = min(rows, sample)
+    counts = [sum(t == tree for _, t in want) for tree in range(trees)]
+    assert all(abs(n - expected) <= 5 * expected**0.5 for n in counts)
+    if rows > 1000:  # trees draw apart from each other
+        both = sum((i, 0) in want and (i, 1) in want for i in range(rows))
+        assert both <= 4
+
+
+@pytest.mark.parametrize("base", [10**9, 10**11])
+def test_scores_of_amounts_far_from_zero(spark, base):
+    """60 equal amounts but for small steps, one 40 higher: nothing cancels."""
+    amounts = [base + i % 3 for i in range(60)] + [base + 40]
+    book = ledger(spark, [tx(i, "2024-01-05", a, category=1) for i, a in enumerate(amounts)])
+    values = np.array(amounts, dtype=float) - base
+    want = (values - values.mean()) / values.std()
+    for plan, column in (
+        (science.anomaly_zscore, "z_score"),
+        (science.anomaly_category_zscore, "z_score"),
+        (science.anomaly_rolling_z, "rolling_z"),
+    ):
+        assert np.allclose(by_id(plan(book))[column], want, atol=1e-4), plan.__name__
+    assert abs(science.spend_profile(book).first()["std_amount"] - values.std()) < 1e-3
+
+
+def test_months_without_spend_count_and_a_category_may_be_called_all(spark):
+    events = [tx(1, "2023-01-10", 100, category=1), tx(2, "2023-04-10", 300, category=2)]
+    book = ledger(spark, events)
+    names = book.categories.withColumn("category_name", F.when(F.col("category_id") == 1, "all").otherwise("b"))
+    book = dataclasses.replace(book, categories=names)
+    got = science.monthly_series(book).orderBy("kind", "series", "t").collect()
+    assert [(r["kind"], r["series"], r["mo"], r["y"]) for r in got] == [
+        ("category", "all", 1, 100.0), ("category", "all", 2, 0.0), ("category", "all", 3, 0.0),
+        ("category", "all", 4, 0.0), ("category", "b", 4, 300.0), ("total", "all", 1, 100.0),
+        ("total", "all", 2, 0.0), ("total", "all", 3, 0.0), ("total", "all", 4, 300.0),
+    ]
+    ahead = science.spend_forecast(book, 1).select("yr", "mo").distinct().collect()
+    assert [tuple(r) for r in ahead] == [(2023, 5)]
 
 
 def test_forest_flags_the_share_asked_for_and_finds_the_huge_amounts(book, spend):
