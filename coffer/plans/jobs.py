@@ -63,7 +63,11 @@ def load_transactions(
     if counts[1]:
         zones.write_run(rejected, f"{root}/rejected/transactions", run)
     if counts[0] > counts[1]:
-        numbered = loading.with_transaction_ids(accepted, ledger.transactions)
+        last = zones.last_transaction_id(spark, root)
+        if last is None:  # the first load with a kept mark looks at the table
+            last = ledger.transactions.agg(F.max("transaction_id")).first()[0] or 0
+        zones.keep_transaction_id(spark, root, last + counts[0] - counts[1])
+        numbered = loading.with_transaction_ids(accepted, last)
         zones.append_transactions(numbered.select(*TRANSACTIONS.fieldNames()), root)
     return Loaded(attempted=counts[0], loaded=counts[0] - counts[1], rejected=counts[1])
 
@@ -93,21 +97,20 @@ SOURCES = (
 
 
 def run_batch(
-    spark: SparkSession, source: Source, sheet: DataFrame, root: str, batch_id: int, history: bool = True
+    spark: SparkSession, source: Source, sheet: DataFrame, root: str, batch_id: int, history: bool = False
 ) -> dict:
     """Stage, clean and load one extracted sheet.
 
+    By default the new batch alone is taken, and only its partition is read.
     ``history=True`` takes up the rows of all batches again, so that rows rejected for a
     name unknown at the time get another chance; the cost grows with the raw zone.
-    ``history=False`` takes the new batch alone and reads only its partition.
     """
     batch = as_batch(sheet, batch_id)
     raw_path = zones.write_raw(batch, root, source.name)
-    raw = zones.read_raw(spark, root, source.name)
-    this_batch = raw.filter(F.col("_batch_id") == batch_id)
+    this_batch = zones.read_raw(spark, root, source.name, batch_id)
     rows_in_sheet = this_batch.count()
 
-    rows = current_rows(raw if history else this_batch, source.keys)
+    rows = current_rows(zones.read_raw(spark, root, source.name) if history else this_batch, source.keys)
     if source.clean:
         rows = source.clean(rows)
     processed_path = zones.write_run(rows, f"{root}/processed/{source.name}", batch_id)
@@ -127,11 +130,11 @@ def run_batch(
     }
 
 
-def run_source(spark: SparkSession, source: Source, root: str, batch_id: int) -> dict:
+def run_source(spark: SparkSession, source: Source, root: str, batch_id: int, history: bool = False) -> dict:
     """The whole way of one source from its landing folder into the ledger."""
     sheet = read_sheet(spark, f"{root}/landing/{source.name}")
     require_rows(sheet, f"sheet {source.name}")
-    return run_batch(spark, source, sheet, root, batch_id)
+    return run_batch(spark, source, sheet, root, batch_id, history)
 
 
 RESULT_SCHEMA = (
@@ -140,8 +143,15 @@ RESULT_SCHEMA = (
 )
 
 
-def run_sources(spark: SparkSession, root: str, batch_id: int, only: Iterable[str] | None = None) -> DataFrame:
-    """Run all sources, or those named in ``only``; one that fails does not stop the rest."""
+def run_sources(
+    spark: SparkSession, root: str, batch_id: int, only: Iterable[str] | None = None, history: bool = False
+) -> DataFrame:
+    """Run all sources, or those named in ``only``; one that fails does not stop the rest.
+
+    A run with ``history=True`` now and then offers rejected rows again.
+    """
+    if batch_id >= zones.STREAM_BATCHES:
+        raise ValueError(f"batch ids from {zones.STREAM_BATCHES} on belong to streams")
     wanted = None if only is None else set(only)
     unknown = (wanted or set()) - {s.name for s in SOURCES}
     if unknown:
@@ -151,7 +161,7 @@ def run_sources(spark: SparkSession, root: str, batch_id: int, only: Iterable[st
         if wanted is not None and source.name not in wanted:
             continue
         try:
-            results.append(run_source(spark, source, root, batch_id))
+            results.append(run_source(spark, source, root, batch_id, history))
         except Exception as error:
             results.append({"source": source.name, "status": "error", "error": str(error)})
     return spark.createDataFrame(results, RESULT_SCHEMA)

@@ -199,11 +199,17 @@ def next_id(table: DataFrame, column: str) -> Column:
     return F.coalesce(table.agg(F.max(column).cast("bigint").alias("m")).scalar(), F.lit(0).cast("bigint"))
 
 
-def with_transaction_ids(rows: DataFrame, existing: DataFrame, one_task_rows: int = ONE_TASK_ROWS) -> DataFrame:
-    """Dense ids after the highest existing one, in date and natural-key order."""
+def with_transaction_ids(
+    rows: DataFrame, existing: DataFrame | int, one_task_rows: int = ONE_TASK_ROWS
+) -> DataFrame:
+    """Dense ids after the highest existing one, in date and natural-key order.
+
+    ``existing`` is that id, or the facts to look it up in.
+    """
     order = ["transaction_date", "amount", "transaction_type", "spending_type", "payment_method", "note"]
+    last = F.lit(existing).cast("bigint") if isinstance(existing, int) else next_id(existing, "transaction_id")
     numbered = number_rows(rows, order, "transaction_id", one_task_rows=one_task_rows)
-    return numbered.withColumn("transaction_id", F.col("transaction_id") + next_id(existing, "transaction_id"))
+    return numbered.withColumn("transaction_id", F.col("transaction_id") + last)
 
 
 # ---------------------------------------------------------------------------
@@ -226,7 +232,8 @@ def _month_columns(sheet: DataFrame) -> list[Column]:
 def plan_rows(sheet: DataFrame) -> DataFrame:
     """Sheet rows in plan terms; ``_usable`` tells whether year and month make a month."""
     df = lower_headers(sheet)
-    usable = (F.coalesce("_year", F.lit(0)) != 0) & F.coalesce("_month", F.lit(0)).between(1, 12)
+    # A year that no date can have is as unusable as none.
+    usable = F.coalesce("_year", F.lit(0)).between(1, 9999) & F.coalesce("_month", F.lit(0)).between(1, 12)
     return df.select(
         *_month_columns(df),
         whole_amount(_cell(df, "fixed_budget")).try_cast(MONEY).alias("fixed_budget"),
@@ -244,7 +251,7 @@ def upsert_plans(existing: DataFrame, sheet: DataFrame) -> Upsert:
     """
     rows = plan_rows(sheet)
     usable = rows.filter("_usable").withColumns(
-        {"plan_year": F.col("_year").cast("smallint"), "plan_month": F.col("_month").cast("tinyint")}
+        {"plan_year": F.col("_year").try_cast("smallint"), "plan_month": F.col("_month").try_cast("tinyint")}
     )
     key = ["plan_year", "plan_month"]
     values = ["fixed_budget", "savings_target", "note"]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coffer.functions.text import null_to_blank, text_columns, trim
@@ -39,13 +39,18 @@ def read_sheet(spark: SparkSession, path: str, multi_line: bool = True) -> DataF
         .option("recursiveFileLookup", True)
         .csv(path)
     )
-    # Files, then the splits of a file, then the rows of a split, in order.
-    place = F.struct(
+    return tidy_cells(rows.select("*", sheet_place().alias("_row_idx")))
+
+
+def sheet_place() -> Column:
+    """Place of a row among all exports: exports in the order in which they were written, then
+    files, the splits of a file, and the rows of a split."""
+    return F.struct(
+        F.col("_metadata.file_modification_time").alias("time"),
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),
     )
-    return tidy_cells(rows.select("*", place.alias("_row_idx")))
 
 
 def write_sheet(df: DataFrame, path: str) -> None:

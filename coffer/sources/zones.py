@@ -31,11 +31,18 @@ from coffer.schema import (
 )
 
 
-def _read_or_none(spark: SparkSession, path: str, schema=None, merge: bool = False) -> DataFrame | None:
+# Batch ids of the daily job lie below, those of streams at and above this number; it is
+# higher than any date and time written as a number.
+STREAM_BATCHES = 1 << 50
+
+
+def read_or_none(
+    spark: SparkSession, path: str, schema=None, merge: bool = False, source: str = "parquet"
+) -> DataFrame | None:
     """The dataset at ``path``, or None where nothing was written yet."""
     reader = spark.read.option("mergeSchema", merge)
     try:
-        return (reader.schema(schema) if schema else reader).parquet(path)
+        return (reader.schema(schema) if schema else reader).format(source).load(path)
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
@@ -54,12 +61,34 @@ def write_raw(batch: DataFrame, root: str, source: str) -> str:
     return path
 
 
-def read_raw(spark: SparkSession, root: str, source: str) -> DataFrame | None:
-    """All batches, aligned by column name."""
-    raw = _read_or_none(spark, f"{root}/raw/{source}", merge=True)
+def read_raw(spark: SparkSession, root: str, source: str, batch_id: int | None = None) -> DataFrame | None:
+    """All batches, aligned by column name, or one, of which only its own files are opened."""
+    if batch_id is not None:
+        batch = read_or_none(spark, f"{root}/raw/{source}/_batch_id={batch_id}")
+        return None if batch is None else batch.withColumn("_batch_id", F.lit(batch_id).cast("bigint"))
+    raw = read_or_none(spark, f"{root}/raw/{source}", merge=True)
     return None if raw is None else raw.withColumn("_batch_id", F.col("_batch_id").cast("bigint"))
 
 
+def highest_batch(spark: SparkSession, root: str, source: str) -> int | None:
+    """Highest batch id in the raw zone, from the folder names."""
+    raw = read_or_none(spark, f"{root}/raw/{source}")
+    return None if raw is None else raw.agg(F.max(F.col("_batch_id").cast("bigint"))).first()[0]
+
+
+def last_transaction_id(spark: SparkSession, root: str) -> int | None:
+    """Highest id given out so far, where it was kept beside the table."""
+    marks = read_or_none(spark, f"{root}/tables/transaction_ids")
+    return None if marks is None else marks.agg(F.max("last")).first()[0]
+
+
+def keep_transaction_id(spark: SparkSession, root: str, last: int) -> None:
+    """Note that ids up to ``last`` are taken.  Called before they are used: a load that fails
+    in between leaves a gap, never an id twice."""
+    mark = spark.range(1).select(F.lit(last).cast("bigint").alias("last"))
+    mark.write.mode("append").parquet(f"{root}/tables/transaction_ids")
+
+
 def write_run(df: DataFrame, path: str, run: int) -> str:
     """Write ``df`` as one run of a dataset that keeps a partition per run."""
     target = f"{path}/run={run}"
@@ -69,7 +98,7 @@ def write_run(df: DataFrame, path: str, run: int) -> str:
 
 def write_snapshot(df: DataFrame, path: str) -> str:
     """Write ``df`` as the next run of ``path``, so that the run it was built from stays readable."""
-    runs = _read_or_none(df.sparkSession, path)
+    runs = read_or_none(df.sparkSession, path)
     last = 0 if runs is None else runs.agg(F.max("run")).first()[0] or 0
     return write_run(df, path, last + 1)
 
@@ -77,7 +106,7 @@ def write_snapshot(df: DataFrame, path: str) -> str:
 def read_latest(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame | None:
     """Rows of the highest run; older runs are pruned as partitions."""
     wanted = None if schema is None else f"{schema.toDDL()}, run BIGINT"
-    runs = _read_or_none(spark, path, wanted)
+    runs = read_or_none(spark, path, wanted)
     if runs is None:
         return None
     latest = runs.agg(F.max("run")).first()[0]
@@ -100,7 +129,7 @@ def append_transactions(rows: DataFrame, root: str) -> None:
 def read_transactions(spark: SparkSession, root: str) -> DataFrame:
     """All facts, with the month folders as columns ``yr`` and ``mo`` to prune by."""
     schema = f"{TRANSACTIONS.toDDL()}, yr INT, mo INT"
-    found = _read_or_none(spark, f"{root}/tables/transactions", schema=schema)
+    found = read_or_none(spark, f"{root}/tables/transactions", schema=schema)
     return spark.createDataFrame([], schema) if found is None else found
 
 

@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from coffer.plans.jobs import SOURCES, run_batch
 from coffer.sources.sheets import tidy_cells
+from coffer.sources.zones import STREAM_BATCHES, highest_batch, read_or_none
 
 
 def landing_stream(spark: SparkSession, path: str, columns: Sequence[str], multi_line: bool = True) -> DataFrame:
@@ -32,34 +33,53 @@ def landing_stream(spark: SparkSession, path: str, columns: Sequence[str], multi
     )
     return rows.select(
         "*",
+        F.col("_metadata.file_modification_time").alias("_time"),
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),
     )
 
 
-def load_new_expenses(
-    spark: SparkSession, root: str, columns: Sequence[str], first_batch: int = 0
-) -> StreamingQuery:
+def _first_batch(spark: SparkSession, root: str, source: str, checkpoint: str) -> int:
+    """Id of the stream's batch 0, kept beside its progress.
+
+    Ids of streams begin beyond those of the daily job.  A stream whose progress was lost
+    counts from 0 again, so it begins behind all batches that earlier ones have written.
+    """
+    path = f"{checkpoint}-first-batch"
+    kept = read_or_none(spark, path)
+    started = read_or_none(spark, f"{checkpoint}/metadata", source="text") is not None
+    if kept is not None and started:
+        return kept.agg(F.max("id")).first()[0]
+    first = max(STREAM_BATCHES, (highest_batch(spark, root, source) or 0) + 1)
+    spark.range(first, first + 1).write.mode("overwrite").parquet(path)
+    return first
+
+
+def load_new_expenses(spark: SparkSession, root: str, columns: Sequence[str]) -> StreamingQuery:
     """Load all files that have landed since the last call, then stop.
 
-    Progress is kept under ``<root>/checkpoints/expenses``.  ``first_batch`` offsets the
-    batch ids, for a raw zone that also holds batches of the daily job.
+    Progress is kept under ``<root>/checkpoints/expenses``.
     """
     source = next(s for s in SOURCES if s.name == "expenses")
+    checkpoint = f"{root}/checkpoints/expenses"
+    base = _first_batch(spark, root, source.name, checkpoint)
 
     def load(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
         place = F.struct(
-            F.col("_file").alias("file"), F.col("_block").alias("block"), F.monotonically_increasing_id().alias("row")
+            F.col("_time").alias("time"),
+            F.col("_file").alias("file"),
+            F.col("_block").alias("block"),
+            F.monotonically_increasing_id().alias("row"),
         )
         sheet = tidy_cells(batch.select(*columns, place.alias("_row_idx")))
-        run_batch(batch.sparkSession, source, sheet, root, first_batch + batch_id, history=False)
+        run_batch(batch.sparkSession, source, sheet, root, base + batch_id, history=False)
 
     return (
         landing_stream(spark, f"{root}/landing/expenses", columns)
         .writeStream.foreachBatch(load)
-        .option("checkpointLocation", f"{root}/checkpoints/expenses")
+        .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )

@@ -1,12 +1,16 @@
 from __future__ import annotations
 
+import os
+import re
 from datetime import date
 
+import pytest
 from conftest import rows
+from ledgers import ledger, tx
 from pyspark.sql import functions as F
 
-from coffer.plans import jobs, marts, reports, views
-from coffer.sources import zones
+from coffer.plans import jobs, marts, reports, staging, views
+from coffer.sources import sheets, zones
 from coffer.streaming.incremental import load_new_expenses
 
 EXPENSES = "DATE,Account,Transaction_Type,Spending_Type,Type_Payment,Category,SUB_CATEGORY,AMOUNT,NOTE,Regret\n"
@@ -90,6 +94,83 @@ def test_a_failed_source_does_not_stop_the_others(spark, tmp_path):
     assert jobs.overall_status(results) == "partial_failure"
 
 
+def test_the_latest_export_counts_however_many_there_are(spark, tmp_path):
+    """Eleven exports of one purchase: the eleventh sorts before the second as text."""
+    for n in range(1, 12):
+        text = EXPENSES + f'"1/5/2024",expense (ACB),expense,extra,cash,Food & Drinks,Snacks,"61",export {n},\n'
+        land(tmp_path, "expenses", text, f"drop={n}")
+        os.utime(tmp_path / "landing" / "expenses" / f"drop={n}.csv", (1_700_000_000 + n, 1_700_000_000 + n))
+    raw = sheets.read_sheet(spark, f"{tmp_path}/landing/expenses")
+    kept = staging.current_rows(staging.as_batch(raw, 1)).select("note").collect()
+    assert [r[0] for r in kept] == ["export 11"]
+
+
+def test_streams_and_daily_batches_keep_apart(spark, tmp_path):
+    root = str(tmp_path)
+    land(tmp_path, "expenses", FIRST, "one")
+    jobs.run_sources(spark, root, batch_id=20240131, only=["expenses"])
+    names = EXPENSES.strip().split(",")
+    load_new_expenses(spark, root, names).awaitTermination()
+    land(tmp_path, "expenses", SECOND, "two")
+    load_new_expenses(spark, root, names).awaitTermination()
+    batches = lambda: sorted(r[0] for r in zones.read_raw(spark, root, "expenses").select("_batch_id").distinct().collect())
+    first = zones.STREAM_BATCHES
+    assert batches() == [20240131, first, first + 1]
+    # Progress is lost: the stream reads all files again and writes behind what it had written.
+    (tmp_path / "checkpoints").rename(tmp_path / "lost")
+    load_new_expenses(spark, root, names).awaitTermination()
+    assert batches() == [20240131, first, first + 1, first + 2]
+    assert zones.StoredLedger(spark, root).transactions.count() == 3
+    with pytest.raises(ValueError):
+        jobs.run_sources(spark, root, batch_id=first)
+
+
+def test_ids_go_on_from_the_kept_mark(spark, tmp_path):
+    root = str(tmp_path)
+    land_all(tmp_path, FIRST)
+    jobs.run_sources(spark, root, batch_id=1)
+    assert zones.last_transaction_id(spark, root) == 2
+    land(tmp_path, "expenses", SECOND)
+    jobs.run_sources(spark, root, batch_id=2)
+    assert zones.last_transaction_id(spark, root) == 3
+    ids = [r[0] for r in zones.StoredLedger(spark, root).transactions.select("transaction_id").collect()]
+    assert sorted(ids) == [1, 2, 3]
+
+
+def test_rejected_rows_get_another_chance_with_history(spark, tmp_path):
+    root = str(tmp_path)
+    land_all(tmp_path, FIRST)
+    jobs.run_sources(spark, root, batch_id=1)
+    accounts = zones.StoredLedger(spark, root).accounts
+    extra = accounts.limit(1).withColumns({"account_id": F.lit(99), "account_name": F.lit("Unknown")})
+    zones.write_snapshot(accounts.unionByName(extra.select(accounts.columns)), f"{root}/tables/accounts")
+    land(tmp_path, "expenses", EXPENSES + '"3/1/2024",expense (ACB),expense,extra,cash,Food & Drinks,Snacks,"7",late,\n')
+    assert summary(jobs.run_sources(spark, root, 2, only=["expenses"])) == [("expenses", "ok", 1, 1, 0)]
+    assert summary(jobs.run_sources(spark, root, 3, only=["expenses"], history=True)) == [("expenses", "ok", 1, 1, 0)]
+
+
+def test_ranged_reports_read_their_months_only(spark, tmp_path):
+    root = str(tmp_path)
+    events = [tx(i, f"202{i % 4}-{i % 12 + 1:02}-15", 10 + i, category=1, sub=1) for i in range(240)]
+    zones.append_transactions(ledger(spark, events).transactions, root)
+    book = zones.StoredLedger(spark, root)
+    span = date(2021, 2, 1), date(2021, 6, 30)
+    ranged = (
+        reports.overview_monthly, reports.overview_table, reports.category_detail, reports.category_totals,
+        reports.category_mom, reports.month_order, reports.trend_rolling, reports.yoy_comparison, reports.spend_heatmap,
+    )
+    for report in ranged:
+        plan = report(book, *span)._explain_string(mode="formatted")
+        filters = re.findall(r"PartitionFilters: \[([^\]]*)\]", plan)
+        assert filters and all("yr" in f and "mo" in f for f in filters), report.__name__
+    for report in (reports.kpi_latest_month, reports.kpi_top_category):
+        plan = report(book)._explain_string(mode="formatted")
+        assert re.search(r"PartitionFilters: \[[^\]]*yr[^\]]*\]", plan), report.__name__
+    files = marts.spend_facts(book, *span).inputFiles()
+    assert marts.spend_facts(book, *span).count() == sum(e[1].year == 2021 and 2 <= e[1].month <= 6 for e in events)
+    assert all("yr=2021" in f for f in files) or len(files) == len(book.transactions.inputFiles())
+
+
 def test_the_stream_loads_what_landed_since(spark, tmp_path):
     root = str(tmp_path)
     land(tmp_path, "expenses", FIRST, "one")

@@ -188,3 +188,12 @@ def test_plan_items_need_a_plan_and_a_category(spark):
         (20, 3, FOOD, Decimal(1000), None), (21, 4, FOOD, Decimal(6), "kept"), (22, 4, TRANSPORT, Decimal(2000), "n")
     ]
     assert rows(done.skipped.select("note")) == [("no category",), ("no plan",), ("no year",)]
+
+
+def test_a_year_that_cannot_be_is_skipped(spark):
+    book = ledger(spark)
+    names = ["Year", "Month", "Fixed_Budget", "Savings_Target", "Note"]
+    data = [("202401", "1", "1", "1", ""), ("1e400", "1", "1", "1", ""), ("2024", "1", "5", "1", "")]
+    done = loading.upsert_plans(book.monthly_plans, sheet(spark, names, data))
+    assert [r["plan_year"] for r in done.merged.collect()] == [2024]
+    assert done.skipped.count() == 2
