@@ -82,7 +82,8 @@ def _rank(key: Column, size: Column, share: Column, seed: str) -> Column:
     """
     u = uniform(seed, key)
     odds = share / (F.lit(1.0) - share) * F.sqrt(F.lit(1.0) + size.cast("double"))
-    q = (u / (F.lit(1.0) - u)) / odds
+    # A source of which nothing is left to sample has odds of 0 and no ranks.
+    q = F.try_divide(u / (F.lit(1.0) - u), odds)
     return q / (F.lit(1.0) + q)
 
 
