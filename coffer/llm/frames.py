@@ -55,7 +55,8 @@ def share(salt: str, *keys: str) -> Column:
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, label: str, per_class: int, salt: str, id_col: str, text_col: str, rule: Column
 ) -> DataFrame:
-    """About ``per_class`` labelled texts of each class, or all where there are fewer: ``text``, ``y``.
+    """About ``per_class`` labelled texts of each class, or all where there are fewer: ``text``,
+    ``y`` and a number that spreads them evenly over parts (``part``), equal texts too.
 
     ``rule`` says which ids may be learned from.  Rows are chosen by a hash of the id,
     so a run over the same rows chooses the same.
@@ -68,4 +69,5 @@ def labelled_sample(
     chosen = known.filter(wanted).groupBy(id_col).agg(F.max(label).cast("int").alias("y"))
     texts = docs.filter(F.col(text_col).isNotNull()).select(id_col, F.col(text_col).alias("text"))
     # Two classes of ``per_class`` ids: within the bound of a broadcast by construction.
-    return texts.join(F.broadcast(chosen), id_col).select("text", "y")
+    part = F.xxhash64(F.lit("part"), id_col).alias("part")
+    return texts.join(F.broadcast(chosen), id_col).select("text", "y", part)

@@ -131,7 +131,7 @@ def fit(
     def sample(which: Column, rows: int) -> DataFrame:
         return labelled_sample(docs, labels, label, rows, "quality", id_col, text_col, rule & which)
 
-    x_sample = sample(half, FIT_ROWS).repartition(8, "text").cache()
+    x_sample = sample(half, FIT_ROWS).repartition(8, "part").cache()
     y_sample = sample(~half, CALIBRATION_ROWS)
     try:
         return _fit(x_sample, y_sample)

@@ -274,7 +274,7 @@ def fit(
     """
     bounded_batches(docs.sparkSession)
     rule = F.lit(True) if rule is None else rule
-    sample = labelled_sample(docs, labels, label, SAMPLE_ROWS, "toxic", id_col, text_col, rule).repartition(8, "text")
+    sample = labelled_sample(docs, labels, label, SAMPLE_ROWS, "toxic", id_col, text_col, rule).repartition(8, "part")
     sample = sample.cache()
     try:
         terms = learn_terms(sample)
