@@ -186,6 +186,27 @@ def _source_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _loaded_facts(spark, root)
 
 
+def _source_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the daily job tells of each source: a first run, the sheet exported again, and a sheet that is missing."""
+    root = _land(spark, sf_dir)
+    first = jobs.run_sources(spark, root, batch_id=1).withColumn("run", F.lit(1))
+    _land_sheet(tables.expense_sheet(spark, sf_dir, revised=True), root, "expenses")
+    _land_sheet(tables.plan_sheet(spark, sf_dir).limit(0), root, "plans")
+    second = jobs.run_sources(spark, root, batch_id=2).withColumn("run", F.lit(2))
+    counts = ["rows_in_sheet", "rows_attempted", "rows_loaded", "rows_rejected"]
+    return first.unionByName(second).select("run", "source", "status", *counts)
+
+
+def _dirty_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The expense sheet under numeric headers, its own header being the first row, with blank
+    rows, short rows and a nameless column; written, read back and cleaned."""
+    sheet = tables.untidy_sheet(spark, sf_dir)
+    path = scratch_path(spark, "untidy")
+    sheets.write_sheet(sheet.coalesce(1).sortWithinPartitions("_row_idx").drop("_row_idx"), path)
+    cleaned = clean_expenses(sheets.read_sheet(spark, path)).drop("_row_idx")
+    return _portable(cleaned)
+
+
 def _incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same facts, with the expense sheets picked up by the stream as they land."""
     root = _land(spark, sf_dir)
@@ -248,6 +269,8 @@ def queries() -> dict[str, Query]:
         ("skipped_plan_items", _skipped_plan_items),
         ("source_run", _source_run),
         ("incremental_load", _incremental_load),
+        ("source_status", _source_status),
+        ("dirty_sheet", _dirty_sheet),
     ):
         found[name] = query
     # The category whose transactions need a note is a region here.

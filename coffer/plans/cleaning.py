@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from coffer.functions.dates import parse_date
@@ -26,6 +26,13 @@ NUMBER_COLUMNS = ("amount", "balance")
 FILLED_COLUMNS = ("description", "note")
 
 
+def _is_at(column: str, place) -> Column:
+    """Whether a row stands at ``place``, which has parts where the sheet was read from files."""
+    if isinstance(place, Row):
+        return reduce(lambda a, b: a & b, [F.col(f"{column}.{k}") == F.lit(v) for k, v in place.asDict().items()])
+    return F.col(column) == F.lit(place)
+
+
 def promote_header(sheet: DataFrame) -> DataFrame:
     """Take the first row as header where all column names are just numbers."""
     names = text_columns(sheet)
@@ -36,7 +43,7 @@ def promote_header(sheet: DataFrame) -> DataFrame:
     if not first:
         return sheet
     header = first[0].asDict()
-    is_header = reduce(lambda a, b: a & b, [F.col(c) == F.lit(header[c]) for c in order])
+    is_header = reduce(lambda a, b: a & b, [_is_at(c, header[c]) for c in order])
     # Empty cells of the header row leave nameless columns, told apart by their place.
     given = [header[c] if (header[c] or "").strip() else f"_c{i}" for i, c in enumerate(names)]
     renamed = [F.col(f"`{c}`").alias(name) for c, name in zip(names, distinct_names(given))]

@@ -551,6 +551,51 @@ _LOADED = _sql(
 )
 INGEST["source_run"] = _LOADED
 INGEST["incremental_load"] = _LOADED
+# Rows that take part: dated, readable, each natural key once; a sheet without rows is an error.
+_EXPENSES_RUN = """
+    SELECT {run} AS run, 'expenses' AS source, 'ok' AS status, (SELECT count(*) FROM {sheet}) AS rows_in_sheet,
+           count(*) AS rows_attempted, count(*) FILTER (WHERE amount > 0) AS rows_loaded,
+           count(*) FILTER (WHERE amount <= 0) AS rows_rejected FROM ({rows})"""
+INGEST["source_status"] = _sql(
+    _EXPENSES_RUN.format(run=1, sheet="sheet", rows="SELECT * FROM offered")
+    + " UNION ALL "
+    + _EXPENSES_RUN.format(
+        run=2,
+        sheet="resent",
+        rows="""SELECT r.* FROM offered_resent r WHERE NOT EXISTS (
+            SELECT 1 FROM offered o WHERE o.amount > 0 AND o.transaction_date = r.transaction_date
+            AND o.amount = r.amount AND o.transaction_type IS NOT DISTINCT FROM r.transaction_type
+            AND o.spending_type IS NOT DISTINCT FROM r.spending_type
+            AND o.payment_method IS NOT DISTINCT FROM r.payment_method AND o.note IS NOT DISTINCT FROM r.note)""",
+    )
+    + """
+    UNION ALL SELECT 1, 'plans', 'ok', 3 * count(*), 3 * count(*), 3 * count(*), 0 FROM months
+    UNION ALL SELECT 2, 'plans', 'error', NULL, NULL, NULL, NULL
+    UNION ALL SELECT run, 'plan_items', 'ok', count(*), count(*), count(*) FILTER (WHERE found), count(*) FILTER (WHERE NOT found)
+        FROM (SELECT i.*, run, c.category_id IS NOT NULL AND p.plan_year IS NOT NULL AS found
+              FROM item_sheet i CROSS JOIN (VALUES (1), (2)) t(run) LEFT JOIN categories c USING (category_name)
+                   LEFT JOIN (SELECT DISTINCT plan_year, plan_month FROM plan_sheet) p
+                     ON p.plan_year = i.yr AND p.plan_month = i.mo)
+        GROUP BY run""",
+    "sheet",
+    "resent",
+    "offered",
+    "offered_resent",
+    "plan_sheet",
+    "item_sheet",
+    "categories",
+)
+INGEST["dirty_sheet"] = _sql(
+    """
+    SELECT date, account, CASE WHEN short THEN '' ELSE spending_type END AS spending_type,
+           transaction_type, CASE WHEN short THEN '' ELSE type_payment END AS type_payment,
+           CASE WHEN short THEN '' ELSE category END AS category,
+           CASE WHEN short THEN '' ELSE sub_category END AS sub_category,
+           CASE WHEN NOT short THEN amount END AS amount, CASE WHEN short THEN '' ELSE note END AS note,
+           CASE WHEN short THEN '' ELSE regret END AS regret, short OR needs_cleaning AS needs_cleaning, source_data
+    FROM (SELECT *, row_idx % 19 = 0 AS short FROM cleaned WHERE row_idx % 17 <> 0)""",
+    "cleaned",
+)
 
 
 def _checks() -> str:

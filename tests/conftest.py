@@ -7,13 +7,14 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from coffer.session import ledger_session  # noqa: E402
+from coffer.session import drop_scratch, ledger_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark():
     session = ledger_session("coffer-tests", master="local[8]", cores=4)
     yield session
+    drop_scratch(session)
     session.stop()
 
 
