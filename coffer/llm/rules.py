@@ -31,8 +31,11 @@ FALSE_REJECTION, RISK = 0.005, 0.05
 # Strata are bands of the number of words; a text below the first fails anyway.
 BANDS = (MIN_WORDS, 200, 600)
 
-# Shares of good texts of the first half that each rule's cutoff may lie below.
-LEVELS = (0.0, 1 / 8192, 1 / 4096, 1 / 2048, 1 / 1024, 1 / 512, 1 / 256)
+# Cutoffs that are offered, from lenient to strict: parts of the way from the largest number of
+# a good text of the first half to the end of the range, then shares of these texts beyond.
+MARGINS = (0.5, 0.25, 0.1, 0.05)
+SHARES = (0.0, 1 / 8192, 1 / 4096, 1 / 2048, 1 / 1024, 1 / 512, 1 / 256)
+LEVELS = MARGINS + SHARES
 
 # Cutoffs are steps of each number's range (below).
 STEPS = 100
@@ -111,8 +114,10 @@ def offered(good: np.ndarray) -> np.ndarray:
     and step.  A stratum without good texts is offered nothing that rejects."""
     n = good.sum(axis=2, keepdims=True)
     above = n - np.cumsum(good, axis=2)
-    steps = [np.where(n[..., 0] > 0, (above <= level * n).argmax(axis=2), STEPS) for level in LEVELS]
-    return np.stack(steps)
+    top = (above <= 0).argmax(axis=2)
+    steps = [top + np.ceil(margin * (STEPS - top)).astype(np.int64) for margin in MARGINS]
+    steps += [(above <= share * n).argmax(axis=2) for share in SHARES]
+    return np.stack([np.where(n[..., 0] > 0, s, STEPS) for s in steps])
 
 
 def choose(
