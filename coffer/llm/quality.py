@@ -19,6 +19,7 @@ from coffer.llm.words import Texts, slices, text_stats
 
 FEATURES = 256
 WIDTH = 4.0  # of the kernel, in standard deviations
+LEAST_SCALE = 0.05  # of a statistic that hardly varies among labelled texts
 RIDGE = 1e-3
 SEED = 17
 
@@ -148,7 +149,7 @@ def _fit(sample: DataFrame, other: DataFrame) -> QualityModel | None:
     if not seen.all():
         return None
     centre = first / seen.sum()
-    scale = np.sqrt(np.maximum(second / seen.sum() - centre**2, 1e-12)) + 1e-6
+    scale = np.maximum(np.sqrt(np.maximum(second / seen.sum() - centre**2, 0.0)), LEAST_SCALE)
     rng = np.random.default_rng(SEED)
     model = QualityModel(
         centre,
