@@ -42,7 +42,10 @@ MIN_TEXTS, MIN_LIFT = 4, 12.0
 WORD_LEXICONS, PREFIX_LEXICONS = 6, 6
 HIT_COUNTS = (1, 2, 4)
 
-ROUNDS = 60
+# Fits of the voters' strengths, and the correlation beyond them that makes a pair correlated.
+STRENGTH_ROUNDS = 4
+CORRELATED = 0.15
+
 RIDGE = 1.0
 
 
@@ -190,40 +193,58 @@ class LabelModel:
     trust: np.ndarray
 
 
+def _correlations(patterns: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Correlations of the voters over weighted rows; those of one that never changes are 0 but its own."""
+    total = max(weight.sum(), 1e-9)
+    centred = patterns - (weight @ patterns) / total
+    covariance = (centred * weight[:, None]).T @ centred / total
+    spread = np.sqrt(np.maximum(np.diag(covariance), 1e-9))
+    out = covariance / np.outer(spread, spread)
+    np.fill_diagonal(out, 1.0)
+    return out
+
+
 def fit_label_model(patterns: np.ndarray, counts: np.ndarray, prior: float) -> LabelModel:
-    """Accuracies of voters by expectation maximisation over vote patterns.
+    """Accuracies and correlations of voters from how they vote together; labels take no part.
 
-    Voters that go together beyond what the class explains are correlated; a voter's weight
-    is one over one plus its correlations with the others, so repeated opinions count once.
-    The weights enter each round, and start even.
+    Voters that know nothing of each other but the class correlate by the product of their
+    strengths, so strengths are the rank-one part of the correlations.  Pairs that go
+    together beyond that are correlated themselves: they are left out of the next fit, and
+    a voter's weight is one over one plus all it shares with others, so repeated opinions
+    count once.
     """
-    n_voters = patterns.shape[1]
     share = counts / counts.sum()
+    together = _correlations(patterns, share)
+    # Voters that vote alike share one voice in the fit and say nothing about each other.
+    voice = 1.0 / (together**2).sum(axis=1)
+    open_pairs = np.outer(voice, voice) * np.maximum(1 - together**2, 0.0)
+    pairs = open_pairs
+    strength = np.sqrt(voice)
+    for _ in range(STRENGTH_ROUNDS):
+        for _ in range(50):
+            # Half a step each time: whole ones swing to and fro.
+            fitted = (pairs * together) @ strength / np.maximum(pairs @ strength**2, 1e-9)
+            strength = np.clip((strength + fitted) / 2, -0.99, 0.99)
+        beyond = np.abs(together - np.outer(strength, strength))
+        pairs = np.where(beyond > CORRELATED, 0.0, open_pairs)
+    if strength @ voice < 0:  # voters are right more often than not
+        strength = -strength
+    np.fill_diagonal(beyond, 0.0)
+    trust = 1.0 / (1.0 + np.where(beyond > CORRELATED, beyond, 0.0).sum(axis=1))
+
+    # Each vote goes together with the other voters by their strengths, which gives the
+    # difference its chance makes between the classes.
     one_hot = np.stack([(patterns == v) for v in (-1, 0, 1)], axis=2).astype(np.float64)
-    trust = np.full(n_voters, 1.0 / np.sqrt(n_voters))
-    lean = (patterns == 1).sum(axis=1) - (patterns == -1).sum(axis=1)
-    p = np.where(lean > 0, 0.9, 0.1 * prior)
-    balance = prior
-    chances = np.zeros((n_voters, 2, 3))
-    for _ in range(ROUNDS):
-        for c, weight in enumerate((share * (1 - p), share * p)):
-            chances[:, c] = (np.einsum("i,ijv->jv", weight, one_hot) + 1e-4) / (weight.sum() + 3e-4)
-        balance = float(np.clip((share * p).sum(), 1e-3, 0.5))
-        # Correlations within a class, each class by its share.
-        joint = np.zeros((n_voters, n_voters))
-        for c, weight in enumerate((share * (1 - p), share * p)):
-            total = max(weight.sum(), 1e-9)
-            centred = patterns - (weight @ patterns) / total
-            covariance = (centred * weight[:, None]).T @ centred / total
-            spread = np.sqrt(np.maximum(np.diag(covariance), 1e-9))
-            joint += 0.5 * np.abs(covariance / np.outer(spread, spread))
-        np.fill_diagonal(joint, 0.0)
-        trust = 1.0 / (1.0 + joint.sum(axis=1))
-        now = _posterior(LabelModel(balance, chances, trust), one_hot)
-        if np.abs(now - p).max() < 1e-6:
-            break
-        p = now
-    return LabelModel(balance, chances, trust)
+    rate = np.einsum("i,ijv->jv", share, one_hot)
+    mean = share @ patterns
+    spread = np.sqrt(np.maximum(share @ (patterns - mean) ** 2, 1e-9))
+    standard = (patterns - mean) / spread
+    cover = np.einsum("i,ijv,ik->jvk", share, one_hot - rate, standard)
+    weight = np.maximum(pairs @ strength**2, 1e-9) * np.sqrt(prior * (1 - prior))
+    change = np.einsum("jvk,jk,k->jv", cover, pairs, strength) / weight[:, None]
+    chances = np.stack([rate - prior * change, rate + (1 - prior) * change], axis=1)
+    chances = np.clip(chances, 1e-4, 1.0)
+    return LabelModel(prior, chances / chances.sum(axis=2, keepdims=True), trust)
 
 
 def _posterior(model: LabelModel, one_hot: np.ndarray) -> np.ndarray:
@@ -281,16 +302,20 @@ def fit(
         found = _patterns(sample, terms)
     finally:
         sample.unpersist()
-    if not len(found[0]):
-        counts = np.zeros((2, len(terms.all)), np.int32)
-        counts[1] = 1
-        found = counts, np.array([10, 10]), np.array([0, 1]), np.array([1.0, 1.0])
+    labelled = found[2]
+    if len({*labelled}) < 2:
+        labelled = labelled[:0]
+        # A text for each term and as many without any.
+        one = np.eye(len(terms.all), dtype=np.int32)
+        counts = np.concatenate([np.zeros_like(one[:1]), one])
+        y = (np.arange(len(counts)) > 0).astype(float)
+        found = counts, np.full(len(counts), 10.0), y, np.where(y == 1, 1.0, len(one))
     counts, sizes, y, n = found
     patterns = votes(counts, sizes, terms)
     # Classes were drawn at different rates; the model sees them in equal shares.
     weight = n / np.where(y == 1, max(n[y == 1].sum(), 1), max(n[y == 0].sum(), 1))
-    label_model = fit_label_model(patterns, weight, 0.5)
-    target = posterior(label_model, patterns)
+    # Without labels the texts made above are their own answer.
+    target = posterior(fit_label_model(patterns, weight, 0.5), patterns) if len(labelled) else y
     x = _features(counts, sizes)
     w = _logistic(x, target, weight * n.sum() / 2, RIDGE)
     raw = x @ w
