@@ -1,22 +1,28 @@
 """Similarity join of texts on their word shingles, by PartEnum signatures.
 
 Two sets with a Jaccard similarity of at least ``t`` have sizes within a factor ``t`` and
-differ in at most ``(1 - t) / (1 + t) * (|A| + |B|)`` elements.  Sizes are cut into bands.
-In each band the domain of shingles is hashed to ``n`` partitions, where ``2 n`` exceeds
-the largest distance: some partition then differs in one element at most.  Each partition
-is hashed to three parts; one differing element leaves two parts equal.  So two similar
-sets share the signature of some pair of parts of some partition, and sets that share a
-signature are compared exactly.
-
-Pairs of empty parts would be shared by unrelated sets.  They give no signature: a few
-spare partitions make up for them.  A set that still has too few full partitions gives
-the signatures of another deal as well.  Of two similar sets, the one that has enough
-full partitions first decides: up to that deal both give all signatures.
+differ in at most ``(1 - t) / (1 + t) * (|A| + |B|)`` elements.  Sizes are cut into bands; a
+set takes part in its own band and in the span around the nearest border of bands, so two
+sets that may match meet in one of both.  In each, the domain of shingles is hashed to
+partitions, and each partition to ``PARTS`` parts.  There are more partitions than sets
+that match can spoil: in one of them at most ``LEAVE`` elements differ, so some subset of
+``PARTS - LEAVE`` of its parts is equal.  The hashes of all such subsets are the
+signatures; sets that share one are compared.
+
+Subsets without elements would be shared by unrelated sets.  They give no signature: spare
+partitions make up for them.  A set that still has too few full partitions gives the
+signatures of another deal as well.  Of two similar sets, the one that has enough full
+partitions first decides: up to that deal both give all signatures.
+
+Before sets are compared, 256 parities are: each holds whether a set has an odd number of
+the elements hashed to it, so two sets differ in at least as many elements as parities.
+This refutes most pairs that share a passage only, and never a pair that matches.
 """
 
 from __future__ import annotations
 
 import math
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -29,15 +35,23 @@ from coffer.llm.frames import bounded_batches, checked_join
 from coffer.llm.words import Texts, equal_runs, mix, slices, windows
 from coffer.session import materialise
 
-# Width of a band of sizes: two sets that may match lie in one band or in neighbours.
+# Width of a band of sizes.
 BAND = 1.5625
 
+# Parts of a partition, and how many of them a subset leaves out.
+PARTS, LEAVE = 2, 1
+
 # Spare partitions, as a share and a number.
 SPARE, SPARE_MORE = 0.16, 1
 
 # A set with too few full partitions is dealt anew up to this often.
 DEALS = 24
 
+# Words of 64 parities.
+PARITY_WORDS = 4
+
+_PARITIES = [f"p{i}" for i in range(PARITY_WORDS)]
+
 _U64 = np.uint64
 
 
@@ -69,55 +83,68 @@ Plan = list[tuple[int, int, int, int]]
 
 
 def band_plan(percent: int) -> Plan:
-    """For each band: least size, largest size, partitions, full partitions that suffice.
+    """For each group of sizes: least and largest size, partitions, full ones that suffice.
 
-    Bands in which no two different sets can match have no partitions.
+    Even places are bands, odd ones the spans around the border to the next band: from the
+    least size that may match the first size beyond to the largest that may match the last
+    below.  Groups in which no two different sets can match have no partitions.
     """
     plan, low = [], 1
     while low < 1 << 40:
         high = int(low * BAND)
-        distance = 2 * high * (100 - percent) // (100 + percent)
-        enough = (distance + 2) // 2
-        plan.append((low, high, math.ceil(enough * (1 + SPARE)) + SPARE_MORE if distance else 0, enough))
+        over = high * 100 // percent
+        for least, most, total in ((low, high, 2 * high), (-(-(high + 1) * percent // 100), over, high + over)):
+            distance = total * (100 - percent) // (100 + percent)
+            enough = distance // (LEAVE + 1) + 1
+            plan.append((least, most, math.ceil(enough * (1 + SPARE)) + SPARE_MORE if distance else 0, enough))
         low = high + 1
     return plan
 
 
 def signatures(shingles: np.ndarray, percent: int, plan: Plan) -> np.ndarray:
-    """Signatures of one set, in its own band and the next where that may match."""
+    """Signatures of one set in all groups of sizes that it belongs to."""
     size = len(shingles)
-    own = next(i for i, band in enumerate(plan) if size <= band[1])
+    own = next(i for i in range(0, len(plan), 2) if size <= plan[i][1])
+    subsets = list(combinations(range(PARTS), PARTS - LEAVE))
     out = []
-    for band in (own, own + 1):
-        low, _, parts, enough = plan[band]
-        if not parts or (band > own and size * 100 // percent < low):
+    for group in range(max(own - 1, 0), own + 2):
+        least, most, n, enough = plan[group]
+        if not n or not least <= size <= most:
             continue
         for deal in range(DEALS):
-            tag = _U64((band << 16) | (deal << 2))
+            tag = _U64((group << 16) | (deal << 4))
             place = mix(shingles ^ mix(np.array([tag], dtype=np.uint64)))
-            cell = (place >> _U64(32)) % _U64(parts * 3)
-            held = mix(place + _U64(1))
-            sums = np.zeros(parts * 3, dtype=np.uint64)
-            np.add.at(sums, cell.astype(np.int64), held)
-            full = np.bincount(cell.astype(np.int64), minlength=parts * 3).reshape(parts, 3) > 0
-            sums = sums.reshape(parts, 3)
-            number = np.arange(parts, dtype=np.uint64)
-            for leave in range(3):
-                one, two = (leave + 1) % 3, (leave + 2) % 3
-                some = full[:, one] | full[:, two]
-                key = mix(sums[:, one] + mix(sums[:, two] + _U64(leave + 1)) + mix(number + (tag << _U64(20))))
+            cell = ((place >> _U64(32)) % _U64(n * PARTS)).astype(np.int64)
+            sums = np.zeros(n * PARTS, dtype=np.uint64)
+            np.add.at(sums, cell, mix(place + _U64(1)))
+            full = (np.bincount(cell, minlength=n * PARTS) > 0).reshape(n, PARTS)
+            sums = sums.reshape(n, PARTS)
+            number = mix(np.arange(n, dtype=np.uint64) + (tag << _U64(20)))
+            good = np.ones(n, dtype=bool)
+            for k, subset in enumerate(subsets):
+                some = full[:, subset].any(axis=1)
+                key = number + _U64(k)
+                for part in subset:
+                    key = mix(key + sums[:, part])
                 out.append(key[some])
-            # A partition is full when each pair of its parts has an element.
-            if (full.sum(axis=1) >= 2).sum() >= enough:
+                good &= some
+            if good.sum() >= enough:
                 break
         else:
             # Never seen in practice: nearly all elements met in a few cells each time.
-            out.append(mix(np.array([(band << 16) | 3], dtype=np.uint64)))
+            out.append(mix(np.array([(group << 16) | 15], dtype=np.uint64)))
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
+def parities(sets: np.ndarray, texts: np.ndarray, n: int) -> np.ndarray:
+    """For each of ``n`` texts, whether its elements in each of 256 cells are odd in number."""
+    cell = (mix(sets ^ _U64(0x2545F4914F6CDD1D)) >> _U64(56)).astype(np.int64)
+    counts = np.bincount(texts * 256 + cell, minlength=n * 256).reshape(n, 256)
+    return np.packbits((counts & 1).astype(bool), axis=1).view(np.int64)
+
+
 def _profiles(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """``id``, ``n`` and a 128-bit mark of the shingle set of every row."""
+    """``id``, ``n``, a 128-bit mark and the parities of the shingle set of every row."""
 
     def rows(batches):
         for batch in batches:
@@ -128,19 +155,22 @@ def _profiles(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFr
                 f1, f2 = np.zeros(len(t), dtype=np.uint64), np.zeros(len(t), dtype=np.uint64)
                 np.add.at(f1, texts, mix(sets + _U64(11)))
                 np.add.at(f2, texts, mix(sets ^ _U64(0x5851F42D4C957F2D)))
+                odd = parities(sets, texts, len(t))
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("id").slice(done, len(t)),
                         pa.array(n.astype(np.int64)),
                         pa.array(f1.view(np.int64)),
                         pa.array(f2.view(np.int64)),
+                        *(pa.array(np.ascontiguousarray(odd[:, i])) for i in range(PARITY_WORDS)),
                     ],
-                    ["id", "n", "f1", "f2"],
+                    ["id", "n", "f1", "f2", *_PARITIES],
                 )
                 done += len(t)
 
     narrow = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return narrow.mapInArrow(rows, "id bigint, n bigint, f1 bigint, f2 bigint")
+    kinds = ", ".join(f"{c} bigint" for c in ("id", "n", "f1", "f2", *_PARITIES))
+    return narrow.mapInArrow(rows, kinds)
 
 
 def _each_set(width: int, make, names: list[str]):
@@ -155,43 +185,47 @@ def _each_set(width: int, make, names: list[str]):
                 made = [make(sets[at[i] : at[i + 1]]) for i in range(len(t)) if at[i] < at[i + 1]]
                 own = np.flatnonzero(np.diff(at))
                 if made:
-                    yield _batch(ids.slice(done, len(t)).take(pa.array(own)), made, np.diff(at)[own], names)
+                    yield _batch(ids.slice(done, len(t)).take(pa.array(own)), made, names)
                 done += len(t)
 
     return rows
 
 
-def _batch(ids: pa.Array, made: list[np.ndarray], sizes: np.ndarray, names: list[str]) -> pa.RecordBatch:
+def _batch(ids: pa.Array, made: list[np.ndarray], names: list[str]) -> pa.RecordBatch:
     lengths = np.array([len(m) for m in made])
     values = pa.array(np.concatenate(made).view(np.int64))
     if "sig" in names:
-        at = np.repeat(np.arange(len(made)), lengths)
-        columns = [ids.take(pa.array(at)), pa.array(sizes[at].astype(np.int64)), values]
+        columns = [ids.take(pa.array(np.repeat(np.arange(len(made)), lengths))), values]
     else:
         ends = np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)
         columns = [ids, pa.ListArray.from_arrays(pa.array(ends), values)]
     return pa.RecordBatch.from_arrays(columns, names)
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _may_match(left: str, right: str, percent: int) -> Column:
+    """False only for pairs that sizes or parities refute; columns are structs of both."""
+    a, b = F.col(f"{left}.n"), F.col(f"{right}.n")
+    apart = sum((F.bit_count(F.col(f"{left}.{p}").bitwiseXOR(F.col(f"{right}.{p}"))) for p in _PARITIES), F.lit(0))
+    sizes = F.least(a, b) * 100 >= F.greatest(a, b) * percent
+    return sizes & (apart * (100 + percent) <= (a + b) * (100 - percent))
+
+
+def _verified(pairs: DataFrame, marks: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs ``a``, ``b`` whose sets are similar enough.
 
-    The set of ``b`` is fetched first and goes to ``a``, which is the id that many pairs
-    share, so that its set is read by each task once.
+    Sizes and parities come first, which are small; sets follow for what is left.  The set
+    of ``b`` goes to ``a``, which is the id that many pairs share.
     """
-    with_b = checked_join(
-        sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), pairs, "b", "inner"
-    )
+    near = checked_join(pairs, marks.select(F.col("id").alias("b"), F.col("mark").alias("mb")), "b", "inner")
+    near = near.join(marks.select(F.col("id").alias("a"), F.col("mark").alias("ma")), "a")
+    near = materialise(near.filter(_may_match("ma", "mb", percent)).select("a", "b").distinct(), "near_pairs")
+    with_b = checked_join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), near, "b", "inner")
     both = with_b.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), "a")
     shared = F.size(F.array_intersect("sa", "sb"))
     union = F.size("sa") + F.size("sb") - shared
     return both.filter(shared * 100 >= union * percent).select("a", "b")
 
 
-def _may_match(small: Column, large: Column, percent: int) -> Column:
-    return F.least(small, large) * 100 >= F.greatest(small, large) * percent
-
-
 def similar_documents(
     docs: DataFrame, percent: int = 80, width: int = 5, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -205,17 +239,21 @@ def similar_documents(
 
     Equal sets are one from the start, so copies give no signature.  Sets that share a
     signature are first compared with the least and the greatest id of those they share
-    one with; only pairs that are still in different components then meet each other.
+    one with; only pairs that are still in different components, and that sizes and
+    parities do not refute, then meet each other.
     """
     bounded_batches(docs.sparkSession)
     profiles = materialise(_profiles(docs, id_col, text_col, width), "profiles")
     mark = ["n", "f1", "f2"]
     groups = materialise(
-        profiles.filter("n > 0").groupBy(*mark).agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("rows")),
+        profiles.filter("n > 0")
+        .groupBy(*mark)
+        .agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("rows"), *[F.any_value(p).alias(p) for p in _PARITIES]),
         "equal_sets",
     )
     candidates = materialise(_candidates(docs, profiles, groups, percent, width, id_col, text_col), "candidates")
-    components = _linked(docs, candidates, percent, width, id_col, text_col)
+    marks = groups.filter("rep IS NOT NULL").select(F.col("rep").alias("id"), F.struct("n", *_PARITIES).alias("mark"))
+    components = _linked(docs, candidates, marks, percent, width, id_col, text_col)
 
     final = groups.join(components.withColumnRenamed("node", "rep"), "rep", "left").select(
         *mark, "rows", F.coalesce("component", "rep").alias("component")
@@ -230,7 +268,7 @@ def similar_documents(
 
 
 def _candidates(docs, profiles, groups, percent, width, id_col, text_col) -> DataFrame:
-    """``sig``, ``id``, ``n``, ``first``, ``last``: sets that share a signature with another."""
+    """``sig``, ``id``, ``first``, ``last``: sets that share a signature with another."""
     texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
     spare = profiles.filter("id IS NOT NULL AND n > 0").join(
         groups.filter("rows > 1").select("n", "f1", "f2", "rep"), ["n", "f1", "f2"]
@@ -241,20 +279,18 @@ def _candidates(docs, profiles, groups, percent, width, id_col, text_col) -> Dat
     alone = checked_join(texts.filter("id IS NOT NULL AND text IS NOT NULL"), copies, "id", "left_anti")
     plan = band_plan(percent)
     signed = alone.mapInArrow(
-        _each_set(width, lambda s: signatures(s, percent, plan), ["id", "n", "sig"]), "id bigint, n bigint, sig bigint"
+        _each_set(width, lambda s: signatures(s, percent, plan), ["id", "sig"]), "id bigint, sig bigint"
     )
     same = Window.partitionBy("sig")
-    return (
-        signed.withColumn("first", F.min(F.struct("id", "n")).over(same))
-        .withColumn("last", F.max(F.struct("id", "n")).over(same))
-        .filter("first.id < last.id")
-    )
+    ends = signed.withColumn("first", F.min("id").over(same)).withColumn("last", F.max("id").over(same))
+    return ends.filter("first < last")
 
 
-def _linked(docs, candidates, percent, width, id_col, text_col) -> DataFrame:
+def _linked(docs, candidates, marks, percent, width, id_col, text_col) -> DataFrame:
     """Components of the candidates."""
     ids = materialise(candidates.select("id").distinct(), "candidate_ids")
     texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
+    marks = materialise(marks.join(ids, "id", "left_semi"), "marks")
     sets = materialise(
         checked_join(texts.filter("text IS NOT NULL"), ids, "id", "left_semi").mapInArrow(
             _each_set(width, lambda s: s, ["id", "shingles"]), "id bigint, shingles array<bigint>"
@@ -262,48 +298,46 @@ def _linked(docs, candidates, percent, width, id_col, text_col) -> DataFrame:
         "sets",
     )
 
+    def verified(pairs: DataFrame) -> DataFrame:
+        return _verified(materialise(pairs, "pairs"), marks, sets, percent)
+
     def pairs(end: str, rows: DataFrame) -> DataFrame:
         """One pair per set: with the least such id of all its signatures."""
-        fits = rows.filter((F.col("id") != F.col(f"{end}.id")) & _may_match(F.col("n"), F.col(f"{end}.n"), percent))
-        return fits.groupBy(F.col("id").alias("b")).agg(F.min(f"{end}.id").alias("a"))
+        return rows.filter(F.col("id") != F.col(end)).groupBy(F.col("id").alias("b")).agg(F.min(end).alias("a"))
 
-    links = materialise(_verified(materialise(pairs("first", candidates), "pairs"), sets, percent), "links")
+    links = materialise(verified(pairs("first", candidates)), "links")
     parts = materialise(connected_components(links, "a", "b"), "parts")
 
     # The same with the greatest id, where the two are not yet connected.
-    open_rows = _placed(candidates, parts)
-    again = open_rows.filter("part <> last_part")
-    more = _verified(materialise(pairs("last", again), "pairs"), sets, percent)
+    more = verified(pairs("last", _apart(candidates, parts)))
     links = materialise(links.unionByName(more), "links")
     parts = materialise(connected_components(links, "a", "b"), "parts")
 
-    # What is still apart is compared pair by pair.
-    placed = materialise(_open(candidates, parts), "open")
-    left = placed.select("sig", F.col("id").alias("a"), F.col("n").alias("na"), F.col("part").alias("pa"))
-    right = placed.select("sig", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("part").alias("pb"))
-    rest = (
-        left.join(right, "sig")
-        .filter((F.col("a") < F.col("b")) & (F.col("pa") != F.col("pb")) & _may_match(F.col("na"), F.col("nb"), percent))
-        .select("a", "b")
-        .distinct()
-    )
-    last = _verified(materialise(rest, "pairs"), sets, percent)
-    return materialise(connected_components(links.unionByName(last), "a", "b"), "parts")
+    # What is still apart is compared pair by pair, as far as sizes and parities allow.
+    placed = materialise(_open(candidates, parts, marks), "open")
+    left = placed.select("sig", F.col("id").alias("a"), F.col("part").alias("pa"), F.col("mark").alias("ma"))
+    right = placed.select("sig", F.col("id").alias("b"), F.col("part").alias("pb"), F.col("mark").alias("mb"))
+    apart = (F.col("a") < F.col("b")) & (F.col("pa") != F.col("pb")) & _may_match("ma", "mb", percent)
+    rest = left.join(right, (left["sig"] == right["sig"]) & apart).select("a", "b").distinct()
+    return materialise(connected_components(links.unionByName(verified(rest)), "a", "b"), "parts")
 
 
-def _placed(candidates: DataFrame, parts: DataFrame) -> DataFrame:
-    """Candidates with their component and that of the greatest id of their signature."""
+def _apart(candidates: DataFrame, parts: DataFrame) -> DataFrame:
+    """Candidates that are not in the component of the greatest id of their signature."""
     own = parts.select(F.col("node").alias("id"), F.col("component").alias("part"))
-    rows = checked_join(candidates, own, "id", "left").withColumn("part", F.coalesce("part", "id"))
-    other = parts.select(F.col("node").alias("last_id"), F.col("component").alias("last_part"))
-    rows = checked_join(rows.withColumn("last_id", F.col("last.id")), other, "last_id", "left")
-    return rows.withColumn("last_part", F.coalesce("last_part", "last_id"))
+    other = parts.select(F.col("node").alias("last"), F.col("component").alias("last_part"))
+    rows = checked_join(checked_join(candidates, own, "id", "left"), other, "last", "left")
+    return rows.filter(F.coalesce("part", "id") != F.coalesce("last_part", "last"))
+
 
+def _open(candidates: DataFrame, parts: DataFrame, marks: DataFrame) -> DataFrame:
+    """Rows of signatures that still join different components, with sizes and parities.
 
-def _open(candidates: DataFrame, parts: DataFrame) -> DataFrame:
-    """Rows of signatures that still join different components: one task sees a key's rows as sums only."""
+    Signatures are judged by the least and greatest component, which are summed up before
+    rows of a signature meet.
+    """
     own = parts.select(F.col("node").alias("id"), F.col("component").alias("part"))
-    rows = checked_join(candidates.select("sig", "id", "n"), own, "id", "left")
+    rows = checked_join(candidates.select("sig", "id"), own, "id", "left")
     rows = materialise(rows.withColumn("part", F.coalesce("part", "id")), "placed")
     apart = rows.groupBy("sig").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low < high")
-    return rows.join(apart.select("sig"), "sig", "left_semi")
+    return checked_join(rows.join(apart.select("sig"), "sig", "left_semi"), marks, "id", "inner")
