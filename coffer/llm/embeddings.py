@@ -1,8 +1,9 @@
 """Near duplicates among embeddings.
 
-Random hyperplanes give each vector one sign code per table; vectors that share a code
-in some table are compared by exact cosine in double precision; linked vectors form
-components.
+Random hyperplanes give each vector one sign code per table.  Vectors that share a code in
+some table are first compared by 128 more signs, which are all that is sent to each table;
+only those that are near some other then meet it as whole vectors, and exact cosine in
+double precision decides.  Linked vectors form components.
 """
 
 from __future__ import annotations
@@ -28,6 +29,11 @@ BLOCK = 2048
 # Mean members per code; the number of bits follows the table by this.
 MEAN_BUCKET = 256
 
+# Signs by which members of a code are sorted out before their vectors are sent.  A pair at
+# the threshold differs in more of them than allowed once in ten thousand.
+SKETCH_BITS = 128
+SKETCH_SPREAD = 3.72
+
 
 def table_plan(rows: int, threshold: float) -> tuple[int, int]:
     """Bits per code and number of tables.
@@ -49,6 +55,18 @@ def _codes(vectors: np.ndarray, bits: int, tables: int) -> np.ndarray:
     return signs.reshape(len(vectors), tables, bits) @ (1 << np.arange(bits, dtype=np.int64))
 
 
+def _sketches(vectors: np.ndarray) -> np.ndarray:
+    """Two words of signs per vector."""
+    planes = np.random.default_rng([SEED + 1, vectors.shape[1]]).standard_normal((vectors.shape[1], SKETCH_BITS))
+    return np.packbits(vectors @ planes > 0, axis=1).view(np.uint64)
+
+
+def sketch_limit(threshold: float) -> int:
+    """Most signs in which a pair of the threshold's cosine may differ."""
+    apart = math.acos(min(max(threshold, -1.0), 1.0)) / math.pi
+    return math.ceil(SKETCH_BITS * apart + SKETCH_SPREAD * math.sqrt(SKETCH_BITS * apart * (1 - apart)))
+
+
 def _unit(column: pa.Array, dim: int) -> np.ndarray:
     """Rows of equal length as unit vectors in double precision.
 
@@ -62,35 +80,75 @@ def _unit(column: pa.Array, dim: int) -> np.ndarray:
 
 
 def _coded(vectors: DataFrame, bits: int, tables: int) -> DataFrame:
-    """One row per vector and table: ``dim``, ``tab``, ``code``, ``rep``, ``copies``, ``vec``."""
+    """One row per vector and table: ``dim``, ``tab``, ``code``, ``rep`` and the sketch."""
 
     def rows(batches):
         for batch in batches:
             dims = batch.column("dim").to_numpy()
             for dim in np.unique(dims):
                 part = batch.filter(pa.array(dims == dim))
-                for begin in range(0, part.num_rows, 1024):
-                    some = part.slice(begin, 1024)
-                    codes = _codes(_unit(some.column("vec"), int(dim)), bits, tables)
-                    for t in range(tables):
-                        yield pa.RecordBatch.from_arrays(
-                            [
-                                some.column("dim"),
-                                pa.array(np.full(some.num_rows, t, dtype=np.int32)),
-                                pa.array(codes[:, t]),
-                                some.column("rep"),
-                                some.column("copies"),
-                                some.column("vec"),
-                            ],
-                            ["dim", "tab", "code", "rep", "copies", "vec"],
-                        )
-
-    kind = vectors.schema["vec"].dataType.simpleString()
-    return vectors.select("dim", "rep", "copies", "vec").mapInArrow(
-        rows, f"dim int, tab int, code bigint, rep bigint, copies bigint, vec {kind}"
+                x = _unit(part.column("vec"), int(dim))
+                codes, sketch = _codes(x, bits, tables), _sketches(x).view(np.int64)
+                for t in range(tables):
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            part.column("dim"),
+                            pa.array(np.full(part.num_rows, t, dtype=np.int32)),
+                            pa.array(codes[:, t]),
+                            part.column("rep"),
+                            pa.array(sketch[:, 0]),
+                            pa.array(sketch[:, 1]),
+                        ],
+                        ["dim", "tab", "code", "rep", "s1", "s2"],
+                    )
+
+    return vectors.select("dim", "rep", "vec").mapInArrow(
+        rows, "dim int, tab int, code bigint, rep bigint, s1 bigint, s2 bigint"
+    )
+
+
+_KEY = ["dim", "tab", "code"]
+
+
+def _in_blocks(members: DataFrame) -> DataFrame:
+    """Members of each code once for each pair of blocks they are in: ``low``, ``high``, ``block``.
+
+    Codes within ``BLOCK`` members are one block.
+    """
+    large = members.groupBy(*_KEY).count().filter(F.col("count") > BLOCK)
+    large = materialise(large.select(*_KEY, F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks")), "large_codes")
+    blocks = F.coalesce(F.col("blocks"), F.lit(1))
+    placed = members.join(large, _KEY, "left").withColumn("block", F.pmod(F.xxhash64("rep"), blocks).cast("int"))
+    pairs = F.transform(
+        F.sequence(F.lit(0), blocks - 1),
+        lambda other: F.struct(F.least("block", other).alias("low"), F.greatest("block", other).alias("high")),
+    )
+    return placed.select(*members.columns, "block", F.explode(pairs).alias("pair")).select(
+        *members.columns, "block", F.col("pair.low").alias("low"), F.col("pair.high").alias("high")
     )
 
 
+def _near_some(limit: int):
+    """Members of a bucket whose sketch is near that of another."""
+
+    def found(key, bucket):
+        left, right = key[3].as_py(), key[4].as_py()
+        block = bucket.column("block").to_numpy()
+        s1, s2 = (bucket.column(c).to_numpy().view(np.uint64) for c in ("s1", "s2"))
+        rows, cols = np.flatnonzero(block == left), np.flatnonzero(block == right)
+        near = np.zeros(len(block), dtype=bool)
+        for begin in range(0, len(rows), 512):
+            own = rows[begin : begin + 512]
+            apart = np.bitwise_count(s1[own, None] ^ s1[cols]).astype(np.int16)
+            apart += np.bitwise_count(s2[own, None] ^ s2[cols])
+            close = (apart <= limit) & (own[:, None] != cols)
+            near[own] |= close.any(axis=1)
+            near[cols] |= close.any(axis=0)
+        return bucket.select([*_KEY, "rep"]).filter(pa.array(near))
+
+    return found
+
+
 def _local_roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Least position reachable from each of ``n`` positions by the given pairs."""
     root = np.arange(n)
@@ -184,25 +242,16 @@ def near_vectors(
         "distinct_vectors",
     )
     bits, tables = table_plan(groups.count(), threshold)
-    coded = _coded(groups, bits, tables)
-
-    # Blocks of codes that have more members than a task takes; all others are block 0.
-    key = ["dim", "tab", "code"]
-    large = coded.groupBy(*key).count().filter(F.col("count") > BLOCK)
-    large = materialise(large.select(*key, F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks")), "large_codes")
-    blocks = F.coalesce(F.col("blocks"), F.lit(1))
-    placed = coded.join(large, key, "left").withColumn(
-        "block", F.pmod(F.xxhash64("rep"), blocks).cast("int")
-    )
-    pairs = F.transform(
-        F.sequence(F.lit(0), blocks - 1),
-        lambda other: F.struct(F.least("block", other).alias("low"), F.greatest("block", other).alias("high")),
-    )
-    spread = placed.withColumn("pair", F.explode(pairs)).select(
-        *key, F.col("pair.low").alias("low"), F.col("pair.high").alias("high"), "rep", "copies", "vec", "block"
+    sketched = _in_blocks(materialise(_coded(groups, bits, tables), "codes"))
+    near = sketched.groupBy(*_KEY, "low", "high").applyInArrow(
+        _near_some(sketch_limit(threshold)), "dim int, tab int, code bigint, rep bigint"
     )
+    near = materialise(near.distinct(), "near_codes")
+    # A vector goes only to the tables in which it is near another.
+    sent = near.join(groups.select("rep", "copies", "vec"), "rep").select(*_KEY, "rep", "copies", "vec")
+    spread = _in_blocks(sent)
     found = materialise(
-        spread.groupBy(*key, "low", "high").applyInArrow(
+        spread.groupBy(*_KEY, "low", "high").applyInArrow(
             _compared(threshold, bits, tables), "rep bigint, n bigint, near bigint"
         ),
         "vector_links",
