@@ -10,7 +10,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from coffer.llm.jaccard import band_plan, shingle_sets, signatures
+from coffer.llm.jaccard import band_plan, parities, shingle_sets, signatures
 from coffer.llm.words import slices, text_stats
 
 from .conftest import words
@@ -75,6 +75,8 @@ def test_sets_at_the_limit_share_a_signature(size):
         values = rng.integers(0, 1 << 63, both + left + right, dtype=np.uint64)
         a, b = values[: both + left], np.concatenate([values[:both], values[both + left :]])
         assert 100 * both >= 80 * len(values)
+        odd = parities(np.concatenate([a, b]), np.repeat([0, 1], [len(a), len(b)]), 2).view(np.uint64)
+        assert np.bitwise_count(odd[0] ^ odd[1]).sum() <= left + right
         if left or right:
             assert set(signatures(np.sort(a), 80, plan)) & set(signatures(np.sort(b), 80, plan))
 
