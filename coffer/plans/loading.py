@@ -178,10 +178,16 @@ def _long_note_keys(rows: DataFrame) -> DataFrame:
 
 
 def with_reject_reason(rows: DataFrame, existing: DataFrame) -> DataFrame:
-    """Add ``reject_reason``: a broken constraint, or ``duplicate_key``."""
+    """Add ``reject_reason``: a broken constraint, or ``duplicate_key``.
+
+    ``rows`` should be written: they are looked at first, and without a long note among
+    them no key can clash and ``existing`` is not read.
+    """
     checked = rows.withColumn("reject_reason", reject_reason())
     key = [*UNIQUE_KEY, "_prefix"]
     long = _long_note_keys(checked.filter(F.col("reject_reason").isNull()))
+    if long.isEmpty():
+        return checked
     held = _long_note_keys(existing).select(*key).distinct()
     order = _order(rows)
     winners = keep_first(long.join(held, key, "left_anti"), [F.col(c) for c in key], order)
