@@ -14,9 +14,10 @@ partitions make up for them.  A set that still has too few full partitions gives
 signatures of another deal as well.  Of two similar sets, the one that has enough full
 partitions first decides: up to that deal both give all signatures.
 
-Before sets are compared, 256 parities are: each holds whether a set has an odd number of
-the elements hashed to it, so two sets differ in at least as many elements as parities.
-This refutes most pairs that share a passage only, and never a pair that matches.
+Before sets are compared, parities are, 256 at first and 4096 then: each holds whether a set
+has an odd number of the elements hashed to it, so two sets differ in at least as many
+elements as parities.  This refutes most pairs that share a passage only, and never a pair
+that matches.
 """
 
 from __future__ import annotations
@@ -47,8 +48,8 @@ SPARE, SPARE_MORE = 0.16, 1
 # A set with too few full partitions is dealt anew up to this often.
 DEALS = 24
 
-# Words of 64 parities.
-PARITY_WORDS = 4
+# Words of 64 parities: of every set, and of those that share a signature.
+PARITY_WORDS, MORE_PARITY_WORDS = 4, 64
 
 _PARITIES = [f"p{i}" for i in range(PARITY_WORDS)]
 
@@ -136,11 +137,19 @@ def signatures(shingles: np.ndarray, percent: int, plan: Plan) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
-def parities(sets: np.ndarray, texts: np.ndarray, n: int) -> np.ndarray:
-    """For each of ``n`` texts, whether its elements in each of 256 cells are odd in number."""
-    cell = (mix(sets ^ _U64(0x2545F4914F6CDD1D)) >> _U64(56)).astype(np.int64)
-    counts = np.bincount(texts * 256 + cell, minlength=n * 256).reshape(n, 256)
-    return np.packbits((counts & 1).astype(bool), axis=1).view(np.int64)
+def parities(sets: np.ndarray, texts: np.ndarray, n: int, words: int = PARITY_WORDS) -> np.ndarray:
+    """For each of ``n`` texts, whether its elements in each of ``64 * words`` cells are odd in number."""
+    cells = 64 * words
+    cell = ((mix(sets ^ _U64(0x2545F4914F6CDD1D)) >> _U64(32)) % _U64(cells)).astype(np.int64)
+    out = np.zeros((n, words), dtype=np.int64)
+    some = max(1, (1 << 20) // cells)  # a million counts at once
+    for begin in range(0, n, some):
+        end = min(begin + some, n)
+        low, high = np.searchsorted(texts, [begin, end])
+        counts = np.bincount((texts[low:high] - begin) * cells + cell[low:high], minlength=(end - begin) * cells)
+        odd = (counts.reshape(end - begin, cells) & 1).astype(bool)
+        out[begin:end] = np.packbits(odd, axis=1).view(np.int64)
+    return out
 
 
 def _profiles(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
@@ -173,33 +182,51 @@ def _profiles(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFr
     return narrow.mapInArrow(rows, kinds)
 
 
-def _each_set(width: int, make, names: list[str]):
-    """Rows that ``make`` gives for the set of each text, as a function over Arrow batches."""
+def _signed(width: int, percent: int, plan: Plan):
+    """Signatures of the set of each text, as a function over Arrow batches."""
 
     def rows(batches):
         for batch in batches:
-            ids, done = batch.column("id"), 0
-            for t in slices(batch.column("text")):
-                sets, texts = shingle_sets(t, width)
-                at = np.searchsorted(texts, np.arange(len(t) + 1))
-                made = [make(sets[at[i] : at[i + 1]]) for i in range(len(t)) if at[i] < at[i + 1]]
-                own = np.flatnonzero(np.diff(at))
-                if made:
-                    yield _batch(ids.slice(done, len(t)).take(pa.array(own)), made, names)
-                done += len(t)
+            for ids, sets in _sets(batch, width):
+                made = [signatures(own, percent, plan) for own in sets]
+                at = np.repeat(np.arange(len(made)), [len(m) for m in made])
+                if len(at):
+                    values = pa.array(np.concatenate(made).view(np.int64))
+                    yield pa.RecordBatch.from_arrays([ids.take(pa.array(at)), values], ["id", "sig"])
+
+    return rows
+
+
+def _with_parities(width: int):
+    """The set of each text and its parities, as a function over Arrow batches."""
+
+    def rows(batches):
+        for batch in batches:
+            for ids, sets in _sets(batch, width):
+                ends = np.concatenate(([0], np.cumsum([len(own) for own in sets])))
+                values = np.concatenate(sets)
+                texts = np.repeat(np.arange(len(sets)), np.diff(ends))
+                odd = parities(values, texts, len(sets), MORE_PARITY_WORDS)
+                odd_ends = np.arange(len(sets) + 1) * MORE_PARITY_WORDS
+                lists = [
+                    pa.ListArray.from_arrays(pa.array(e.astype(np.int32)), pa.array(v))
+                    for e, v in ((ends, values.view(np.int64)), (odd_ends, odd.ravel()))
+                ]
+                yield pa.RecordBatch.from_arrays([ids, *lists], ["id", "shingles", "odd"])
 
     return rows
 
 
-def _batch(ids: pa.Array, made: list[np.ndarray], names: list[str]) -> pa.RecordBatch:
-    lengths = np.array([len(m) for m in made])
-    values = pa.array(np.concatenate(made).view(np.int64))
-    if "sig" in names:
-        columns = [ids.take(pa.array(np.repeat(np.arange(len(made)), lengths))), values]
-    else:
-        ends = np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)
-        columns = [ids, pa.ListArray.from_arrays(pa.array(ends), values)]
-    return pa.RecordBatch.from_arrays(columns, names)
+def _sets(batch: pa.RecordBatch, width: int):
+    """Ids and sets of the texts that have a word, some texts at a time."""
+    ids, done = batch.column("id"), 0
+    for t in slices(batch.column("text")):
+        sets, texts = shingle_sets(t, width)
+        at = np.searchsorted(texts, np.arange(len(t) + 1))
+        own = np.flatnonzero(np.diff(at))
+        if len(own):
+            yield ids.slice(done, len(t)).take(pa.array(own)), [sets[at[i] : at[i + 1]] for i in own]
+        done += len(t)
 
 
 def _may_match(left: str, right: str, percent: int) -> Column:
@@ -216,14 +243,25 @@ def _verified(pairs: DataFrame, marks: DataFrame, sets: DataFrame, percent: int)
     Sizes and parities come first, which are small; sets follow for what is left.  The set
     of ``b`` goes to ``a``, which is the id that many pairs share.
     """
-    near = checked_join(pairs, marks.select(F.col("id").alias("b"), F.col("mark").alias("mb")), "b", "inner")
-    near = near.join(marks.select(F.col("id").alias("a"), F.col("mark").alias("ma")), "a")
-    near = materialise(near.filter(_may_match("ma", "mb", percent)).select("a", "b").distinct(), "near_pairs")
+
+    def joined(rows: DataFrame, table: DataFrame, value: str) -> DataFrame:
+        for end in ("b", "a"):
+            rows = rows.join(table.select(F.col("id").alias(end), F.col(value).alias(f"{value}_{end}")), end)
+        return rows
+
+    near = joined(pairs, marks, "mark").filter(_may_match("mark_a", "mark_b", percent))
+    near = materialise(near.select("a", "b", "mark_a.n", F.col("mark_b.n").alias("m")).distinct(), "near_pairs")
+    differ = F.zip_with("odd_a", "odd_b", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    apart = F.aggregate(differ, F.lit(0), lambda total, x: total + x)
+    near = joined(near, sets, "odd").filter(apart * (100 + percent) <= (F.col("n") + F.col("m")) * (100 - percent))
+    near = materialise(near.select("a", "b").distinct(), "near_pairs")
+
     with_b = checked_join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), near, "b", "inner")
-    both = with_b.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), "a")
+    heads = materialise(near.select("a").distinct(), "heads")
+    with_a = checked_join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), heads, "a", "left_semi")
     shared = F.size(F.array_intersect("sa", "sb"))
     union = F.size("sa") + F.size("sb") - shared
-    return both.filter(shared * 100 >= union * percent).select("a", "b")
+    return with_b.join(with_a, "a").filter(shared * 100 >= union * percent).select("a", "b")
 
 
 def similar_documents(
@@ -278,9 +316,7 @@ def _candidates(docs, profiles, groups, percent, width, id_col, text_col) -> Dat
     copies = materialise(copies.join(groups.select(F.col("rep").alias("id")), "id", "left_anti"), "copies")
     alone = checked_join(texts.filter("id IS NOT NULL AND text IS NOT NULL"), copies, "id", "left_anti")
     plan = band_plan(percent)
-    signed = alone.mapInArrow(
-        _each_set(width, lambda s: signatures(s, percent, plan), ["id", "sig"]), "id bigint, sig bigint"
-    )
+    signed = alone.mapInArrow(_signed(width, percent, plan), "id bigint, sig bigint")
     same = Window.partitionBy("sig")
     ends = signed.withColumn("first", F.min("id").over(same)).withColumn("last", F.max("id").over(same))
     return ends.filter("first < last")
@@ -293,7 +329,7 @@ def _linked(docs, candidates, marks, percent, width, id_col, text_col) -> DataFr
     marks = materialise(marks.join(ids, "id", "left_semi"), "marks")
     sets = materialise(
         checked_join(texts.filter("text IS NOT NULL"), ids, "id", "left_semi").mapInArrow(
-            _each_set(width, lambda s: s, ["id", "shingles"]), "id bigint, shingles array<bigint>"
+            _with_parities(width), "id bigint, shingles array<bigint>, odd array<bigint>"
         ),
         "sets",
     )
@@ -322,22 +358,18 @@ def _linked(docs, candidates, marks, percent, width, id_col, text_col) -> DataFr
     return materialise(connected_components(links.unionByName(verified(rest)), "a", "b"), "parts")
 
 
-def _apart(candidates: DataFrame, parts: DataFrame) -> DataFrame:
-    """Candidates that are not in the component of the greatest id of their signature."""
+def _apart(candidates: DataFrame, parts: DataFrame, end: str = "last") -> DataFrame:
+    """Candidates that are not in the component of the greatest (or least) id of their signature."""
     own = parts.select(F.col("node").alias("id"), F.col("component").alias("part"))
-    other = parts.select(F.col("node").alias("last"), F.col("component").alias("last_part"))
-    rows = checked_join(checked_join(candidates, own, "id", "left"), other, "last", "left")
-    return rows.filter(F.coalesce("part", "id") != F.coalesce("last_part", "last"))
+    other = parts.select(F.col("node").alias(end), F.col("component").alias("end_part"))
+    rows = checked_join(checked_join(candidates, own, "id", "left"), other, end, "left")
+    return rows.filter(F.coalesce("part", "id") != F.coalesce("end_part", end))
 
 
 def _open(candidates: DataFrame, parts: DataFrame, marks: DataFrame) -> DataFrame:
-    """Rows of signatures that still join different components, with sizes and parities.
-
-    Signatures are judged by the least and greatest component, which are summed up before
-    rows of a signature meet.
-    """
+    """Rows of signatures that still join different components, with sizes and parities."""
+    open_signatures = materialise(_apart(candidates, parts, "first").select("sig").distinct(), "open_signatures")
+    rows = checked_join(candidates.select("sig", "id"), open_signatures, "sig", "left_semi")
     own = parts.select(F.col("node").alias("id"), F.col("component").alias("part"))
-    rows = checked_join(candidates.select("sig", "id"), own, "id", "left")
-    rows = materialise(rows.withColumn("part", F.coalesce("part", "id")), "placed")
-    apart = rows.groupBy("sig").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low < high")
-    return checked_join(rows.join(apart.select("sig"), "sig", "left_semi"), marks, "id", "inner")
+    rows = checked_join(rows, own, "id", "left").withColumn("part", F.coalesce("part", "id"))
+    return checked_join(rows, marks, "id", "inner")
