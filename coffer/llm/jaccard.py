@@ -341,13 +341,10 @@ def _linked(docs, candidates, marks, percent, width, id_col, text_col) -> DataFr
         """One pair per set: with the least such id of all its signatures."""
         return rows.filter(F.col("id") != F.col(end)).groupBy(F.col("id").alias("b")).agg(F.min(end).alias("a"))
 
-    links = materialise(verified(pairs("first", candidates)), "links")
-    parts = materialise(connected_components(links, "a", "b"), "parts")
+    parts = materialise(connected_components(verified(pairs("first", candidates)), "a", "b"), "parts")
 
     # The same with the greatest id, where the two are not yet connected.
-    more = verified(pairs("last", _apart(candidates, parts)))
-    links = materialise(links.unionByName(more), "links")
-    parts = materialise(connected_components(links, "a", "b"), "parts")
+    parts = _joined(parts, verified(pairs("last", _apart(candidates, parts))))
 
     # What is still apart is compared pair by pair, as far as sizes and parities allow.
     placed = materialise(_open(candidates, parts, marks), "open")
@@ -355,7 +352,16 @@ def _linked(docs, candidates, marks, percent, width, id_col, text_col) -> DataFr
     right = placed.select("sig", F.col("id").alias("b"), F.col("part").alias("pb"), F.col("mark").alias("mb"))
     apart = (F.col("a") < F.col("b")) & (F.col("pa") != F.col("pb")) & _may_match("ma", "mb", percent)
     rest = left.join(right, (left["sig"] == right["sig"]) & apart).select("a", "b").distinct()
-    return materialise(connected_components(links.unionByName(verified(rest)), "a", "b"), "parts")
+    return _joined(parts, verified(rest))
+
+
+def _joined(parts: DataFrame, links: DataFrame) -> DataFrame:
+    """Components after more links: each node's way to its component stands for the links before."""
+    links = materialise(links, "links")
+    if links.isEmpty():
+        return parts
+    ways = parts.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    return materialise(connected_components(ways.unionByName(links), "a", "b"), "parts")
 
 
 def _apart(candidates: DataFrame, parts: DataFrame, end: str = "last") -> DataFrame:
