@@ -44,9 +44,9 @@ def promote_header(sheet: DataFrame) -> DataFrame:
         return sheet
     header = first[0].asDict()
     is_header = reduce(lambda a, b: a & b, [_is_at(c, header[c]) for c in order])
-    # Empty cells of the header row leave nameless columns, told apart by their place.
-    given = [header[c] if (header[c] or "").strip() else f"_c{i}" for i, c in enumerate(names)]
-    renamed = [F.col(f"`{c}`").alias(name) for c, name in zip(names, distinct_names(given))]
+    # Empty cells of the header row leave nameless columns; all but the first get a number.
+    given = distinct_names([header[c] or "" for c in names])
+    renamed = [F.col(f"`{c}`").alias(name) for c, name in zip(names, given)]
     return sheet.filter(~is_header).select(*renamed, *order)
 
 
