@@ -87,11 +87,13 @@ def drop_repeated_lines(
         )
         .withColumn(gone, F.transform(F.array_distinct(covered), lambda p: F.element_at(F.col(full), p + 1)))
     )
+    # A filter on the numbers moves before these columns, so they stand on their own.
+    count = F.size(F.filter(_lines(F.col(text_col)), _has_word))
     places = F.array_except(F.sequence(F.lit(1), F.size(every)), F.col(gone))
     kept = F.transform(places, lambda i: F.element_at(F.col(every), i))
     return (
-        joined.withColumn(f"{prefix}_n", F.coalesce(F.size(full), F.lit(0)).cast("bigint"))
-        .withColumn(f"{prefix}_gone", F.coalesce(F.size(gone), F.lit(0)).cast("bigint"))
+        joined.withColumn(f"{prefix}_n", F.coalesce(count, F.lit(0)).cast("bigint"))
+        .withColumn(f"{prefix}_gone", F.coalesce(F.size(F.array_distinct(covered)), F.lit(0)).cast("bigint"))
         .withColumn(text_col, F.when(F.col(at).isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n")))
         .drop(f"{prefix}_id", f"{prefix}_mark", at, every, full, gone)
     )
