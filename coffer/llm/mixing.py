@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from coffer.llm.frames import SPACES, WORD, checked_join
+from coffer.llm.frames import WORD, checked_join
 from coffer.session import materialise
 
 # A document is taken at most this often.
@@ -27,10 +27,7 @@ _STEPS = 1 << 16
 
 def word_count(text: Column) -> Column:
     """Number of words; 0 for NULL."""
-    single = F.regexp_replace(text, f"[{SPACES}]+", " ")
-    trimmed = F.trim(single)
-    words = F.length(trimmed) - F.length(F.replace(trimmed, F.lit(" "), F.lit(""))) + 1
-    return F.when(F.coalesce(trimmed, F.lit("")) == "", F.lit(0)).otherwise(words).cast("bigint")
+    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")
 
 
 def uniform(seed: str, key: Column) -> Column:
@@ -221,7 +218,9 @@ def mixed_documents(
 
 def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The mixed corpus: every row of ``docs`` as often as the mix takes it."""
-    size = word_count(F.col(text_col))
-    out = with_copies(docs, mixture(docs, size, id_col, source_col), size, "__copies", id_col, source_col)
+    # Unfolded from an array, the number is worked out once and not again wherever it is used.
+    sized = docs.withColumn("__size", F.explode(F.array(word_count(F.col(text_col)))))
+    size = F.col("__size")
+    out = with_copies(sized, mixture(sized, size, id_col, source_col), size, "__copies", id_col, source_col)
     times = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__copies")))
     return out.filter("__copies > 0").withColumn("__copy", times).select(*[f"`{c}`" for c in docs.columns])
