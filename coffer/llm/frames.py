@@ -56,18 +56,20 @@ def labelled_sample(
     docs: DataFrame, labels: DataFrame, label: str, per_class: int, salt: str, id_col: str, text_col: str, rule: Column
 ) -> DataFrame:
     """About ``per_class`` labelled texts of each class, or all where there are fewer: ``text``,
-    ``y`` and a number that spreads them evenly over parts (``part``), equal texts too.
+    ``y``, how many labelled rows of its class one stands for (``weight``) and a number that
+    spreads them evenly over parts (``part``), equal texts too.
 
     ``rule`` says which ids may be learned from.  Rows are chosen by a hash of the id,
     so a run over the same rows chooses the same.
     """
     known = labels.filter(F.col(label).isin(0, 1) & F.col(id_col).isNotNull() & rule)
     counts = {r[0]: r[1] for r in known.groupBy(label).count().collect()}
-    wanted = F.lit(False)
+    wanted, weight = F.lit(False), F.lit(1.0)
     for value, n in counts.items():
         wanted |= (F.col(label) == value) & (share(salt, id_col) < F.lit(min(1.0, per_class / n)))
+        weight = F.when(F.col("y") == value, max(1.0, n / per_class)).otherwise(weight)
     chosen = known.filter(wanted).groupBy(id_col).agg(F.max(label).cast("int").alias("y"))
     texts = docs.filter(F.col(text_col).isNotNull()).select(id_col, F.col(text_col).alias("text"))
     # Two classes of ``per_class`` ids: within the bound of a broadcast by construction.
     part = F.xxhash64(F.lit("part"), id_col).alias("part")
-    return texts.join(F.broadcast(chosen), id_col).select("text", "y", part)
+    return texts.join(F.broadcast(chosen), id_col).select("text", "y", weight.alias("weight"), part)

@@ -78,13 +78,14 @@ def _fourier(model: QualityModel, x: np.ndarray) -> np.ndarray:
 
 
 def _summed(sample: DataFrame, part, shapes: list[tuple[int, ...]]) -> list[np.ndarray]:
-    """Arrays that ``part(texts, y)`` gives for each batch, summed per partition, then in all."""
+    """Arrays that ``part(texts, y, weight)`` gives for each batch, summed per partition, then in all."""
 
     def sums(batches):
         total = [np.zeros(s) for s in shapes]
         for batch in batches:
             y = np.asarray(batch.column("y").to_numpy(zero_copy_only=False), dtype=np.float64)
-            for a, b in zip(total, part(batch.column("text"), y)):
+            weight = batch.column("weight").to_numpy(zero_copy_only=False)
+            for a, b in zip(total, part(batch.column("text"), y, weight)):
                 a += b
         yield pa.RecordBatch.from_arrays(
             [pa.array([a.tobytes()], pa.binary()) for a in total], [f"a{i}" for i in range(len(total))]
@@ -123,7 +124,7 @@ def fit(
 
     About 6,000 texts of each class fit the weights and as many others, told apart by a
     hash of the id, calibrate them.  Classes weigh the same in the fit; calibration
-    undoes that, as it counts rows in proportion.
+    undoes that: a row counts as many as its class has for each row drawn.
     """
     bounded_batches(docs.sparkSession)
     rule = F.lit(True) if rule is None else rule
@@ -141,7 +142,7 @@ def fit(
 
 
 def _fit(sample: DataFrame, other: DataFrame) -> QualityModel | None:
-    def moments(texts, y):
+    def moments(texts, y, weight):
         x = _all_statistics(texts)
         return np.array([(y == 0).sum(), (y == 1).sum()]), x.sum(axis=0), (x * x).sum(axis=0)
 
@@ -161,7 +162,7 @@ def _fit(sample: DataFrame, other: DataFrame) -> QualityModel | None:
         np.zeros(0),
     )
 
-    def normal(texts, y):
+    def normal(texts, y, weight):
         x = _fourier(model, _all_statistics(texts))
         w = np.where(y == 1, 1 / seen[1], 1 / seen[0])
         return x.T @ (x * w[:, None]), x.T @ (w * (2 * y - 1))
@@ -170,9 +171,10 @@ def _fit(sample: DataFrame, other: DataFrame) -> QualityModel | None:
     gram, target = _summed(sample, normal, [(width, width), (width,)])
     model.weights = np.linalg.solve(gram + RIDGE * np.eye(width), target)
 
-    def binned(texts, y):
+    # Classes were drawn at different rates; weights give back their true proportion.
+    def binned(texts, y, weight):
         at = np.clip(((_raw(model, texts) + 2) / 4 * BINS).astype(np.int64), 0, BINS - 1)
-        return np.bincount(at, minlength=BINS), np.bincount(at, weights=y, minlength=BINS)
+        return np.bincount(at, weights=weight, minlength=BINS), np.bincount(at, weights=y * weight, minlength=BINS)
 
     count, ones = _summed(other, binned, [(BINS,), (BINS,)])
     if not count.any():  # every labelled id fell into the other half

@@ -110,6 +110,17 @@ def test_quality_without_labels(documents, labels):
     assert quality.score_documents(documents([]), labels([])).count() == 0
 
 
+@pytest.mark.parametrize("rows", [100, 250, 6000])  # both classes thinned, one, none
+def test_quality_rates_do_not_depend_on_the_sample(documents, labels, monkeypatch, rows):
+    """Texts that cannot be told apart, three quarters of them good, score three quarters."""
+    monkeypatch.setattr(quality, "CALIBRATION_ROWS", rows)
+    docs = documents([(i, "one text for all of them", "en", "s") for i in range(1600)])
+    marks = labels([(i, int(i % 4 != 0), 0) for i in range(1600)])
+    got = quality.score_documents(docs, marks).select("score", "predicted").distinct().collect()
+    assert len(got) == 1
+    assert got[0]["score"] == pytest.approx(0.75, abs=0.05) and got[0]["predicted"] == 1
+
+
 def test_fourier_features_approximate_the_kernel():
     rng = np.random.default_rng(1)
     x = rng.standard_normal((40, 15))
