@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+import re
 import zlib
 from collections.abc import Iterator
 from itertools import chain
@@ -34,6 +35,12 @@ POOL_TOKENS = 1 << 20
 # Rows handed to Python at once, so that a batch of long texts stays small.
 BATCH_ROWS = 200
 
+# The splitter runs out of stack on about a million white characters in a row.
+SAFE_RUN = 100_000
+
+# White space of Unicode, as the splitter knows it; Python's own class holds four more.
+_WHITE = r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+
 _SEQUENCE_BITS = 36
 
 
@@ -102,14 +109,32 @@ def pack(sizes: list[int], length: int = LENGTH) -> list[tuple[int, int, int, in
 def _encoder(path: str, pattern: str):
     """Function from a text to its ids, for a byte-level vocabulary of ranks.
 
-    Strings of special tokens count as ordinary text.
+    Strings of special tokens count as ordinary text.  ``pattern`` has to end in the rule
+    for white space of byte-level vocabularies: a run before other text leaves its last
+    character to what follows and is one piece else.  Runs beyond ``SAFE_RUN`` are cut by it here.
     """
     import tiktoken
 
+    if not pattern.endswith(r"|\s+(?!\S)|\s+"):
+        raise ValueError("pattern with another rule for white space")
+
     with open(path, "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
     own = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-    return own.encode_ordinary
+    white = tiktoken.Encoding("white", pat_str=r"\s+", mergeable_ranks=ranks, special_tokens={})
+    long_run = re.compile(rf"(?<!{_WHITE}){_WHITE}{{{SAFE_RUN + 1},}}")
+
+    def encode(text: str) -> list[int]:
+        ids, at = [], 0
+        if len(text) > SAFE_RUN:
+            for run in long_run.finditer(text):
+                end = run.end() - (run.end() < len(text))
+                ids += own.encode_ordinary(text[at : run.start()])
+                ids += white.encode_ordinary(text[run.start() : end])
+                at = end
+        return ids + own.encode_ordinary(text[at:]) if at else own.encode_ordinary(text)
+
+    return encode
 
 
 def _piece_batches(schema: pa.Schema, partition: int, length: int, end_id: int, encode, batches) -> Iterator:

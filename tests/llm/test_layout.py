@@ -148,6 +148,29 @@ def test_ids_are_those_of_the_vocabulary(documents, monkeypatch):
     assert queries.packed(documents([])).count() == 0
 
 
+def test_ids_of_very_long_white_space(documents):
+    own = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    n = 2_000_000
+    texts = ["a" + " " * n + "x", "a\n" + "\n" * n + "x", " " * n, "it's" + " " * n + "\n!" + "\n" * n + "b \x1c c"]
+    found = queries.packed(documents([(i, t, "en", "s") for i, t in enumerate(texts)])).collect()
+    for i, text in enumerate(texts):
+        ids = np.array([*own.encode(text, add_special_tokens=False).ids, 1], dtype="<u4")
+        pieces = sorted((p for p in found if p["doc_id"] == i), key=lambda p: p["start"])
+        assert sum(p["length"] for p in pieces) == len(ids) == pieces[0]["doc_tokens"]
+        assert all(p["ids_crc32"] == zlib.crc32(ids[p["start"] : p["start"] + p["length"]].tobytes()) for p in pieces)
+
+
+def test_ids_where_runs_of_white_space_are_cut(monkeypatch):
+    monkeypatch.setattr(packing, "SAFE_RUN", 3)
+    own = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    encode = packing._encoder(public_tokenizers.path(queries.VOCABULARY), public_tokenizers.PATTERN)
+    rng = np.random.default_rng(8)
+    letters = list("   \n\n\t\x85\xa0\u2009\u3000\x1c\x1fa's1!é字")
+    for _ in range(3000):
+        text = "".join(rng.choice(letters, int(rng.integers(0, 40))))
+        assert encode(text) == own.encode(text, add_special_tokens=False).ids, repr(text)
+
+
 def test_hilbert_curve_visits_each_cell_by_single_steps(spark):
     cells = spark.range(1 << 12).select(
         *[F.pmod(F.shiftright("id", 4 * i), F.lit(16)).cast("int").alias(n) for i, n in enumerate("xyz")]
