@@ -69,8 +69,13 @@ class ToxicityModel:
     shift: float
 
 
+def _plain(texts: pa.Array) -> pa.Array:
+    """Texts in lower case with a space for each run of what is neither letter nor combining mark."""
+    return pc.replace_substring_regex(pc.utf8_lower(texts), r"[^\p{L}\p{M}]+", " ")
+
+
 def _letters() -> np.ndarray:
-    """Bytes of which words are made: ASCII letters and all of other scripts."""
+    """Bytes of which words of plain texts are made: ASCII letters and all of other scripts."""
     table = np.zeros(256, dtype=bool)
     table[97:123] = table[65:91] = True
     table[128:] = True
@@ -101,7 +106,7 @@ def term_counts(texts: pa.Array, terms: Terms) -> tuple[np.ndarray, np.ndarray]:
     for i, p in enumerate(terms.prefixes):
         by_length.setdefault(len(p.encode()), []).append(i)
     counts, sizes = [], []
-    for t in slices(pc.utf8_lower(texts)):
+    for t in slices(_plain(texts)):
         starts, ends = t.runs(letters[t.data])
         owner = t.text_of(starts)
         out = np.zeros((len(t), len(terms.words) + len(terms.prefixes)), dtype=np.int32)
@@ -138,10 +143,12 @@ def learn_terms(sample: DataFrame) -> Terms:
     seen = {r[0]: r[1] for r in sample.groupBy("y").count().collect()}
     if not seen.get(1) or not seen.get(0):
         return Terms(list(INSULTS), [])
-    words = F.filter(F.split(F.lower("text"), r"[^\p{L}]+"), lambda w: w != "")
+    plain = F.arrow_udf(_plain, "string")("text")  # scoring cuts words by the same rule
+    words = F.filter(F.split("plain", " "), lambda w: w != "")
     named = [words] + [
         F.transform(F.filter(words, _at_least(k)), _beginning(k)) for k in PREFIXES
     ]
+    sample = sample.select("y", plain.alias("plain"))
     terms = sample.select("y", F.explode(F.array_distinct(F.flatten(F.array(*named)))).alias("term"))
     share_1 = (F.col("ones") + 0.1) / F.lit(float(seen[1]))
     share_0 = (F.col("zeros") + 0.5) / F.lit(float(seen[0]))

@@ -222,6 +222,25 @@ def test_toxicity(documents, labels):
     assert all(got[i]["predicted"] == 0 for i in (9001, 9002, 9003, 9004, 9007))
 
 
+def test_words_beside_marks_are_hits():
+    terms = toxicity.Terms(["idiot"], ["moro"])
+    texts = ["“idiot”", "idiot…", "you—idiot", "an\u00a0idiot", "‘Moronic’ —idiot!", "idiotа", "", None]
+    counts, sizes = toxicity.term_counts(pa.array(texts), terms)
+    assert counts[:, 0].tolist() == [1, 1, 1, 1, 1, 0, 0, 0] and counts[:, 1].tolist() == [0, 0, 0, 0, 1, 0, 0, 0]
+    assert sizes.tolist() == [1, 1, 2, 2, 2, 1, 0, 0]
+
+
+def test_learned_terms_are_found_again(spark):
+    """Scripts with combining marks, marks of punctuation, and letters with two lower cases."""
+    bad = ["मूर्ख", "โง่เง่า", "ΚΑΚΟΣ", "İzbıq", "naïf"]
+    rows = [(f"“{w}”…{w}—mid", 1) for w in bad for _ in range(6)] + [("a fine day mid", 0)] * 300
+    terms = toxicity.learn_terms(spark.createDataFrame(rows, "text string, y int"))
+    assert len(terms.words) == len(toxicity.INSULTS) + len(bad)
+    counts, sizes = toxicity.term_counts(pa.array([f"–{w}’" for w in bad]), terms)
+    assert sizes.tolist() == [1] * len(bad)
+    assert counts[:, len(toxicity.INSULTS) : len(terms.words)].sum(axis=1).tolist() == [1] * len(bad)
+
+
 def test_toxicity_without_labels(documents, labels):
     rows = [(1, "you are an idiot and a moron", "en", "s"), (2, "a fine day it is", "en", "s"), *ODD]
     got = {r["doc_id"]: r["predicted"] for r in toxicity.score_documents(documents(rows), labels([])).collect()}
