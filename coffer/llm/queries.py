@@ -5,10 +5,23 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coffer.llm import embeddings, jaccard, language, lines, mixing, packing, quality, rules, sharding, toxicity
+from coffer.llm import (
+    embeddings,
+    infill,
+    jaccard,
+    language,
+    lines,
+    mixing,
+    packing,
+    pieces,
+    quality,
+    rules,
+    sharding,
+    toxicity,
+)
 from coffer.llm.frames import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +29,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 # The vocabulary of byte_bpe_50k.json as ranks; ids are the same (see the tests).
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
+PIECES = "piece_bpe_32k.model"
+
 
 def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
@@ -61,6 +76,28 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents")).drop("curve")
 
 
+def op11_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the ids of every text and of what they decode to."""
+    model = public_tokenizers.path(PIECES)
+    ids = pieces.encode_documents(table(spark, sf_dir, "documents"), model)
+    digest = F.sha2(F.array_join("ids", ",").cast("binary"), 256).alias("ids_sha256")
+    digested = ids.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), digest, "ids")
+    texts = pieces.decode_documents(digested, model)
+    return texts.withColumn("decoded_sha256", _digest(F.col("text"))).drop("text")
+
+
+def op12_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every output and of the text restored from it."""
+    found = infill.infilled(table(spark, sf_dir, "documents"))
+    back = infill.restored(F.col("form"), F.col("output"))
+    digests = {"output_sha256": _digest(F.col("output")), "restored_sha256": _digest(back)}
+    return found.withColumns(digests).drop("output")
+
+
+def _digest(text: Column) -> Column:
+    return F.sha2(text.cast("binary"), 256)
+
+
 def queries() -> dict[str, Query]:
     found = (
         op1_language,
@@ -73,6 +110,8 @@ def queries() -> dict[str, Query]:
         op8_jaccard,
         op9_rules,
         op10_sharding,
+        op11_pieces,
+        op12_infill,
     )
     return {f.__name__: f for f in found}
 
@@ -212,6 +251,35 @@ FROM documents d LEFT JOIN sizes s USING (doc_id) LEFT JOIN parts p ON p.node =
 """
 
 
+_INFILL = r"""
+WITH cut AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS units,
+         sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS d
+  FROM documents),
+drawn AS (
+  SELECT doc_id, text, units, len(units)::BIGINT AS n, ('0x' || substr(d, 1, 8))::BIGINT AS h1,
+         ('0x' || substr(d, 9, 8))::BIGINT AS h2, ('0x' || substr(d, 17, 8))::BIGINT AS h3,
+         ('0x' || substr(d, 25, 8))::BIGINT AS h4
+  FROM cut),
+parts AS (
+  SELECT doc_id, text, n,
+         array_to_string(units[1:least(h1 % (n + 1), h2 % (n + 1))], '') AS p,
+         array_to_string(units[least(h1 % (n + 1), h2 % (n + 1)) + 1:greatest(h1 % (n + 1), h2 % (n + 1))], '') AS m,
+         array_to_string(units[greatest(h1 % (n + 1), h2 % (n + 1)) + 1:n], '') AS s,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                   OR h3 % 100 >= 50 THEN 'plain'
+              WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM drawn)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END::BIGINT AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m) END::BIGINT AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+              ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """Models, token ids and the curve's quantiles have no SQL; tests hold them to brute force."""
     return {
@@ -219,4 +287,5 @@ def oracle_sql() -> dict[str, str]:
         "op4_mixing": _MIXING,
         "op6_lines": _LINES,
         "op8_jaccard": _JACCARD,
+        "op12_infill": _INFILL,
     }
