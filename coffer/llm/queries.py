@@ -21,6 +21,7 @@ from coffer.llm import (
     rules,
     sharding,
     toxicity,
+    tries,
 )
 from coffer.llm.frames import table
 
@@ -94,6 +95,10 @@ def op12_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumns(digests).drop("output")
 
 
+def op13_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tries.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 def _digest(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
 
@@ -112,6 +117,7 @@ def queries() -> dict[str, Query]:
         op10_sharding,
         op11_pieces,
         op12_infill,
+        op13_trie,
     )
     return {f.__name__: f for f in found}
 
@@ -280,6 +286,51 @@ FROM parts
 """
 
 
+# The checksum of a conversation's number, bit by bit; SQL has no function for it.
+_CRC32 = """
+xor(list_reduce(
+  list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: ascii(c)::BIGINT),
+  lambda crc, byte: list_reduce(
+    range(8), lambda a, k: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, xor(crc, byte)),
+  4294967295::BIGINT), 4294967295)
+"""
+
+_TRIE = rf"""
+WITH convs AS (
+  SELECT conv_id AS c, conv_id - conv_id % 20 AS base, {_CRC32} % 4 AS h
+  FROM (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL)),
+turns AS (
+  SELECT conv_id AS c, struct_pack(r := coalesce(role, ''), t := coalesce(text, '')) AS turn,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i
+  FROM conversations WHERE conv_id IS NOT NULL),
+whole AS (SELECT c, list(turn ORDER BY i) AS turns FROM turns GROUP BY c),
+rebuilt AS (
+  SELECT v.c, list_concat(coalesce(b.turns, [])[1:v.h], w.turns[v.h + 1:]) AS path
+  FROM convs v JOIN whole w ON w.c = v.c LEFT JOIN whole b ON b.c = v.base),
+steps AS (
+  SELECT c, path, unnest(range(0, len(path) + 1)) AS depth FROM rebuilt),
+member AS (SELECT c, depth, len(path) AS length, path[1:depth] AS node FROM steps),
+nodes AS (
+  SELECT node, depth, min(c) AS conv_id, count(*) AS n_convs,
+         coalesce(string_agg(CASE WHEN length = depth THEN CAST(c AS VARCHAR) END, ',' ORDER BY c), '') AS ends,
+         (count(*) - 1) * CASE WHEN depth = 0 THEN 0 ELSE
+           len(regexp_extract_all(node[depth].t, '{_WORD}')) END AS saved
+  FROM member GROUP BY node, depth),
+kids AS (
+  SELECT p.node, count(k.node) AS n FROM nodes p
+  LEFT JOIN nodes k ON k.depth = p.depth + 1 AND k.node[1:p.depth] = p.node GROUP BY p.node),
+above AS (SELECT node, unnest(range(0, depth + 1)) AS d FROM nodes),
+totals AS (
+  SELECT a.node[1:a.d] AS node, sum(n.saved) AS saved, count(*) FILTER (k.n = 0) AS leaves
+  FROM above a JOIN nodes n ON n.node = a.node JOIN kids k ON k.node = a.node GROUP BY 1)
+SELECT n.conv_id, n.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs::BIGINT AS n_convs,
+       k.n::BIGINT AS n_children, t.leaves::BIGINT AS n_leaves, t.saved::BIGINT AS saved_tokens,
+       sha256(n.ends) AS ends_sha256
+FROM nodes n JOIN kids k ON k.node = n.node JOIN totals t ON t.node = n.node
+LEFT JOIN nodes p ON n.depth > 0 AND p.depth = n.depth - 1 AND p.node = n.node[1:n.depth - 1]
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """Models, token ids and the curve's quantiles have no SQL; tests hold them to brute force."""
     return {
@@ -288,4 +339,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_lines": _LINES,
         "op8_jaccard": _JACCARD,
         "op12_infill": _INFILL,
+        "op13_trie": _TRIE,
     }
