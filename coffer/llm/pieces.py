@@ -18,6 +18,7 @@ from __future__ import annotations
 import re
 from array import array
 from functools import cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,7 @@ MARK = "▁"
 BATCH_ROWS = 200
 
 # A worker's memory of words and of pairs of pieces.
-WORDS, PAIRS = 600_000, 500_000
+WORDS, PAIRS = 1_000_000, 500_000
 
 # Longer words are not remembered.
 WORD_CHARS = 64
@@ -45,10 +46,12 @@ NONE = -1
 class _Memory(dict):
     """Results of a function by argument: the last ``size / 2`` new ones at least, ``size`` at most."""
 
-    def __init__(self, function, size: int):
-        self.function, self.half, self.older = function, size // 2, {}
+    def __init__(self, function, size: int, kept=lambda key: True):
+        self.function, self.half, self.older, self.kept = function, size // 2, {}, kept
 
     def __missing__(self, key):
+        if not self.kept(key):
+            return self.function(key)
         value = self.older.get(key)
         if value is None:
             value = self.function(key)
@@ -79,19 +82,20 @@ class PieceEncoder:
             raise ValueError("a piece holds a character that is none")
         self.pieces = [m.id_to_piece(i) for i in range(m.get_piece_size())]
         self.sizes = [len(piece) for piece in self.pieces]
+        self.characters = {piece: i for piece, i in self.ids.items() if len(piece) == 1}
         self.automaton = ahocorasick.Automaton()
         for piece, i in self.ids.items():
-            # One that merges do not lead to is never part of a result.
-            if len(piece) == 1 or self.merged(piece) == [piece]:
+            # One that merges do not lead to is never part of a result; characters are looked up.
+            if len(piece) > 1 and self.merged(piece) == [piece]:
                 self.automaton.add_word(piece, i)
         self.automaton.make_automaton()
         # The longest shorter piece that each begins with.
         self.shorter = [NONE] * len(self.pieces)
         for piece, i in self.ids.items():
             begins = (piece[:k] for k in range(len(piece) - 1, 0, -1))
-            self.shorter[i] = next((self.automaton.get(head) for head in begins if head in self.automaton), NONE)
+            self.shorter[i] = next((self.ids[head] for head in begins if len(head) == 1 or head in self.automaton), NONE)
         self.pairs = _Memory(self._goes_together, PAIRS)
-        self.words = _Memory(self._word_ids, WORDS)
+        self.words = _Memory(self._word_ids, WORDS, lambda word: len(word) <= WORD_CHARS)
         self._cut = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
     def merged(self, text: str) -> list[str]:
@@ -114,26 +118,26 @@ class PieceEncoder:
     def _word_ids(self, word: str) -> bytes:
         sizes, shorter, pairs, total = self.sizes, self.shorter, self.pairs, len(self.pieces)
         n = len(word)
-        longest = [NONE] * n
+        longest = [*map(self.characters.get, word, repeat(NONE, n))]
         for end, piece in self.automaton.iter(word):
             # Of pieces that begin at one place the longer ones end later.
             longest[end + 1 - sizes[piece]] = piece
         out: list[int] = []  # ids, and characters without a piece as numbers below NONE
-        failed = None
+        failed = unknown = None
         at, last, piece = 0, NONE, longest[0]
         while True:
-            while piece != NONE:
+            while piece >= 0:
                 end = at + sizes[piece]
-                if not (failed and failed[end >> 3] >> (end & 7) & 1) and (last < 0 or pairs[last * total + piece]):
+                if (last < 0 or pairs[last * total + piece]) and not (failed and failed[end >> 3] >> (end & 7) & 1):
                     break
                 piece = shorter[piece]
-            if piece != NONE:
+            if piece >= 0:
                 out.append(piece)
                 at, last = end, piece
             elif longest[at] == NONE:
                 # Nothing merges with a character that no piece holds.
                 out.append(NONE - 1 - ord(word[at]))
-                at, last = at + 1, NONE
+                at, last, unknown = at + 1, NONE, True
             else:
                 failed = failed or bytearray(n // 8 + 1)
                 failed[at >> 3] |= 1 << (at & 7)
@@ -143,12 +147,10 @@ class PieceEncoder:
                 piece = shorter[taken]
                 continue
             if at == n:
-                return self._with_bytes(out)
+                return self._with_bytes(out) if unknown else array("i", out).tobytes()
             piece = longest[at]
 
     def _with_bytes(self, found: list[int]) -> bytes:
-        if min(found) >= 0:
-            return array("i", found).tobytes()
         ids = array("i")
         for i in found:
             if i >= 0:
@@ -161,9 +163,7 @@ class PieceEncoder:
         if not text:
             return np.zeros(0, dtype=np.int32)
         words = self._cut.findall(MARK + text.replace(" ", MARK))
-        known, once = self.words, self._word_ids
-        found = b"".join([known[w] if len(w) <= WORD_CHARS else once(w) for w in words])
-        return np.frombuffer(found, dtype=np.int32)
+        return np.frombuffer(b"".join(map(self.words.__getitem__, words)), dtype=np.int32)
 
 
 def _require_plain(model) -> None:

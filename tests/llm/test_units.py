@@ -64,7 +64,7 @@ def test_long_runs(library, text):
 def test_all_pieces_are_reached_from_themselves_or_left_out(library):
     own = pieces.encoder(MODEL)
     for piece in own.ids:
-        assert (own.merged(piece) == [piece]) == (piece in own.automaton)
+        assert (own.merged(piece) == [piece]) == (len(piece) == 1 or piece in own.automaton)
 
 
 def test_memory_is_bounded():
