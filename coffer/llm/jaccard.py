@@ -11,10 +11,11 @@ signatures; sets that share one are compared.
 
 Subsets without elements would be shared by unrelated sets.  They give no signature: spare
 partitions make up for them.  A set that still has too few full partitions gives the
-signatures of another deal as well.  Of two similar sets, the one that has enough full
-partitions first decides: up to that deal both give all signatures.
+signatures of another deal as well, to as many partitions as the smallest sets of its band
+fill best.  Of two similar sets, the one that has enough full partitions first decides: up
+to that deal both give all signatures.
 
-Before sets are compared, parities are, 256 at first and 4096 then: each holds whether a set
+Before sets are compared, parities are, 1024 at first and 4096 then: each holds whether a set
 has an odd number of the elements hashed to it, so two sets differ in at least as many
 elements as parities.  This refutes most pairs that share a passage only, and never a pair
 that matches.
@@ -23,7 +24,7 @@ that matches.
 from __future__ import annotations
 
 import math
-from itertools import combinations
+from itertools import combinations, count
 
 import numpy as np
 import pyarrow as pa
@@ -45,11 +46,11 @@ PARTS, LEAVE = 2, 1
 # Spare partitions, as a share and a number.
 SPARE, SPARE_MORE = 0.16, 1
 
-# A set with too few full partitions is dealt anew up to this often.
-DEALS = 24
-
 # Words of 64 parities: of every set, and of those that share a signature.
-PARITY_WORDS, MORE_PARITY_WORDS = 4, 64
+PARITY_WORDS, MORE_PARITY_WORDS = 16, 64
+
+# Signatures of each set that are compared pair by pair first.
+FEW = 16
 
 _PARITIES = [f"p{i}" for i in range(PARITY_WORDS)]
 
@@ -80,11 +81,25 @@ def shingle_sets(t: Texts, width: int) -> tuple[np.ndarray, np.ndarray]:
     return grams[order], texts[order]
 
 
-Plan = list[tuple[int, int, int, int]]
+Plan = list[tuple[int, int, int, int, int]]
+
+
+def _roomy(least: int, enough: int) -> int:
+    """Partitions of which a set of ``least`` elements most surely fills ``enough``.
+
+    The expected number of full ones less three deviations, over the numbers from ``enough`` on.
+    """
+
+    def surely(n: int) -> float:
+        full = (1.0 - (1.0 - 1.0 / (n * PARTS)) ** least) ** PARTS
+        return n * full - 3.0 * math.sqrt(n * full * (1.0 - full)) - enough
+
+    return max((enough + k * max(enough // 50, 1) for k in range(60)), key=surely)
 
 
 def band_plan(percent: int) -> Plan:
-    """For each group of sizes: least and largest size, partitions, full ones that suffice.
+    """For each group of sizes: least and largest size, partitions of the first deal and of those
+    after it, full ones that suffice.
 
     Even places are bands, odd ones the spans around the border to the next band: from the
     least size that may match the first size beyond to the largest that may match the last
@@ -97,7 +112,8 @@ def band_plan(percent: int) -> Plan:
         for least, most, total in ((low, high, 2 * high), (-(-(high + 1) * percent // 100), over, high + over)):
             distance = total * (100 - percent) // (100 + percent)
             enough = distance // (LEAVE + 1) + 1
-            plan.append((least, most, math.ceil(enough * (1 + SPARE)) + SPARE_MORE if distance else 0, enough))
+            first = math.ceil(enough * (1 + SPARE)) + SPARE_MORE
+            plan.append((least, most, *((first, _roomy(least, enough)) if distance else (0, 0)), enough))
         low = high + 1
     return plan
 
@@ -109,10 +125,11 @@ def signatures(shingles: np.ndarray, percent: int, plan: Plan) -> np.ndarray:
     subsets = list(combinations(range(PARTS), PARTS - LEAVE))
     out = []
     for group in range(max(own - 1, 0), own + 2):
-        least, most, n, enough = plan[group]
-        if not n or not least <= size <= most:
+        least, most, first, later, enough = plan[group]
+        if not first or not least <= size <= most:
             continue
-        for deal in range(DEALS):
+        for deal in count():
+            n = later if deal else first
             tag = _U64((group << 16) | (deal << 4))
             place = mix(shingles ^ mix(np.array([tag], dtype=np.uint64)))
             cell = ((place >> _U64(32)) % _U64(n * PARTS)).astype(np.int64)
@@ -131,9 +148,6 @@ def signatures(shingles: np.ndarray, percent: int, plan: Plan) -> np.ndarray:
                 good &= some
             if good.sum() >= enough:
                 break
-        else:
-            # Never seen in practice: nearly all elements met in a few cells each time.
-            out.append(mix(np.array([(group << 16) | 15], dtype=np.uint64)))
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
@@ -290,6 +304,7 @@ def similar_documents(
         "equal_sets",
     )
     candidates = materialise(_candidates(docs, profiles, groups, percent, width, id_col, text_col), "candidates")
+    candidates = materialise(_distinct_groups(candidates), "candidates")
     marks = groups.filter("rep IS NOT NULL").select(F.col("rep").alias("id"), F.struct("n", *_PARITIES).alias("mark"))
     components = _linked(docs, candidates, marks, percent, width, id_col, text_col)
 
@@ -322,6 +337,17 @@ def _candidates(docs, profiles, groups, percent, width, id_col, text_col) -> Dat
     return ends.filter("first < last")
 
 
+def _distinct_groups(candidates: DataFrame) -> DataFrame:
+    """Candidates of one signature for each set of members: similar texts share many signatures.
+
+    Members are told by their number and a 128-bit sum of their hashes.
+    """
+    hashes = [F.expr(f"bit_xor(xxhash64({salt}, id))").alias(f"h{salt}") for salt in (1, 2)]
+    members = candidates.groupBy("sig").agg(F.count(F.lit(1)).alias("n"), *hashes)
+    kept = members.groupBy("n", "h1", "h2").agg(F.min("sig").alias("sig")).select("sig")
+    return checked_join(candidates, materialise(kept, "signatures"), ["sig"], "left_semi")
+
+
 def _linked(docs, candidates, marks, percent, width, id_col, text_col) -> DataFrame:
     """Components of the candidates."""
     ids = materialise(candidates.select("id").distinct(), "candidate_ids")
@@ -346,13 +372,28 @@ def _linked(docs, candidates, marks, percent, width, id_col, text_col) -> DataFr
     # The same with the greatest id, where the two are not yet connected.
     parts = _joined(parts, verified(pairs("last", _apart(candidates, parts))))
 
-    # What is still apart is compared pair by pair, as far as sizes and parities allow.
+    # What is still apart is compared pair by pair, as far as sizes and parities allow.  Pairs that
+    # nearly match share most signatures, so the few least of each set find nearly all of them; what
+    # follows compares those alone that share none of these, and so no pair a second time.
+    least = Window.partitionBy("id").orderBy("sig")
     placed = materialise(_open(candidates, parts, marks), "open")
-    left = placed.select("sig", F.col("id").alias("a"), F.col("part").alias("pa"), F.col("mark").alias("ma"))
-    right = placed.select("sig", F.col("id").alias("b"), F.col("part").alias("pb"), F.col("mark").alias("mb"))
-    apart = (F.col("a") < F.col("b")) & (F.col("pa") != F.col("pb")) & _may_match("ma", "mb", percent)
-    rest = left.join(right, (left["sig"] == right["sig"]) & apart).select("a", "b").distinct()
-    return _joined(parts, verified(rest))
+    some = placed.withColumn("place", F.row_number().over(least)).filter(F.col("place") <= FEW).drop("place")
+    some = materialise(some, "few_signatures")
+    parts = _joined(parts, verified(_met(some, F.lit(True), percent)))
+
+    few = some.groupBy("id").agg(F.collect_list("sig").alias("few"))
+    known = materialise(marks.join(few, "id").select("id", "mark", "few"), "marks")
+    rest = materialise(_open(candidates, parts, known), "open")
+    return _joined(parts, verified(_met(rest, ~F.arrays_overlap("few_a", "few_b"), percent)))
+
+
+def _met(rows: DataFrame, more: Column, percent: int) -> DataFrame:
+    """Pairs ``a``, ``b`` of different components that share a signature and may match."""
+    named = lambda end: [F.col(c).alias("sig" if c == "sig" else f"{c}_{end}") for c in rows.columns]
+    apart = (F.col("id_a") < F.col("id_b")) & (F.col("part_a") != F.col("part_b"))
+    both = rows.select(*named("a")).join(rows.select(*named("b")).withColumnRenamed("sig", "sig_b"), F.col("sig") == F.col("sig_b"))
+    met = both.filter(apart & _may_match("mark_a", "mark_b", percent) & more)
+    return met.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
 
 
 def _joined(parts: DataFrame, links: DataFrame) -> DataFrame:

@@ -161,3 +161,10 @@ def test_line_dedup_of_odd_rows(documents):
     assert got.count((9500, 4, 3, "a")) == 2  # the row without an id comes first
     assert (9001, 0, 0, None) in got and (9002, 0, 0, "") in got and (9011, 0, 0, "\n\n\n") in got
     assert lines.line_dedup(documents([])).count() == 0
+
+
+def test_signatures_with_equal_members_are_one(spark):
+    rows = [(sig, i) for sig, members in enumerate([(1, 2, 3), (1, 2), (1, 2, 3), (2, 3), (1, 2)]) for i in members]
+    frame = spark.createDataFrame(rows, "sig bigint, id bigint")
+    kept = jaccard._distinct_groups(frame).collect()
+    assert sorted(map(tuple, kept)) == [(0, 1), (0, 2), (0, 3), (1, 1), (1, 2), (3, 2), (3, 3)]

@@ -88,3 +88,16 @@ def test_unrelated_sets_share_none():
     for _ in range(300):
         seen.update(set(signatures(rng.integers(0, 1 << 63, 90, dtype=np.uint64), 80, plan)))
     assert max(seen.values()) == 1
+
+
+@pytest.mark.parametrize("size", [300, 2585, 2600, 6313, 9865, 37635])
+def test_small_sets_of_a_band_have_full_partitions_too(size):
+    """The least sizes of bands fill fewest partitions; a second deal is enough, and none is shared by all."""
+    plan = band_plan(80)
+    rng = np.random.default_rng(size)
+    sets = [np.sort(rng.integers(0, 1 << 63, size, dtype=np.uint64)) for _ in range(4)]
+    made = [signatures(s, 80, plan) for s in sets]
+    assert all(len(m) < 1.7 * size for m in made)
+    assert len(set().union(*map(set, made))) == sum(len(set(m)) for m in made)
+    near = np.concatenate([sets[0][size // 10 :], rng.integers(0, 1 << 63, size // 10, dtype=np.uint64)])
+    assert set(signatures(np.sort(near), 80, plan)) & set(made[0])
