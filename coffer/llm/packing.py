@@ -3,14 +3,13 @@
 The cost of a piece is estimated as a linear part plus a part that grows with its square,
 as attention does within a document.  Documents are packed in pools: whole sequences are
 cut off long documents, then what is left goes, longest first, to the sequence of least
-cost that still has room for it.  A piece that fits nowhere is cut to fill the room that
-is left, so all sequences of a pool but the last are full.
+cost among all that still have room for it.  A piece that fits nowhere is cut to fill the
+room that is left, so all sequences of a pool but the last are full.
 """
 
 from __future__ import annotations
 
 import base64
-import heapq
 import re
 import zlib
 from collections.abc import Iterator
@@ -65,53 +64,39 @@ def pack(sizes: list[int], length: int = LENGTH) -> list[tuple[int, int, int, in
     rest.sort(key=lambda r: (-r[0], r[1]))
     n = -(-sum(r[0] for r in rest) // length)
     # The last sequence takes what does not fill one; its end is the only room left over.
-    room = [length] * n
+    room = np.full(n, length, dtype=np.int64)
     if n:
         room[-1] = sum(r[0] for r in rest) - (n - 1) * length
-    used, spent = [0] * n, [0.0] * n
-    heap = [(0.0, i) for i in range(n)]
+    used, spent = np.zeros(n, dtype=np.int64), np.zeros(n)
 
     def put(doc: int, start: int, size: int, i: int) -> None:
-        pieces.append((doc, start, size, done + i, used[i]))
+        pieces.append((doc, start, size, done + i, int(used[i])))
         used[i] += size
         room[i] -= size
         spent[i] += cost(size)
 
     for size, doc, start in rest:
-        passed, at = [], None
-        while heap:
-            entry = heapq.heappop(heap)
-            if room[entry[1]] >= size:
-                at = entry[1]
-                break
-            passed.append(entry)
-            # Pieces come in falling size; look no further than this many too full ones.
-            if len(passed) >= 64:
-                break
-        if at is not None:
+        costs = np.where(room >= size, spent, np.inf)
+        at = int(costs.argmin())
+        if costs[at] < np.inf:
             put(doc, start, size, at)
-        while at is None and size:
+            continue
+        while size:
             # No room for the whole: fill sequences, the cheapest first.
-            entry = passed.pop(0) if passed else heapq.heappop(heap)
-            part = min(size, room[entry[1]])
-            put(doc, start, part, entry[1])
+            at = int(np.where(room > 0, spent, np.inf).argmin())
+            part = min(size, int(room[at]))
+            put(doc, start, part, at)
             start, size = start + part, size - part
-            if room[entry[1]]:
-                passed.append((spent[entry[1]], entry[1]))
-        if at is not None and room[at]:
-            heapq.heappush(heap, (spent[at], at))
-        for _, i in passed:
-            if room[i]:
-                heapq.heappush(heap, (spent[i], i))
     return pieces
 
 
-def _encoder(path: str, pattern: str):
+def _encoder(path: str, pattern: str, special: dict[str, int]):
     """Function from a text to its ids, for a byte-level vocabulary of ranks.
 
-    Strings of special tokens count as ordinary text.  ``pattern`` has to end in the rule
-    for white space of byte-level vocabularies: a run before other text leaves its last
-    character to what follows and is one piece else.  Runs beyond ``SAFE_RUN`` are cut by it here.
+    The strings of ``special`` are tokens of their own wherever a text holds them.
+    ``pattern`` has to end in the rule for white space of byte-level vocabularies: a run
+    before other text leaves its last character to what follows and is one piece else, at
+    the end as before a special token.  Runs beyond ``SAFE_RUN`` are cut by it here.
     """
     import tiktoken
 
@@ -120,19 +105,26 @@ def _encoder(path: str, pattern: str):
 
     with open(path, "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-    own = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    own = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
     white = tiktoken.Encoding("white", pat_str=r"\s+", mergeable_ranks=ranks, special_tokens={})
     long_run = re.compile(rf"(?<!{_WHITE}){_WHITE}{{{SAFE_RUN + 1},}}")
+    marks = tuple(special)
+
+    def plain(text: str) -> list[int]:
+        if any(m in text for m in marks):
+            return own.encode(text, allowed_special="all")
+        return own.encode_ordinary(text)
 
     def encode(text: str) -> list[int]:
         ids, at = [], 0
         if len(text) > SAFE_RUN:
             for run in long_run.finditer(text):
-                end = run.end() - (run.end() < len(text))
-                ids += own.encode_ordinary(text[at : run.start()])
+                followed = run.end() < len(text) and not text.startswith(marks, run.end())
+                end = run.end() - followed
+                ids += plain(text[at : run.start()])
                 ids += white.encode_ordinary(text[run.start() : end])
                 at = end
-        return ids + own.encode_ordinary(text[at:]) if at else own.encode_ordinary(text)
+        return ids + plain(text[at:]) if at else plain(text)
 
     return encode
 
@@ -175,6 +167,7 @@ def pack_documents(
     docs: DataFrame,
     vocabulary: str,
     pattern: str,
+    special: dict[str, int],
     length: int = LENGTH,
     end_id: int = END_ID,
     id_col: str = "doc_id",
@@ -183,8 +176,8 @@ def pack_documents(
     """One row per piece: ``doc_id``, ``start``, ``length``, ``ids_crc32``, ``doc_tokens``,
     ``sequence_id``, ``offset``.
 
-    ``vocabulary`` is the file of ranks and ``pattern`` what splits a text before merges;
-    both must be readable on every worker.  Every document ends with ``end_id``, so a NULL
+    ``vocabulary`` is the file of ranks, readable on every worker, ``pattern`` what splits a
+    text before merges, and ``special`` has the ids of strings that are tokens in themselves.  Every document ends with ``end_id``, so a NULL
     or empty text is one token.  Every row in is a document of its own, repeated rows and
     NULL ids included.  Token ids never leave the task that made them: pools are filled from the rows of a
     partition in their order, and a partition that runs again gives the same pieces.  Each
@@ -201,7 +194,7 @@ def pack_documents(
             return
         numbers = ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
         schema = pa.schema([pa.field("id", head.schema.field("id").type)] + [pa.field(n, pa.int64()) for n in numbers])
-        encode = _encoder(vocabulary, pattern)
+        encode = _encoder(vocabulary, pattern, special)
         yield from _piece_batches(
             schema, TaskContext.get().partitionId(), length, end_id, encode, chain([head], batches)
         )

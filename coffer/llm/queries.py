@@ -29,6 +29,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # The vocabulary of byte_bpe_50k.json as ranks; ids are the same (see the tests).
 VOCABULARY = "byte_bpe_50k.tiktoken"
+SPECIAL = {"<|endoftext|>": 50256}
 
 PIECES = "piece_bpe_32k.model"
 
@@ -54,7 +55,7 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def packed(docs: DataFrame) -> DataFrame:
-    return packing.pack_documents(docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
+    return packing.pack_documents(docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN, SPECIAL)
 
 
 def op6_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,7 +128,7 @@ _WORD = r"[^\x20\x09-\x0D]+"
 # The same draws, targets and order; the cut is found by a running sum.
 _MIXING = rf"""
 WITH docs AS (
-  SELECT doc_id, source, CAST(doc_id AS VARCHAR) AS id,
+  SELECT doc_id, source, CAST(doc_id AS VARCHAR) || ':' || md5(coalesce(text, '')) AS draw,
          coalesce(len(regexp_extract_all(text, '{_WORD}')), 0)::BIGINT AS size
   FROM documents),
 sizes AS (
@@ -154,19 +155,32 @@ shares AS (
 parts AS (
   SELECT *, least(floor(often), 3)::BIGINT AS whole, greatest(often - least(floor(often), 3), 0) AS share
   FROM shares),
+classes AS (
+  SELECT source, list({{w: weight, n: words}} ORDER BY weight) AS c FROM (
+    SELECT source, sqrt(pow(2.0::DOUBLE, length(bin(size)))) AS weight, sum(size)::DOUBLE AS words
+    FROM docs WHERE size > 0 GROUP BY 1, 2) GROUP BY source),
+factors AS (
+  SELECT p.source, list_reduce(
+      list_prepend({{low: 0::DOUBLE, high: share / (1 - share) / c[1].w}},
+                   list_transform(range(60), lambda i: {{low: 0::DOUBLE, high: 0::DOUBLE}})),
+      lambda s, i: CASE
+        WHEN list_sum(list_transform(c, lambda k: k.n * ((s.low + s.high) / 2 * k.w)
+                                                  / (1 + (s.low + s.high) / 2 * k.w))) < share * source_size
+        THEN {{low: (s.low + s.high) / 2, high: s.high}} ELSE {{low: s.low, high: (s.low + s.high) / 2}} END).high AS factor
+  FROM parts p JOIN classes k ON k.source IS NOT DISTINCT FROM p.source WHERE share > 0 AND whole < 3),
 drawn AS (
-  SELECT d.doc_id, d.id, d.size, p.source, p.source_size, p.target, p.whole, p.share,
-         (('0x' || substr(md5('mix:' || d.id), 1, 12))::BIGINT::DOUBLE + 0.5) / 281474976710656.0::DOUBLE AS u
-  FROM docs d JOIN parts p ON d.source IS NOT DISTINCT FROM p.source),
+  SELECT d.doc_id, d.draw, d.size, p.source, p.source_size, p.target, p.whole, p.share, f.factor,
+         (('0x' || substr(md5('mix:' || d.draw), 1, 12))::BIGINT::DOUBLE + 0.5) / 281474976710656.0::DOUBLE AS u
+  FROM docs d JOIN parts p ON d.source IS NOT DISTINCT FROM p.source
+  LEFT JOIN factors f ON f.source IS NOT DISTINCT FROM p.source),
 odds AS (
-  SELECT *, CASE WHEN share > 0 AND whole < 3 AND size > 0
-            THEN (u / (1 - u)) / (share / (1 - share) * sqrt(1 + size::DOUBLE)) END AS q
+  SELECT *, CASE WHEN size > 0 THEN (u / (1 - u)) / (factor * sqrt(pow(2.0::DOUBLE, length(bin(size))))) END AS q
   FROM drawn),
 ranked AS (
   SELECT *, q / (1 + q) AS rank, share * source_size AS want FROM odds),
 ended AS (
   SELECT *, CASE WHEN rank IS NOT NULL THEN sum(size) OVER (
-              PARTITION BY source ORDER BY rank NULLS LAST, id ROWS UNBOUNDED PRECEDING) END AS reach
+              PARTITION BY source ORDER BY rank NULLS LAST, draw ROWS UNBOUNDED PRECEDING) END AS reach
   FROM ranked),
 gaps AS (
   SELECT *, coalesce(reach <= want, false) AS fits,
@@ -175,7 +189,7 @@ gaps AS (
 lasts AS (
   SELECT *, CASE WHEN rank IS NOT NULL AND NOT fits AND abs(size - gap) < gap THEN row_number() OVER (
               PARTITION BY source ORDER BY CASE WHEN rank IS NOT NULL AND NOT fits THEN abs(size - gap) END
-              NULLS LAST, rank NULLS LAST, id) END AS place
+              NULLS LAST, rank NULLS LAST, draw) END AS place
   FROM gaps)
 SELECT doc_id, size, source_size, target,
        (size * (whole + CASE WHEN fits OR coalesce(place = 1, false) THEN 1 ELSE 0 END))::BIGINT AS taken
