@@ -7,8 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Ids that are broadcast take some tens of MB at most.
+from coffer.operators.lookup import measured
+
+# Rows and bytes that are broadcast at most: some tens of MB.
 BROADCAST_IDS = 400_000
+BROADCAST_BYTES = 48 << 20
 
 # Rows of one Arrow batch: a thousand long texts still fit a Python worker.
 BATCH_ROWS = 1000
@@ -32,11 +35,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def checked_join(
     big: DataFrame, small: DataFrame, on: Column | Sequence[str], how: str, limit: int = BROADCAST_IDS
 ) -> DataFrame:
-    """Join to a written table of narrow rows: broadcast after a count, shuffled beyond ``limit``.
+    """Join to a written table of narrow rows: broadcast after a count of rows and bytes, shuffled
+    beyond ``limit`` and ``BROADCAST_BYTES``.
 
     Both ways give the same rows; only the plan differs.
     """
-    if small.count() <= limit:
+    rows, size = measured(small)
+    if rows <= limit and size <= BROADCAST_BYTES:
         small = F.broadcast(small)
     return big.join(small, on, how)
 

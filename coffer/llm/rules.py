@@ -26,7 +26,9 @@ from coffer.session import materialise
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 
 # Rate of good texts rejected in a stratum, and the chance that any bound is wrong.
-FALSE_REJECTION, RISK = 0.005, 0.05
+# A holdout of n good texts, none rejected, proves the rate from ln(share of the risk) / ln(1 - rate)
+# on: 203 texts in each of three strata.
+FALSE_REJECTION, RISK = 0.02, 0.05
 
 # Strata are bands of the number of words; a text below the first fails anyway.
 BANDS = (MIN_WORDS, 200, 600)
@@ -128,18 +130,19 @@ def choose(
     ``good`` and ``bad`` count holdout texts by stratum and by the first level that
     rejects them, with those that none rejects last.  The bound says: were the true rate
     of false rejection as high as ``rate``, so few rejections had a chance below the
-    stratum's part of ``risk``.  Of the cutoffs before the first failure the one that best
+    stratum's part of ``risk``, which strata without good holdout texts do not share.  Of the cutoffs before the first failure the one that best
     parts bad from good texts is taken, the more lenient of equals; without one, nothing is
     rejected by these rules.
     """
     levels, strata, rules = cutoffs.shape
+    sharing = max(int((good.sum(axis=1) > 0).sum()), 1)
     out = np.full((strata, rules), STEPS, dtype=np.int64)
     for s in range(strata):
         n, n_bad = int(good[s].sum()), max(int(bad[s].sum()), 1)
         best = 0.0
         for level in range(levels):
             wrong = int(good[s, : level + 1].sum())
-            if wrong >= rate * n or log_tail(wrong, n, rate) > math.log(risk / strata):
+            if wrong >= rate * n or log_tail(wrong, n, rate) > math.log(risk / sharing):
                 break
             gain = bad[s, : level + 1].sum() / n_bad - wrong / n
             if gain > best:
@@ -158,15 +161,16 @@ def fit(
 ) -> Cutoffs:
     """Cutoffs from all labelled texts that pass the base rules.
 
-    Halves are told apart by a hash of the id.  Texts are read once, to a table of steps;
-    from it counts by stratum, rule and step are summed in Spark, whose number is fixed.
+    Halves are told apart by a hash of the text.  Texts are read once, to a table of steps,
+    in which equal texts (by a 128-bit hash) become one; from it counts by stratum, rule and
+    step are summed in Spark, whose number is fixed.
     """
     bounded_batches(docs.sparkSession)
     known = labels.filter(F.col(label).isin(0, 1) & F.col(id_col).isNotNull())
-    known = materialise(known.groupBy(id_col).agg(F.min(label).cast("int").alias("y")), "labels")
-    half = F.pmod(F.xxhash64(F.lit("holdout"), F.col(id_col)), F.lit(2)).cast("int").alias("half")
+    known = materialise(known.groupBy(id_col).agg(F.max(label).cast("int").alias("y")), "labels")
     texts = docs.filter(F.col(text_col).isNotNull()).select(id_col, F.col(text_col).alias("text"))
-    texts = checked_join(texts, known, id_col, "inner").select("y", half, "text")
+    marks = [F.xxhash64(F.lit("holdout"), "text").alias("m1"), F.xxhash64("text").alias("m2")]
+    texts = checked_join(texts, known, id_col, "inner").select("y", *marks, "text")
 
     def rows(batches):
         for batch in batches:
@@ -177,16 +181,19 @@ def fit(
                 steps = _steps(stats)[fine].astype(np.uint8)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column("y").take(pa.array(fine + done)),
-                        batch.column("half").take(pa.array(fine + done)),
+                        *(batch.column(c).take(pa.array(fine + done)) for c in ("y", "m1", "m2")),
                         pa.array(_strata(stats)[fine].astype(np.int32)),
                         pa.array([r.tobytes() for r in steps], pa.binary()),
                     ],
-                    ["y", "half", "stratum", "steps"],
+                    ["y", "m1", "m2", "stratum", "steps"],
                 )
                 done += len(t)
 
-    found = materialise(texts.mapInArrow(rows, "y int, half int, stratum int, steps binary"), "steps")
+    found = texts.mapInArrow(rows, "y int, m1 bigint, m2 bigint, stratum int, steps binary")
+    # Equal texts have equal numbers; sums over them collapse before rows move.
+    once = found.groupBy("m1", "m2", "stratum", "steps").agg(F.max("y").alias("y"))
+    half = F.pmod(F.xxhash64(F.lit("half"), "m1", "m2"), F.lit(2)).cast("int").alias("half")
+    found = materialise(once.select("y", half, "stratum", "steps"), "steps")
     strata, rules = len(BANDS) + 1, len(RULES)
 
     def steps_of(batch):

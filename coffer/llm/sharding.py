@@ -1,17 +1,18 @@
 """Sharding along a Hilbert curve through the metadata of documents.
 
-Source, language and size are cut to a few steps each; the Hilbert index of the cell puts
-cells that are near in all three next to each other.  Rows in that order are cut into runs
-of equal numbers of rows, so each shard covers a small box and files can be skipped by
-any of the three.
+Source, language and size are cut to a few steps each, by the share of rows that come
+before a value in the order of all values; the Hilbert index of the cell puts cells that are
+near in all three next to each other.  Rows in that order are cut into runs of equal numbers
+of rows, so each shard covers a small box and files can be skipped by any of the three.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from coffer.operators.ranking import number_rows
+from coffer.llm.frames import checked_join
+from coffer.operators.ranking import number_rows, part_offsets, ranged
 from coffer.session import materialise
 
 SHARDS = 16
@@ -20,9 +21,6 @@ SHARDS = 16
 BITS = 5
 DIMS = 3
 
-# Rank error of the cut points is the number of rows over this.
-ACCURACY = 2000
-
 
 def _gray_tables(n: int) -> tuple[list[int], list[int], list[int]]:
     """For each corner of an ``n``-cube: its place on the Gray path, and by place the entry
@@ -87,32 +85,21 @@ def hilbert_index(coordinates: list[Column], bits: int = BITS) -> Column:
     return F.aggregate(levels, start, step, lambda state: state["h"])
 
 
-def _prefix_number(text: Column, skip: Column) -> Column:
-    """The six bytes after the first ``skip`` characters, as a number in byte order."""
-    head = F.substring(F.hex(F.encode(text.substr(skip + 1, F.lit(6)), "UTF-8")), 1, 12)
-    return F.conv(F.rpad(head, 12, "0"), 16, 10).cast("double")
-
-
-def _cuts(numbers: DataFrame, names: list[str], bits: int) -> list[list[float]]:
-    """Cut points that part each column's rows into steps of equal shares, about."""
-    shares = [i / (1 << bits) for i in range(1, 1 << bits)]
-    row = numbers.agg(*[F.percentile_approx(n, shares, ACCURACY).alias(n) for n in names]).first()
-    return [sorted(set(row[n] or [])) for n in names]
-
-
-def _stepped(number: Column, cuts: list[float]) -> Column:
-    """Number of cut points below; NULL counts as the least value."""
-    points = F.array(*[F.lit(float(c)) for c in cuts]) if cuts else F.array().cast("array<double>")
-    below = F.size(F.filter(points, lambda c: c < number))
-    return F.when(number.isNull(), F.lit(0)).otherwise(below).cast("int")
+def value_steps(rows: DataFrame, column: str, total: int, bits: int) -> DataFrame:
+    """``value`` and ``step`` of every value of ``column``: its step of ``2 ** bits`` follows from the
+    rows with lesser values, of ``total`` in all.  NULL is the least.
 
-
-def _common_prefix(low: str | None, high: str | None) -> int:
-    """Characters that all values between two texts share at their start."""
-    n = 0
-    while low and high and n < min(len(low), len(high)) and low[n] == high[n]:
-        n += 1
-    return n
+    Rows of a value are counted before they move; values are put in order by range
+    partitions and the sums of those before, so there may be any number of them.
+    """
+    values = rows.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    parts = ranged(values, [F.col("value").asc_nulls_first()], f"{column}_values")
+    earlier = Window.partitionBy("_part").orderBy("_pos").rowsBetween(Window.unboundedPreceding, -1)
+    # One offset per shuffle partition.
+    before = F.col("_offset") + F.coalesce(F.sum("n").over(earlier), F.lit(0))
+    placed = parts.join(F.broadcast(part_offsets(parts, F.sum("n"))), "_part").withColumn("before", before)
+    step = F.expr(f"cast((before * {1 << bits}) div {total} AS int)").alias("step")
+    return materialise(placed.select("value", step), f"{column}_steps")
 
 
 def shard_documents(
@@ -136,7 +123,6 @@ def shard_documents(
     the sizes of those before, so no task sees more than its range.
     """
     text = F.col(text_col).cast("string")
-    names = ["source_at", "lang_at", "size_at"]
     narrow = materialise(
         docs.select(
             F.col(id_col).alias("id"),
@@ -147,24 +133,17 @@ def shard_documents(
         ),
         "shard_rows",
     )
-    ends = narrow.agg(*[f(c) for c in ("source", "lang") for f in (F.min, F.max)]).first()
-    skips = _common_prefix(ends[0], ends[1]), _common_prefix(ends[2], ends[3])
-    numbers = narrow.select(
-        "*",
-        _prefix_number(F.col("source"), F.lit(skips[0])).alias("source_at"),
-        _prefix_number(F.col("lang"), F.lit(skips[1])).alias("lang_at"),
-        F.col("size").cast("double").alias("size_at"),
-    )
-    cuts = _cuts(numbers, names, BITS)
-    cells = numbers.select(
-        "id", "source", "lang", "size", "crc", *[_stepped(F.col(n), c).alias(n) for n, c in zip(names, cuts)]
-    )
-    placed = materialise(
-        cells.withColumn("curve", hilbert_index([F.col(n) for n in names]).cast("int")).drop(*names), "curve"
-    )
+    total = max(narrow.count(), 1)
+    dims = ["source", "lang", "size"]
+    cells = narrow
+    for dim in dims:
+        steps = value_steps(narrow, dim, total, BITS).withColumnsRenamed({"value": "_value", "step": f"{dim}_at"})
+        # A value may hold most rows; while the values are few every task has them.
+        cells = checked_join(cells, steps, F.col(dim).eqNullSafe(F.col("_value")), "inner").drop("_value")
+    at = [f"{dim}_at" for dim in dims]
+    placed = materialise(cells.withColumn("curve", hilbert_index([F.col(a) for a in at]).cast("int")).drop(*at), "curve")
     order = ["curve", "crc", "size", "source", "lang", "id"]
     ranked = number_rows(placed, order, "number", start=-1, one_task_rows=0)
-    total = max(placed.count(), 1)
     # Shard s begins at row ceil(s * total / shards).
     cut = ranked.withColumn("shard", F.expr(f"cast((number * {shards}) div {total} as int)"))
     slot = F.expr(f"number - (shard * bigint({total}) + {shards - 1}) div {shards}")
