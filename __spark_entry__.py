@@ -6,6 +6,7 @@ import os
 import sys
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,13 +16,13 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import oracle_queries  # noqa: E402
 from coffer.operators.lookup import unresolved_names  # noqa: E402
-from coffer.plans import jobs, loading, marts, quality, reports, science, views  # noqa: E402
+from coffer.plans import check_states, deltas, forecasting, jobs, loading, marts, quality, reports, science, views  # noqa: E402
 from coffer.plans.cleaning import clean_expenses  # noqa: E402
 from coffer.plans.staging import as_batch, stage_append  # noqa: E402
 from coffer.session import materialise, scratch_path  # noqa: E402
 from coffer.sources import driver_tables as tables  # noqa: E402
 from coffer.sources import sheets, zones  # noqa: E402
-from coffer.streaming.incremental import load_new_expenses  # noqa: E402
+from coffer.streaming.incremental import load_new_expenses, stream_transactions  # noqa: E402
 
 # The operators on documents are a part of their own: without it the rest works as it is.
 try:
@@ -155,12 +156,18 @@ def _skipped_plan_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain_names(_plan_item_upsert(spark, sf_dir).skipped.select("_row_idx", "plan_id", "category_id"))
 
 
-def _land(spark: SparkSession, sf_dir: str) -> str:
-    """A ledger folder with the dimensions written and the first sheets landed."""
+def _land_dimensions(spark: SparkSession, sf_dir: str) -> str:
+    """A ledger folder with the dimensions written."""
     root = scratch_path(spark, "ledger")
     ledger = tables.OrderLedger(spark, sf_dir)
     for name in ("accounts", "categories", "subcategories"):
         zones.write_snapshot(getattr(ledger, name), f"{root}/tables/{name}")
+    return root
+
+
+def _land(spark: SparkSession, sf_dir: str) -> str:
+    """A ledger folder with the dimensions written and the first sheets landed."""
+    root = _land_dimensions(spark, sf_dir)
     _land_sheet(tables.plan_sheet(spark, sf_dir), root, "plans")
     _land_sheet(tables.plan_item_sheet(spark, sf_dir), root, "plan_items")
     _land_sheet(tables.expense_sheet(spark, sf_dir), root, "expenses")
@@ -197,6 +204,50 @@ def _source_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.unionByName(second).select("run", "source", "status", *counts)
 
 
+def _landed_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three exports that land one after the other, a run with nothing new, and the raw rows after each run."""
+    root = _land_dimensions(spark, sf_dir)
+    sheet = tables.expense_sheet(spark, sf_dir)
+    runs = []
+    for run in range(1, 5):
+        if run < 4:
+            _land_sheet(sheet.filter(F.pmod(F.col("_row_idx"), F.lit(3)) == run - 1), root, "expenses", drop=run)
+        done = jobs.run_sources(spark, root, batch_id=run, only=["expenses"], new_only=True)
+        raw = zones.read_raw(spark, root, "expenses").count()
+        runs.append(done.select(F.lit(run).alias("run"), "status", "rows_in_sheet", F.lit(raw).alias("raw_rows")))
+    return reduce(DataFrame.unionByName, runs)
+
+
+def _by_deltas(mart: str) -> Query:
+    """A mart from the sums of three loads, the last of which adds to months of both others."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ledger, root = tables.OrderLedger(spark, sf_dir, written=True), scratch_path(spark, "ledger")
+        for run in (1, 2, 3):
+            part = ledger.transactions.filter(F.pmod(F.col("transaction_id"), F.lit(3)) == run - 1)
+            deltas.add(part, root, f"run-{run}")
+        return _portable(deltas.marts_of(deltas.merged_states(spark, root), ledger)[mart])
+
+    return query
+
+
+def _checked_batches(spark: SparkSession, sf_dir: str) -> str:
+    """A folder with the check states of four batches of transactions."""
+    ledger, root = tables.OrderLedger(spark, sf_dir, written=True), scratch_path(spark, "ledger")
+    for batch in range(1, 5):
+        part = ledger.transactions.filter(F.pmod(F.col("transaction_id"), F.lit(4)) == batch - 1)
+        check_states.check_batch(part, ledger, root, batch, "AFRICA")
+    return root
+
+
+def _checks_by_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return check_states.merged_report(spark, _checked_batches(spark, sf_dir))
+
+
+def _check_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return check_states.drift(spark, _checked_batches(spark, sf_dir), batch=4)
+
+
 def _dirty_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The expense sheet under numeric headers, its own header being the first row, with blank
     rows, short rows and a nameless column; written, read back and cleaned."""
@@ -218,6 +269,17 @@ def _incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _loaded_facts(spark, root)
 
 
+def _stateful_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same facts, with the keys seen kept in the stream's state."""
+    root = _land(spark, sf_dir)
+    jobs.run_sources(spark, root, batch_id=1, only=["plans", "plan_items"])
+    names = tables.expense_sheet(spark, sf_dir).drop("_row_idx").columns
+    stream_transactions(spark, root, names).awaitTermination()
+    _land_sheet(tables.expense_sheet(spark, sf_dir, revised=True), root, "expenses", drop=2)
+    stream_transactions(spark, root, names).awaitTermination()
+    return _loaded_facts(spark, root)
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: share of each category group in its month's spend."""
     return queries()["mart_category_breakdown"](spark, "/root/testdata/sf0.001")
@@ -271,6 +333,13 @@ def queries() -> dict[str, Query]:
         ("incremental_load", _incremental_load),
         ("source_status", _source_status),
         ("dirty_sheet", _dirty_sheet),
+        ("landed_once", _landed_once),
+        ("stateful_load", _stateful_load),
+        ("checks_by_batch", _checks_by_batch),
+        ("check_drift", _check_drift),
+        ("monthly_by_deltas", _by_deltas("mart_monthly_summary")),
+        ("categories_by_deltas", _by_deltas("mart_category_breakdown")),
+        ("merchants_by_deltas", _by_deltas("mart_top_merchants")),
     ):
         found[name] = query
     # The category whose transactions need a note is a region here.
@@ -285,6 +354,10 @@ def queries() -> dict[str, Query]:
         science.anomaly_iforest,
         science.spend_forecast,
         science.forecast_backtest,
+        forecasting.seasonal_backtest,
+        forecasting.seasonal_forecast,
+        forecasting.arma_backtest,
+        forecasting.arma_forecast,
     ):
         found[plan.__name__] = _on_ledger(plan)
     found["merchant_categories"] = _on_ledger(reports.merchant_categories, MERCHANTS_FROM, MERCHANTS_TO)

@@ -12,7 +12,14 @@ from coffer.functions.dates import parse_date
 from coffer.functions.numbers import to_number, whole_amount, whole_number
 from coffer.functions.text import ROW_ORDER, blank_to_null, fold, is_true, lower_headers, null_to_blank, trim
 from coffer.operators.dedupe import keep_first, keep_last
-from coffer.operators.lookup import lookup_join, plan_of_month, resolve_name
+from coffer.operators.lookup import (
+    BROADCAST_BYTES,
+    BROADCAST_ROWS,
+    lookup_join,
+    measured,
+    plan_of_month,
+    resolve_name,
+)
 from coffer.operators.ranking import ONE_TASK_ROWS, number_rows
 from coffer.schema import (
     MONEY,
@@ -55,7 +62,7 @@ def _order(df: DataFrame) -> list[str]:
     return [c for c in ROW_ORDER if c in df.columns]
 
 
-def _natural_key(df: DataFrame) -> list[Column]:
+def natural_key(df: DataFrame) -> list[Column]:
     """Key columns with NULL and blank alike."""
     return [df[c] if c in ("transaction_date", "amount") else null_to_blank(df[c]) for c in NATURAL_KEY]
 
@@ -88,7 +95,7 @@ def candidates(cleaned: DataFrame, rounding: str = "truncate") -> DataFrame:
 
 def first_in_batch(rows: DataFrame) -> DataFrame:
     """First row per natural key; later copies in the same batch are skipped."""
-    return keep_first(rows, _natural_key(rows), _order(rows))
+    return keep_first(rows, natural_key(rows), _order(rows))
 
 
 def not_yet_loaded(rows: DataFrame, existing: DataFrame) -> DataFrame:
@@ -97,12 +104,25 @@ def not_yet_loaded(rows: DataFrame, existing: DataFrame) -> DataFrame:
     ``rows`` carries each key once, and the ledger side is reduced to distinct keys
     before the shuffle, so no key is hot on either side of the anti-join.
     """
-    held = existing.select(*[k.alias(f"_{c}") for k, c in zip(_natural_key(existing), NATURAL_KEY)]).distinct()
+    held = existing.select(*[k.alias(f"_{c}") for k, c in zip(natural_key(existing), NATURAL_KEY)]).distinct()
     # An unreadable amount gives NULL here and matches nothing: the row is rejected later.
-    same = [k == held[f"_{c}"] for k, c in zip(_natural_key(rows), NATURAL_KEY)]
+    same = [k == held[f"_{c}"] for k, c in zip(natural_key(rows), NATURAL_KEY)]
     return rows.join(held, same, "left_anti")
 
 
+def facts_like(existing: DataFrame, rows: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Facts with the natural key of some row of ``rows``, which should be written.
+
+    As long as these are few, they go to the facts and no fact is moved.
+    """
+    keys = rows.select(*[k.alias(f"_{c}") for k, c in zip(natural_key(rows), NATURAL_KEY)]).distinct()
+    count, size = measured(rows.select(*NATURAL_KEY))
+    if count <= max_rows and size <= BROADCAST_BYTES:
+        keys = F.broadcast(keys)
+    same = [k == keys[f"_{c}"] for k, c in zip(natural_key(existing), NATURAL_KEY)]
+    return existing.join(keys, same, "left_semi")
+
+
 def resolve_ids(rows: DataFrame, ledger: Ledger, subcategory_rule: str = "within_category") -> DataFrame:
     """Add account, category, subcategory and plan ids; unknown names give NULL.
 
@@ -134,6 +154,13 @@ def new_transactions(
     """
     held = ledger.transactions if existing is None else existing
     fresh = not_yet_loaded(first_in_batch(candidates(cleaned, rounding)), held)
+    return as_transactions(fresh, ledger, source, subcategory_rule)
+
+
+def as_transactions(
+    fresh: DataFrame, ledger: Ledger, source: str = "python", subcategory_rule: str = "within_category"
+) -> DataFrame:
+    """Candidates that are new, with their ids, in the columns of the ledger."""
     resolved = resolve_ids(fresh, ledger, subcategory_rule)
     return resolved.select(
         "transaction_date",

@@ -139,7 +139,11 @@ def mart_category_breakdown(ledger: Ledger, start: date | None = None, end: date
     The share window runs on summed groups, never on single facts: a month holds
     at most categories x subcategories x spending types of them.
     """
-    groups = category_groups(spend_groups(spend_facts(ledger, start, end)), ledger)
+    return with_shares(category_groups(spend_groups(spend_facts(ledger, start, end)), ledger))
+
+
+def with_shares(groups: DataFrame) -> DataFrame:
+    """Category groups with their share of the month in per cent."""
     month_total = F.sum("total_spend").over(Window.partitionBy("yr", "mo")).cast("decimal(25,0)")
     share = F.col("total_spend").cast("double") * 100.0 / month_total.cast("double")
     return groups.withColumn("pct_of_month", F.round(share, 2))
@@ -177,6 +181,10 @@ def mart_top_merchants(ledger: Ledger) -> DataFrame:
     groups; the two lookup tables are counted to choose between a one-task window and
     the distributed rank.
     """
+    return ranked_merchants(merchant_groups(ledger), ledger)
+
+
+def ranked_merchants(merchants: DataFrame, ledger: Ledger) -> DataFrame:
     subcategories, categories = ledger.subcategories.count(), ledger.categories.count()
     rows = (subcategories + 1) * (categories + 1) * (len(SPENDING_TYPES) + 1)
-    return rank_desc(merchant_groups(ledger), "total_spend", "spend_rank", rows=rows)
+    return rank_desc(merchants, "total_spend", "spend_rank", rows=rows)

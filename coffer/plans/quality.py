@@ -138,6 +138,45 @@ def plan_budget_gaps(ledger: Ledger) -> DataFrame:
     )
 
 
+def linked_transactions(
+    tx: DataFrame,
+    ledger: Ledger,
+    note_category: str,
+    plan_count: int | None = None,
+    category_count: int | None = None,
+) -> DataFrame:
+    """Transactions with a mark for each reference that exists and for the category that needs a note."""
+    noted = ledger.categories.filter(F.col("category_name") == note_category)
+    note_needed = noted.select("category_id", F.lit(True).alias("_note_needed")).distinct()
+    linked = with_reference(tx, "account_id", ledger.accounts, "account_id")
+    linked = with_reference(linked, "plan_id", ledger.monthly_plans, "plan_id", plan_count)
+    linked = with_reference(linked, "category_id", ledger.categories, "category_id", category_count)
+    linked = with_reference(linked, "subcategory_id", ledger.subcategories, "subcategory_id")
+    return lookup_join(linked, note_needed, ["category_id"], rows=category_count)
+
+
+def transaction_checks() -> dict[str, Column]:
+    """The checks that look at one row of ``linked_transactions`` at a time."""
+    spend = is_spend() & F.col("transaction_date").isNotNull()
+    return {
+        "not_null:stg_expenses.id": spend & not_null("transaction_id"),
+        "not_null:stg_expenses.expense_date": spend & not_null("transaction_date"),
+        "not_null:stg_expenses.amount": spend & not_null("amount"),
+        "not_null:stg_expenses.category_id": spend & not_null("category_id"),
+        "accepted:transactions.transaction_type": accepted_values("transaction_type", TRANSACTION_TYPES),
+        "accepted:transactions.spending_type": accepted_values("spending_type", SPENDING_TYPES),
+        "accepted:transactions.payment_method": accepted_values("payment_method", PAYMENT_METHODS),
+        "accepted:transactions.source_data": accepted_values("source_data", SOURCE_VALUES),
+        "expression:transactions.amount_positive": expression_holds(F.col("amount") > 0),
+        "relationship:transactions.account_id": missing_reference("account_id"),
+        "relationship:transactions.plan_id": missing_reference("plan_id"),
+        "relationship:transactions.category_id": missing_reference("category_id"),
+        "relationship:transactions.subcategory_id": missing_reference("subcategory_id"),
+        "note_required:transactions.note": F.coalesce("_note_needed", F.lit(False))
+        & (null_to_blank(trim(F.col("note"))) == ""),
+    }
+
+
 def dq_report(ledger: Ledger, note_category: str = "Miscellaneous") -> DataFrame:
     """One row per check: ``(check_name, failed)``.
 
@@ -152,13 +191,7 @@ def dq_report(ledger: Ledger, note_category: str = "Miscellaneous") -> DataFrame
 
     # Every lookup table is counted once.
     plan_count, category_count = plans.count(), ledger.categories.count()
-    noted = ledger.categories.filter(F.col("category_name") == note_category)
-    note_needed = noted.select("category_id", F.lit(True).alias("_note_needed")).distinct()
-    linked = with_reference(tx, "account_id", ledger.accounts, "account_id")
-    linked = with_reference(linked, "plan_id", plans, "plan_id", plan_count)
-    linked = with_reference(linked, "category_id", ledger.categories, "category_id", category_count)
-    linked = with_reference(linked, "subcategory_id", ledger.subcategories, "subcategory_id")
-    linked = lookup_join(linked, note_needed, ["category_id"], rows=category_count)
+    linked = linked_transactions(tx, ledger, note_category, plan_count, category_count)
     item_links = with_reference(items, "plan_id", plans, "plan_id", plan_count)
     item_links = with_reference(item_links, "category_id", ledger.categories, "category_id", category_count)
     sub_links = with_reference(ledger.subcategories, "category_id", ledger.categories, "category_id", category_count)
@@ -175,26 +208,7 @@ def dq_report(ledger: Ledger, note_category: str = "Miscellaneous") -> DataFrame
         _failures(
             merchants, {f"not_null:mart_top_merchants.{c}": not_null(c) for c in ("merchant", "total_spend")}
         ),
-        _failures(
-            linked,
-            {
-                "not_null:stg_expenses.id": spend & not_null("transaction_id"),
-                "not_null:stg_expenses.expense_date": spend & not_null("transaction_date"),
-                "not_null:stg_expenses.amount": spend & not_null("amount"),
-                "not_null:stg_expenses.category_id": spend & not_null("category_id"),
-                "accepted:transactions.transaction_type": accepted_values("transaction_type", TRANSACTION_TYPES),
-                "accepted:transactions.spending_type": accepted_values("spending_type", SPENDING_TYPES),
-                "accepted:transactions.payment_method": accepted_values("payment_method", PAYMENT_METHODS),
-                "accepted:transactions.source_data": accepted_values("source_data", SOURCE_VALUES),
-                "expression:transactions.amount_positive": expression_holds(F.col("amount") > 0),
-                "relationship:transactions.account_id": missing_reference("account_id"),
-                "relationship:transactions.plan_id": missing_reference("plan_id"),
-                "relationship:transactions.category_id": missing_reference("category_id"),
-                "relationship:transactions.subcategory_id": missing_reference("subcategory_id"),
-                "note_required:transactions.note": F.coalesce("_note_needed", F.lit(False))
-                & (null_to_blank(trim(F.col("note"))) == ""),
-            },
-        ),
+        _failures(linked, transaction_checks()),
         _failures(ledger.accounts, {"accepted:accounts.account_type": accepted_values("account_type", ACCOUNT_TYPES)}),
         _failures(
             ledger.categories, {"accepted:categories.category_type": accepted_values("category_type", CATEGORY_TYPES)}

@@ -23,9 +23,11 @@ def tidy_cells(sheet: DataFrame) -> DataFrame:
     return filled.filter(F.concat_ws("", *[trim(F.col(f"`{c}`")) for c in names]) != "")
 
 
-def read_sheet(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_sheet(spark: SparkSession, path: str | list[str], multi_line: bool = True) -> DataFrame:
     """Worksheet rows as text, with ``_row_idx`` giving their place in the export.
 
+    ``path`` is a folder, a file, or a list of files that have one header.
+
     The first line of each file is the header; a byte-order mark is skipped.  Quoted
     cells may hold line breaks, so each file is read by one task: spreadsheets limit
     a worksheet's cells, which bounds the file.  An export known to be free of line

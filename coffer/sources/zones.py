@@ -126,6 +126,13 @@ def append_transactions(rows: DataFrame, root: str) -> None:
     )
 
 
+def has_transactions(spark: SparkSession, root: str) -> bool:
+    """Whether any fact was ever written; folders are looked at, not rows."""
+    schema = f"{TRANSACTIONS.toDDL()}, yr INT, mo INT"
+    found = read_or_none(spark, f"{root}/tables/transactions", schema=schema)
+    return found is not None and bool(found.inputFiles())
+
+
 def read_transactions(spark: SparkSession, root: str) -> DataFrame:
     """All facts, with the month folders as columns ``yr`` and ``mo`` to prune by."""
     schema = f"{TRANSACTIONS.toDDL()}, yr INT, mo INT"

@@ -551,6 +551,7 @@ _LOADED = _sql(
 )
 INGEST["source_run"] = _LOADED
 INGEST["incremental_load"] = _LOADED
+INGEST["stateful_load"] = _LOADED
 # Rows that take part: dated, readable, each natural key once; a sheet without rows is an error.
 _EXPENSES_RUN = """
     SELECT {run} AS run, 'expenses' AS source, 'ok' AS status, (SELECT count(*) FROM {sheet}) AS rows_in_sheet,
@@ -764,3 +765,191 @@ SCIENCE = {
         "fit_training_season",
     ),
 }
+
+INGEST["landed_once"] = _sql(
+    """
+    SELECT run, 'ok' AS status, count(*) FILTER (WHERE row_idx % 3 = run - 1) AS rows_in_sheet,
+           count(*) FILTER (WHERE row_idx % 3 < run) AS raw_rows
+    FROM sheet, (VALUES (1), (2), (3)) t(run) GROUP BY run
+    UNION ALL SELECT 4, 'unchanged', 0, count(*) FROM sheet""",
+    "sheet",
+)
+# The same marts, whichever way they are kept.
+for _kept, _whole in (("monthly", "monthly_summary"), ("categories", "category_breakdown"), ("merchants", "top_merchants")):
+    INGEST[f"{_kept}_by_deltas"] = LEDGER[f"mart_{_whole}"]
+
+# ---------------------------------------------------------------------------
+# Least squares: sums of products as lists of lists, solved by elimination.
+# ---------------------------------------------------------------------------
+
+_RIDGE = 0.001
+
+
+def _least_squares(rows: str, group: str, terms: int) -> str:
+    """``coef`` and ``n`` by group, from rows with a list ``x`` and a number ``y``."""
+    equations = ", ".join(
+        "["
+        + ", ".join(f"sum(x[{i}] * x[{j}]){f' + {_RIDGE}' if i == j else ''}" for j in range(1, terms + 1))
+        + f", sum(x[{i}] * y)]"
+        for i in range(1, terms + 1)
+    )
+    found = f"SELECT {group}, count(*) AS n, [{equations}]::DOUBLE[][] AS m FROM {rows} GROUP BY {group}"
+    for k in range(1, terms + 1):
+        found = f"""
+        SELECT {group}, n, list_transform(m, lambda r, i: CASE WHEN i = {k} THEN list_transform(r, lambda v: v / m[{k}][{k}])
+                   ELSE list_transform(r, lambda v, j: v - r[{k}] / m[{k}][{k}] * m[{k}][j]) END) AS m FROM ({found})"""
+    return f"SELECT {group}, n, list_transform(m, lambda r: r[{terms + 1}]) AS coef FROM ({found})"
+
+
+def _seasonal_terms(end: str) -> str:
+    bends = [f"CASE WHEN changes > 0 THEN greatest((t - (first + ({end} - first) * {j / 4})) / 12.0::DOUBLE, 0) ELSE 0 END" for j in (1, 2, 3)]
+    waves = [f"CASE WHEN harmonics >= {k} THEN {f}(((t * {k}) % 12) * pi() / 6) ELSE 0 END" for k in (1, 2) for f in ("sin", "cos")]
+    return f"[1, (t - first) / 12.0::DOUBLE, {', '.join(bends + waves)}]::DOUBLE[]"
+
+
+_CTES["scaled"] = """
+    SELECT kind, series, t, y / scale AS y, scale, first, last FROM series JOIN (
+        SELECT kind, series, min(t) AS first, max(t) AS last, greatest(max(y), 1.0::DOUBLE) AS scale
+        FROM series GROUP BY kind, series) USING (kind, series)"""
+_CTES["tried"] = f"""
+    SELECT *, {_seasonal_terms("origin")} AS x
+    FROM (SELECT *, last - back AS origin FROM scaled, (VALUES (3), (6), (9), (12)) b(back)),
+         (VALUES (0), (3)) c(changes), (VALUES (1), (2)) h(harmonics)
+    WHERE origin - first + 1 >= 24"""
+_MODEL = "kind, series, changes, harmonics, origin"
+_CTES["tried_fit"] = _least_squares("(SELECT * FROM tried WHERE t <= origin)", _MODEL, 9)
+_CTES["back_tested"] = """
+    SELECT kind, series, changes, harmonics, origin, scale, CAST(t - origin AS INTEGER) AS step,
+           power(y - list_dot_product(x, coef), 2) AS squared
+    FROM tried JOIN tried_fit USING (kind, series, changes, harmonics, origin) WHERE t BETWEEN origin + 1 AND origin + 3"""
+_CTES["chosen"] = f"""
+    SELECT s.*, {_seasonal_terms("last")} AS x FROM (
+        SELECT s.*, coalesce(m.changes, 0) AS changes, coalesce(m.harmonics, 1) AS harmonics
+        FROM scaled s LEFT JOIN (
+            SELECT kind, series, arg_min(changes, place) AS changes, arg_min(harmonics, place) AS harmonics FROM (
+                SELECT *, row_number() OVER (PARTITION BY kind, series ORDER BY error, changes, harmonics) AS place FROM (
+                    SELECT kind, series, changes, harmonics, round(avg(squared), 12) AS error FROM back_tested GROUP BY ALL))
+            GROUP BY kind, series) m USING (kind, series)) s"""
+_CTES["chosen_fit"] = _least_squares("chosen", "kind, series", 9)
+
+
+def _lags(rows: str, value: str, lags: int) -> list[str]:
+    return [f"lag({value}, {i}) OVER (PARTITION BY kind, series ORDER BY t)" for i in range(1, lags + 1)]
+
+
+def _arma(name: str, rows: str) -> None:
+    """CTEs up to the model of each series: orders, coefficients, last values."""
+    _CTES[f"{name}_long"] = f"""
+        SELECT kind, series, t, y, list_concat([1.0::DOUBLE], ys) AS x, ys FROM (
+            SELECT *, [{", ".join(_lags(rows, "y", 3))}] AS ys FROM {rows}) WHERE ys[3] IS NOT NULL"""
+    _CTES[f"{name}_shocks"] = f"""
+        SELECT kind, series, t, y, ys, y - list_dot_product(x, coef) AS e
+        FROM {name}_long JOIN ({_least_squares(f"{name}_long", "kind, series", 4)}) USING (kind, series)"""
+    _CTES[f"{name}_tried"] = f"""
+        SELECT *, [1, ys[1], CASE WHEN ar >= 2 THEN ys[2] ELSE 0 END, CASE WHEN ma >= 1 THEN e1 ELSE 0 END]::DOUBLE[] AS x
+        FROM (SELECT *, {_lags(rows, "e", 1)[0]} AS e1 FROM {name}_shocks), (VALUES (1), (2)) p(ar), (VALUES (0), (1)) q(ma)
+        WHERE e1 IS NOT NULL"""
+    _CTES[f"{name}_model"] = f"""
+        SELECT kind, series, ar, ma, coef, last.y AS y1, last.ys[1] AS y2, last.e AS e1, last.t AS t_end FROM (
+            SELECT kind, series, ar, ma, any_value(coef) AS coef,
+                   row_number() OVER (PARTITION BY kind, series ORDER BY round(
+                       max(n) * ln(greatest(avg(power(y - list_dot_product(x, coef), 2)), 1e-12::DOUBLE))
+                       + (1 + ar + ma) * ln(max(n)), 6), ar, ma) AS place
+            FROM {name}_tried JOIN ({_least_squares(f"{name}_tried", "kind, series, ar, ma", 4)}) USING (kind, series, ar, ma)
+            GROUP BY kind, series, ar, ma)
+        JOIN (SELECT kind, series, arg_max({{y: y, ys: ys, e: e, t: t}}, t) AS last FROM {name}_shocks GROUP BY ALL)
+        USING (kind, series) WHERE place = 1"""
+    _CTES[f"{name}_ahead"] = f"""
+        SELECT *, coef[1] + coef[2] * f2 + coef[3] * f1 AS f3 FROM (
+            SELECT *, coef[1] + coef[2] * f1 + coef[3] * y1 AS f2 FROM (
+                SELECT *, coef[1] + coef[2] * y1 + coef[3] * y2 + coef[4] * e1 AS f1 FROM {name}_model))"""
+    parts = [f"{name}_{p}" for p in ("long", "shocks", "tried", "model", "ahead")]
+    _NEEDS.update({part: [before] for part, before in zip(parts, [rows, *parts])})
+
+
+_CTES["scaled_training"] = "SELECT * FROM scaled WHERE t <= last - 3"
+_arma("arma", "scaled_training")
+_arma("arma_all", "scaled")
+_NEEDS |= {
+    "scaled": ["series"],
+    "tried": ["scaled"],
+    "tried_fit": ["tried"],
+    "back_tested": ["tried_fit"],
+    "chosen": ["back_tested"],
+    "chosen_fit": ["chosen"],
+    "scaled_training": ["scaled"],
+}
+
+SCIENCE["seasonal_backtest"] = _sql(
+    """
+    SELECT kind, series, changes, harmonics, step, count(*) AS origins,
+           CAST(round(sqrt(avg(squared)) * max(scale)) AS BIGINT) AS rmse
+    FROM back_tested GROUP BY kind, series, changes, harmonics, step""",
+    "back_tested",
+)
+SCIENCE["seasonal_forecast"] = _sql(
+    f"""
+    SELECT kind, series, CAST(t // 12 AS INTEGER) AS yr, CAST(t % 12 + 1 AS INTEGER) AS mo, CAST(step AS INTEGER) AS step,
+           changes, harmonics, CAST(round(list_dot_product({_seasonal_terms("last")}, coef) * scale) AS BIGINT) AS forecast
+    FROM (SELECT *, last + step AS t FROM (
+              SELECT DISTINCT kind, series, first, last, scale, changes, harmonics FROM chosen), generate_series(1, 3) g(step))
+         JOIN chosen_fit USING (kind, series)""",
+    "chosen_fit",
+)
+SCIENCE["arma_backtest"] = _sql(
+    """
+    SELECT kind, series, ar, ma, count(*) AS months,
+           CAST(round(sqrt(avg(power(y - [f1, f2, f3][t - t_end], 2))) * max(scale)) AS BIGINT) AS rmse_arma
+    FROM scaled JOIN arma_ahead USING (kind, series) WHERE t > last - 3 GROUP BY kind, series, ar, ma""",
+    "arma_ahead",
+)
+SCIENCE["arma_forecast"] = _sql(
+    """
+    SELECT kind, series, CAST((t_end + step) // 12 AS INTEGER) AS yr, CAST((t_end + step) % 12 + 1 AS INTEGER) AS mo,
+           CAST(step AS INTEGER) AS step, ar, ma, CAST(round([f1, f2, f3][step] * scale) AS BIGINT) AS forecast
+    FROM arma_all_ahead JOIN (SELECT DISTINCT kind, series, scale FROM scaled) USING (kind, series), generate_series(1, 3) g(step)""",
+    "arma_all_ahead",
+)
+
+# ---------------------------------------------------------------------------
+# Checks batch by batch: rows whose id leaves remainder r modulo 4 are batch r + 1.
+# ---------------------------------------------------------------------------
+
+_SPENT = "x.transaction_type IN ('expense', 'credit_purchase') AND x.transaction_date IS NOT NULL"
+_ROW_CHECKS = {
+    **{
+        f"not_null:stg_expenses.{shown}": f"{_SPENT} AND x.{c} IS NULL"
+        for shown, c in zip(("id", "expense_date", "amount", "category_id"), "transaction_id transaction_date amount category_id".split())
+    },
+    "accepted:transactions.transaction_type": "x.transaction_type NOT IN ('income', 'expense', 'transfer_out', 'transfer_in', "
+    "'credit_purchase', 'credit_payment', 'loan_given', 'loan_received', 'loan_repayment_in', 'loan_repayment_out')",
+    "accepted:transactions.spending_type": "x.spending_type NOT IN ('fixed', 'extra')",
+    "accepted:transactions.payment_method": "x.payment_method NOT IN ('cash', 'bank_transfer', 'credit_card', 'momo')",
+    "accepted:transactions.source_data": "x.source_data NOT IN ('nodejs', 'python')",
+    "expression:transactions.amount_positive": "x.amount <= 0",
+    **{
+        f"relationship:transactions.{c}": f"x.{c} IS NOT NULL AND x.{c} NOT IN (SELECT {c} FROM {t})"
+        for c, t in (("account_id", "accounts"), ("plan_id", "plans"), ("category_id", "categories"), ("subcategory_id", "subcategories"))
+    },
+    "note_required:transactions.note": "coalesce(trim(x.note), '') = '' AND x.category_id IN "
+    "(SELECT category_id FROM categories WHERE category_name = 'AFRICA')",
+}
+_BATCHED = " UNION ALL ".join(
+    f"SELECT '{name}' AS check_name, count(*) FILTER (batch = 4 AND hit) AS failed, count(*) FILTER (batch = 4) AS checked, "
+    f"count(*) FILTER (batch < 4 AND hit) AS failed_before, count(*) FILTER (batch < 4) AS checked_before "
+    f"FROM (SELECT x.transaction_id % 4 + 1 AS batch, coalesce({condition}, false) AS hit FROM tx x)"
+    for name, condition in _ROW_CHECKS.items()
+)
+_CHECK_TABLES = "tx accounts categories subcategories plans".split()
+QUALITY["checks_by_batch"] = _sql(
+    f"SELECT check_name, failed + failed_before AS failed, checked + checked_before AS checked FROM ({_BATCHED})", *_CHECK_TABLES
+)
+QUALITY["check_drift"] = _sql(
+    f"""
+    SELECT * EXCLUDE (z), round(z, 6) AS z, coalesce(abs(z) > 3, false) AS drifted FROM (
+        SELECT *, CASE WHEN p > 0 AND p < 1 THEN (failed / checked - failed_before / checked_before)
+                   / sqrt(p * (1 - p) * (1.0::DOUBLE / checked + 1.0::DOUBLE / checked_before)) END AS z
+        FROM (SELECT *, (failed + failed_before)::DOUBLE / (checked + checked_before) AS p FROM ({_BATCHED}))) t(
+            check_name, failed, checked, failed_before, checked_before, p, z)""".replace("SELECT * EXCLUDE (z)", "SELECT * EXCLUDE (z, p)"),
+    *_CHECK_TABLES,
+)
