@@ -364,13 +364,11 @@ def _linked(docs, candidates, marks, percent, width, id_col, text_col) -> DataFr
         return _verified(materialise(pairs, "pairs"), marks, sets, percent)
 
     def pairs(end: str, rows: DataFrame) -> DataFrame:
-        """One pair per set: with the least such id of all its signatures."""
+        """One pair per set: with the least first, or the least last id of all its signatures."""
         return rows.filter(F.col("id") != F.col(end)).groupBy(F.col("id").alias("b")).agg(F.min(end).alias("a"))
 
-    parts = materialise(connected_components(verified(pairs("first", candidates)), "a", "b"), "parts")
-
-    # The same with the greatest id, where the two are not yet connected.
-    parts = _joined(parts, verified(pairs("last", _apart(candidates, parts))))
+    ends = pairs("first", candidates).unionByName(pairs("last", candidates)).distinct()
+    parts = materialise(connected_components(verified(ends), "a", "b"), "parts")
 
     # What is still apart is compared pair by pair, as far as sizes and parities allow.  Pairs that
     # nearly match share most signatures, so the few least of each set find nearly all of them; what
@@ -405,17 +403,17 @@ def _joined(parts: DataFrame, links: DataFrame) -> DataFrame:
     return materialise(connected_components(ways.unionByName(links), "a", "b"), "parts")
 
 
-def _apart(candidates: DataFrame, parts: DataFrame, end: str = "last") -> DataFrame:
-    """Candidates that are not in the component of the greatest (or least) id of their signature."""
+def _apart(candidates: DataFrame, parts: DataFrame) -> DataFrame:
+    """Candidates that are not in the component of the least id of their signature."""
     own = parts.select(F.col("node").alias("id"), F.col("component").alias("part"))
-    other = parts.select(F.col("node").alias(end), F.col("component").alias("end_part"))
-    rows = checked_join(checked_join(candidates, own, "id", "left"), other, end, "left")
-    return rows.filter(F.coalesce("part", "id") != F.coalesce("end_part", end))
+    other = parts.select(F.col("node").alias("first"), F.col("component").alias("first_part"))
+    rows = checked_join(checked_join(candidates, own, "id", "left"), other, "first", "left")
+    return rows.filter(F.coalesce("part", "id") != F.coalesce("first_part", "first"))
 
 
 def _open(candidates: DataFrame, parts: DataFrame, marks: DataFrame) -> DataFrame:
     """Rows of signatures that still join different components, with sizes and parities."""
-    open_signatures = materialise(_apart(candidates, parts, "first").select("sig").distinct(), "open_signatures")
+    open_signatures = materialise(_apart(candidates, parts).select("sig").distinct(), "open_signatures")
     rows = checked_join(candidates.select("sig", "id"), open_signatures, "sig", "left_semi")
     own = parts.select(F.col("node").alias("id"), F.col("component").alias("part"))
     rows = checked_join(rows, own, "id", "left").withColumn("part", F.coalesce("part", "id"))
