@@ -214,7 +214,7 @@ def _landed_once(spark: SparkSession, sf_dir: str) -> DataFrame:
             _land_sheet(sheet.filter(F.pmod(F.col("_row_idx"), F.lit(3)) == run - 1), root, "expenses", drop=run)
         done = jobs.run_sources(spark, root, batch_id=run, only=["expenses"], new_only=True)
         raw = zones.read_raw(spark, root, "expenses").count()
-        runs.append(done.select(F.lit(run).alias("run"), "status", "rows_in_sheet", F.lit(raw).alias("raw_rows")))
+        runs.append(done.select(F.lit(run).alias("run"), "status", "rows_in_sheet", F.lit(raw).cast("bigint").alias("raw_rows")))
     return reduce(DataFrame.unionByName, runs)
 
 
