@@ -36,6 +36,9 @@ BATCH_ROWS = 200
 # A worker's memory of words and of pairs of pieces.
 WORDS, PAIRS = 1_000_000, 500_000
 
+# Ids handed on at once; a longer text goes alone.
+CHUNK_IDS = 1 << 21
+
 # Longer words are not remembered.
 WORD_CHARS = 64
 
@@ -190,15 +193,20 @@ def encode_documents(
     """
     bounded_batches(docs.sparkSession, BATCH_ROWS)
     kind = docs.schema[id_col].dataType.simpleString()
+    most = CHUNK_IDS
 
     def rows(batches):
         for batch in batches:
-            own = encoder(model_file)
-            found = [own.encode(text or "") for text in batch.column("text").to_pylist()]
-            ends = np.cumsum([0, *map(len, found)], dtype=np.int32)
-            values = np.concatenate([*found, np.zeros(0, dtype=np.int32)])
-            ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), ids], ["id", "ids"])
+            own, found, begin, held = encoder(model_file), [], 0, 0
+            for row, text in enumerate(batch.column("text"), 1):
+                found.append(own.encode(text.as_py() or ""))
+                held += len(found[-1])
+                if held < most and row < batch.num_rows:
+                    continue
+                ends = np.cumsum([0, *map(len, found)], dtype=np.int32)
+                ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found)))
+                yield pa.RecordBatch.from_arrays([batch.column("id").slice(begin, len(found)), ids], ["id", "ids"])
+                found, begin, held = [], row, 0
 
     narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     found = narrow.mapInArrow(rows, f"id {kind}, ids array<int>")
@@ -216,7 +224,7 @@ def decode_documents(encoded: DataFrame, model_file: str, ids_col: str = "ids",
     def rows(batches):
         for batch in batches:
             model = encoder(model_file).model
-            texts = [model.decode(ids) if ids else "" for ids in batch.column("ids").to_pylist()]
+            texts = [model.decode(ids.as_py()) if ids.is_valid and len(ids) else "" for ids in batch.column("ids")]
             own = [batch.column(f"c{i}") for i in range(len(others))]
             yield pa.RecordBatch.from_arrays([*own, pa.array(texts, pa.string())], [*[f"c{i}" for i in range(len(own))], "text"])
 

@@ -362,6 +362,19 @@ def test_pipeline(spark, documents, labels, tmp_path):
     assert corpus_pipeline.ORACLE_SQL is None
 
 
+def test_pipeline_of_nothing(spark, documents, labels, tmp_path):
+    documents([]).write.parquet(f"{tmp_path}/documents.parquet")
+    labels([]).write.parquet(f"{tmp_path}/labels.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_pipeline_without_labels(spark, documents, labels, tmp_path):
+    documents(ODD).write.parquet(f"{tmp_path}/documents.parquet")
+    labels([]).write.parquet(f"{tmp_path}/labels.parquet")
+    for row in corpus_pipeline.run(spark, str(tmp_path)).select("length", "doc_tokens").collect():
+        assert 0 < row["length"] <= row["doc_tokens"]
+
+
 def test_registered():
     names = [n.split("_")[0] for n in queries.queries()]
     assert names == [f"op{i}" for i in range(1, 14)]

@@ -6,6 +6,7 @@ import zlib
 from fractions import Fraction
 from math import comb, log
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -181,6 +182,52 @@ def test_rules(documents, labels):
     assert got[9006]["n_repeat_words"] == 200_000 and got[9006]["base_failed"]
 
 
+def test_equal_texts_are_one_draw(documents, labels):
+    """Copies of a few texts are too few draws to prove a cutoff, however many rows they fill."""
+    rng = np.random.default_rng(3)
+    few = [prose(rng, 80) for _ in range(40)]
+    rows = [(i, few[i % 40], "en", "s") for i in range(2000)]
+    rows += [(5000 + i, prose(rng, 60).replace(" ", "&&& "), "en", "s") for i in range(400)]
+    marks = [(r[0], int(r[0] < 5000), 0) for r in rows]
+    assert (rules.fit(documents(rows), labels(marks)).steps == rules.STEPS).all()
+    rows[:2000] = [(i, prose(rng, 80), "en", "s") for i in range(2000)]
+    assert (rules.fit(documents(rows), labels(marks)).steps < rules.STEPS).any()
+
+
+def test_base_counts_equal_sql(documents, labels, tmp_path):
+    """The counts of the base rules, as DuckDB has them."""
+    rng = np.random.default_rng(4)
+    letters = [*"ab  \t\n\n#*$é", "the cat sat ", "same line\n"]
+    rows = [(i, "".join(rng.choice(letters, int(rng.integers(0, 120)))), "en", "s") for i in range(200)]
+    # SQL copies a text's words once per word.
+    rows += [r for r in ODD if r[0] != 9006]
+    docs = documents(rows)
+    docs.write.parquet(f"{tmp_path}/documents")
+    names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+    got = rules.judge_documents(docs, labels([])).select(*names).collect()
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents/*.parquet'")
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, con.execute(BASE_SQL).fetchall()))
+
+
+BASE_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS place, doc_id, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+lines AS (
+  SELECT place, line, count(*) AS n FROM (SELECT place, unnest(string_split(text, chr(10))) AS line FROM d)
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY ALL),
+grams AS (SELECT place, i, w[i:i + 2] AS g FROM (SELECT place, w, unnest(range(1, len(w) - 1)) AS i FROM d)),
+twice AS (SELECT place, i FROM grams JOIN (SELECT place, g FROM grams GROUP BY ALL HAVING count(*) > 1) USING (place, g)),
+hit AS (SELECT place, count(DISTINCT i + k) AS n FROM twice, (VALUES (0), (1), (2)) t(k) GROUP BY place)
+SELECT doc_id, len(w), coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT,
+       length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')),
+       coalesce((SELECT sum(n - 1) FROM lines l WHERE l.place = d.place), 0)::BIGINT,
+       coalesce(h.n, 0), len(w) < 50 OR 100 * coalesce(h.n, 0) > 50 * len(w)
+FROM d LEFT JOIN hit h USING (place)
+"""
+
+
 def test_rules_without_labels_reject_by_the_base_alone(documents, labels):
     rng = np.random.default_rng(1)
     got = rules.judge_documents(documents([(1, prose(rng, 80), "en", "s"), *ODD]), labels([])).collect()

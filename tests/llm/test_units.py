@@ -75,7 +75,9 @@ def test_memory_is_bounded():
     assert len(calls) == 100
 
 
-def test_encode_and_decode_documents(spark, documents, library, tmp_path):
+@pytest.mark.parametrize("chunk", [1, 50, 1 << 21])
+def test_encode_and_decode_documents(spark, documents, library, tmp_path, monkeypatch, chunk):
+    monkeypatch.setattr(pieces, "CHUNK_IDS", chunk)
     rows = [*ODD, (1, "<s> </s> <unk> <0x41>", "en", "s"), (2, "▁▁a ▁", "en", "s"), (3, "tail \n", None, None)]
     docs = documents(rows)
     docs.write.parquet(f"{tmp_path}/documents.parquet")
