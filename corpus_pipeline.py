@@ -12,7 +12,12 @@ from coffer.session import materialise
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier does not reject."""
+    """Documents that the quality classifier does not reject.
+
+    NULL and empty texts are scored like others, by the statistics of an empty text; rows that
+    share an id, and equal rows, are judged one by one.  Texts of any length are scored whole.
+    No rows give no rows.
+    """
     return quality.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
@@ -49,12 +54,21 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as their source's target weight asks for."""
+    """Documents as often as their source's target weight asks for.
+
+    NULL and empty texts and texts of white space have no words and go.  A NULL source is one
+    source.  Rows that share an id draw for themselves; of rows equal in all columns a counted
+    part has the copy more.
+    """
     return mixing.repeated(docs)
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents, packed into sequences."""
+    """Pieces of the documents, packed into sequences.
+
+    Every row is a document of its own, NULL ids and repeated rows included; a NULL or empty
+    text is its end token alone, a very long one many pieces.  No rows give no pieces.
+    """
     return packed(docs)
 
 
