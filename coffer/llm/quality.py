@@ -18,6 +18,9 @@ from coffer.llm.frames import bounded_batches, labelled_sample, remainder
 from coffer.llm.words import Texts, slices, text_stats
 
 FEATURES = 256
+
+# Tasks that add up what partitions have summed.
+SUMS = 4
 WIDTH = 4.0  # of the kernel, in standard deviations
 LEAST_SCALE = 0.05  # of a statistic that hardly varies among labelled texts
 RIDGE = 1e-3
@@ -78,7 +81,12 @@ def _fourier(model: QualityModel, x: np.ndarray) -> np.ndarray:
 
 
 def _summed(sample: DataFrame, part, shapes: list[tuple[int, ...]]) -> list[np.ndarray]:
-    """Arrays that ``part(texts, y, weight)`` gives for each batch, summed per partition, then in all."""
+    """Arrays that ``part(texts, y, weight)`` gives for each batch, summed per partition, then in all.
+
+    Sums of partitions are added up in ``SUMS`` tasks first: the driver gets that many, however
+    many partitions there are.
+    """
+    names = [f"a{i}" for i in range(len(shapes))]
 
     def sums(batches):
         total = [np.zeros(s) for s in shapes]
@@ -87,13 +95,19 @@ def _summed(sample: DataFrame, part, shapes: list[tuple[int, ...]]) -> list[np.n
             weight = batch.column("weight").to_numpy(zero_copy_only=False)
             for a, b in zip(total, part(batch.column("text"), y, weight)):
                 a += b
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([a.tobytes()], pa.binary()) for a in total], [f"a{i}" for i in range(len(total))]
-        )
+        yield pa.RecordBatch.from_arrays([pa.array([a.tobytes()], pa.binary()) for a in total], names)
+
+    def added(batches):
+        whole = [np.zeros(s) for s in shapes]
+        for batch in batches:
+            for column, a in zip(batch.columns, whole):
+                for part in column:
+                    a += np.frombuffer(part.as_py()).reshape(a.shape)
+        yield pa.RecordBatch.from_arrays([pa.array([a.tobytes()], pa.binary()) for a in whole], names)
 
-    schema = ", ".join(f"a{i} binary" for i in range(len(shapes)))
+    schema = ", ".join(f"{n} binary" for n in names)
     total = [np.zeros(s) for s in shapes]
-    for row in sample.mapInArrow(sums, schema).collect():
+    for row in sample.mapInArrow(sums, schema).repartition(SUMS).mapInArrow(added, schema).collect():
         for a, b in zip(total, row):
             a += np.frombuffer(b).reshape(a.shape)
     return total
