@@ -234,11 +234,11 @@ def expense_sheet(spark: SparkSession, sf_dir: str, revised: bool = False) -> Da
     )
 
 
-def untidy_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+def untidy_sheet(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """The expense sheet as an export without header row gives it: columns ``0``, ``1``, ...
 
-    The header stands in the first row.  Every 17th row is blank and every 19th ends after
-    three cells; the last column has no name.
+    The first row, which holds the header, and all rows after it.  Every 17th row is blank and
+    every 19th ends after three cells; the last column has no name.
     """
     rows = expense_sheet(spark, sf_dir)
     names = [c for c in rows.columns if c != "_row_idx"]
@@ -249,9 +249,8 @@ def untidy_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
         for i, c in enumerate(names)
     ]
     stray = F.when(F.col("_row_idx") % 17 == 0, F.lit("")).otherwise(F.lit("stray")).alias(str(len(names)))
-    data = rows.select(*cells, stray, "_row_idx")
     header = [F.lit(c).alias(str(i)) for i, c in enumerate([*names, ""])]
-    return spark.range(1).select(*header, F.lit(-1).cast("bigint").alias("_row_idx")).unionByName(data)
+    return spark.range(1).select(*header), rows.select(*cells, stray)
 
 
 def plan_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from coffer.functions.text import null_to_blank, text_columns, trim
 
+# Rows of one exported file, which one task reads: below what spreadsheets hold.
+FILE_ROWS = 500_000
+
 
 def require_rows(df: DataFrame, what: str) -> DataFrame:
     if df.isEmpty():
@@ -56,9 +59,13 @@ def sheet_place() -> Column:
 
 
 def write_sheet(df: DataFrame, path: str) -> None:
-    """Write all columns as quoted CSV text, quotes doubled, blanks kept as they are."""
+    """Write all columns as quoted CSV text, quotes doubled, blanks kept as they are.
+
+    A partition of many rows fills several files, in its order.
+    """
     (
         df.write.mode("overwrite")
+        .option("maxRecordsPerFile", FILE_ROWS)
         .option("header", True)
         .option("quoteAll", True)
         .option("escape", '"')

@@ -5,8 +5,10 @@ from datetime import date
 import pytest
 from conftest import rows
 
+import __spark_entry__ as entry
 from coffer.plans.cleaning import clean_expenses, promote_header
 from coffer.plans.staging import as_batch, current_rows, stage_append
+from coffer.sources import sheets
 from coffer.sources.sheets import read_sheet, require_rows, tidy_cells, write_sheet
 
 
@@ -132,3 +134,39 @@ def test_python_mode_flags_and_node_mode_drops(spark):
         ("2023-10-02", None, None, "nodejs"),
         ("2023-10-04", 5.0, "d", "nodejs"),
     ]
+
+
+def order_tables(spark, folder, count=160, files=8):
+    """The tables that sheets are derived from, with orders in several files."""
+    spark.createDataFrame([(0, "EUROPE")], "r_regionkey int, r_name string").write.parquet(f"{folder}/region.parquet")
+    nation = spark.createDataFrame([(0, "FRANCE", 0)], "n_nationkey int, n_name string, n_regionkey int")
+    nation.write.parquet(f"{folder}/nation.parquet")
+    customer = spark.range(5).selectExpr("id AS c_custkey", "0 AS c_nationkey")
+    customer.write.parquet(f"{folder}/customer.parquet")
+    orders = spark.range(0, count, 1, files).selectExpr(
+        "id AS o_orderkey", "id % 5 AS o_custkey", "if(id % 2 = 0, 'F', 'P') AS o_orderstatus",
+        "1000.5D + id AS o_totalprice", "timestamp_ntz'1996-03-01 00:00:00' AS o_orderdate", "'5-LOW' AS o_orderpriority",
+    )
+    orders.write.parquet(f"{folder}/orders.parquet")
+    return str(folder)
+
+
+def test_an_untidy_sheet_is_written_by_many_tasks_and_its_header_still_comes_first(spark, tmp_path, monkeypatch):
+    folder = order_tables(spark, tmp_path)
+    monkeypatch.setattr(entry, "scratch_path", lambda spark, name: f"{tmp_path}/{name}")
+    got = entry.queries()["dirty_sheet"](spark, folder)
+    assert len(list((tmp_path / "untidy").rglob("*.csv"))) > 4
+    assert got.columns[:3] == ["date", "account", "transaction_type"]
+    # Every tenth key has no date; blank rows go.
+    assert got.count() == sum(1 for k in range(160) if k % 10 and k % 17)
+    assert got.filter("account = 'ACCOUNT 0'").count() == sum(
+        1 for k in range(160) if k % 10 and k % 17 and k % 3 == 0 and k % 5 == 0
+    )
+
+
+def test_a_large_partition_is_exported_in_several_files_that_keep_its_order(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sheets, "FILE_ROWS", 10)
+    data = [(str(25 - i), "x") for i in range(25)]
+    write_sheet(spark.createDataFrame(data, "k string, v string").coalesce(1), str(tmp_path / "out"))
+    assert len(list((tmp_path / "out").glob("*.csv"))) == 3
+    assert [r[0] for r in rows(read_sheet(spark, str(tmp_path / "out")), "_row_idx")] == [k for k, _ in data]
