@@ -41,8 +41,8 @@ def accounting_number(c: Column, mode: str = "python") -> Column:
         signed = F.regexp_replace(text, r"\((.*?)\)", "-$1")
         return to_number(F.when(text.contains("("), signed).otherwise(text))
     bracketed = text.contains("(") & text.contains(")")
-    value = to_number(F.regexp_replace(text, r"[^0-9.\-]", ""))
-    return F.when(bracketed, -value).otherwise(value)
+    # The sign as a factor: the number stands in the expression, and is read, only once.
+    return to_number(F.regexp_replace(text, r"[^0-9.\-]", "")) * F.when(bracketed, F.lit(-1.0)).otherwise(F.lit(1.0))
 
 
 def whole_amount(c: Column, rounding: str = "truncate") -> Column:

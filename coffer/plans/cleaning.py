@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
@@ -50,6 +51,16 @@ def promote_header(sheet: DataFrame) -> DataFrame:
     return sheet.filter(~is_header).select(*renamed, *order)
 
 
+def computed_once(df: DataFrame, cells: Sequence[Column]) -> DataFrame:
+    """``cells`` of ``df``, unfolded from one struct per row.
+
+    Filters on a plain projection move below joins with a copy of all that it computes, so
+    texts are parsed again for each condition, in methods too long for the JVM to compile.
+    They do not move below ``inline``.
+    """
+    return df.select(F.inline(F.array(F.struct(*cells))))
+
+
 def clean_expenses(sheet: DataFrame, mode: str = "python") -> DataFrame:
     """Typed, trimmed and flagged rows; rows without a readable date are dropped.
 
@@ -78,14 +89,15 @@ def clean_expenses(sheet: DataFrame, mode: str = "python") -> DataFrame:
         cells.append(cell.alias(name))
 
     if mode == "python":
-        typed = df.select(*cells, *order).filter(F.col("date").isNotNull())
+        typed = computed_once(df, [*cells, *order]).filter(F.col("date").isNotNull())
         bad = reduce(or_, [F.col(c).isNull() for c in numbers], F.lit(False))
         marks = [bad.alias("needs_cleaning"), F.lit("python-api").alias("source_data")]
         return typed.select(*[f"`{c}`" for c in names], *marks, *order)
 
     kept = [F.col(c).isNotNull() | (F.col(f"_text_{c}") == "") for c in numbers]
     texts = [null_to_blank(trim(F.col(c))).alias(f"_text_{c}") for c in numbers]
-    typed = df.select(*cells, *texts, *order).filter(reduce(lambda a, b: a & b, kept, F.col("date").isNotNull()))
+    readable = reduce(lambda a, b: a & b, kept, F.col("date").isNotNull())
+    typed = computed_once(df, [*cells, *texts, *order]).filter(readable)
     day = F.date_format("date", "yyyy-MM-dd").alias("date")
     out = [day if c == "date" else F.col(f"`{c}`") for c in names]
     return typed.select(*out, F.lit("nodejs").alias("source_data"), *order)

@@ -7,6 +7,7 @@ from conftest import rows
 
 import __spark_entry__ as entry
 from coffer.plans.cleaning import clean_expenses, promote_header
+from coffer.plans.loading import candidates
 from coffer.plans.staging import as_batch, current_rows, stage_append
 from coffer.sources import sheets
 from coffer.sources.sheets import read_sheet, require_rows, tidy_cells, write_sheet
@@ -136,6 +137,21 @@ def test_python_mode_flags_and_node_mode_drops(spark):
     ]
 
 
+@pytest.mark.parametrize("mode", ["python", "node"])
+def test_each_cell_is_parsed_once_whatever_is_filtered_on_it(spark, capsys, mode):
+    raw = spark.range(40).selectExpr(
+        "concat(id % 12 + 1, if(id % 4 = 0, '-', '/'), '1/2023') AS date",
+        "if(id % 5 = 0, 'abc', concat('(1,', 100 + id, ')')) AS amount",
+        "'x' AS transaction_type",
+        "id AS _row_idx",
+    )
+    got = clean_expenses(raw, mode)
+    got = candidates(got) if mode == "python" else got.filter("amount < -1")
+    got.explain()
+    assert capsys.readouterr().out.count("regexp_extract(") == 2  # the date and the amount
+    assert got.count() == sum(1 for k in range(40) if k % 4 and k % 5)
+
+
 def order_tables(spark, folder, count=160, files=8):
     """The tables that sheets are derived from, with orders in several files."""
     spark.createDataFrame([(0, "EUROPE")], "r_regionkey int, r_name string").write.parquet(f"{folder}/region.parquet")
